@@ -4,10 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomgraph.llm import neighbours, tokens
+from loomgraph.llm import neighbours, packing, splitting, tokens
 from loomgraph.workspace import table
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return splitting.split_oversized(table(spark, d, "rag_chunks"), table(spark, d, "knowledge_units")).drop("piece_count").distinct()
+
+
+def p2_balanced(spark: SparkSession, d: str) -> DataFrame:
+    """The same spans cut into pieces of even length; piece_no and piece_count are the segment_index and segment_count."""
+    return splitting.split_oversized(table(spark, d, "rag_chunks"), table(spark, d, "knowledge_units"), least=200, objective="balanced")
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return neighbours.neighbour_pairs(neighbours.nearest(table(spark, d, "vector_manifest"), table(spark, d, "vector_matrix")))
 
@@ -16,9 +25,32 @@ def p6_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.encode_corpus(table(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p6_ids)}
+def p7_packing(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack_documents(table(spark, d, "documents"))
+
+
+def p7_report(spark: SparkSession, d: str) -> DataFrame:
+    return packing.packing_report(p7_packing(spark, d))
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p2_balanced, p3_found, p6_ids, p7_packing, p7_report)}
 
 ORACLES = {
+    "p2_found": """
+      with recursive spans as (
+        select distinct c.chunk_id, c.body_start as s, c.body_end as e, coalesce(u.text, '') as t from rag_chunks c
+        left join (select knowledge_unit_id, max(struct_pack(r := recorded_at, t := text)).t as text from knowledge_units group by 1) u using (knowledge_unit_id)
+        where c.body_end - c.body_start > 600),
+      cut as (
+        select chunk_id, s as span_start, e, t, 0 as piece_no, s as a,
+          s + coalesce(list_max(list_filter(range(360, 601), lambda x: contains('。！？!?；;.' || chr(10), substr(t, s + x, 1)) and substr(t, s + x, 1) <> '')), 600) as b
+        from spans
+        union all
+        select chunk_id, span_start, e, t, piece_no + 1, b - 60,
+          case when e - (b - 60) <= 600 then e else b - 60
+            + coalesce(list_max(list_filter(range(360, 601), lambda x: contains('。！？!?；;.' || chr(10), substr(t, b - 60 + x, 1)) and substr(t, b - 60 + x, 1) <> '')), 600) end
+        from cut where b < e)
+      select distinct chunk_id, cast(piece_no as int) as piece_no, a as body_start, cast(b as int) as body_end from cut""",
     "p3_found": """
       with v as (
         select m.chunk_id, any_value(cast(x.embedding as double[])) as e from (select chunk_id, min("row") as "row" from vector_manifest group by 1) m
