@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomgraph.llm import neighbours, packing, splitting, tokens
+from loomgraph.llm import near_duplicates, neighbours, packing, splitting, tokens
 from loomgraph.workspace import table
 
 
@@ -21,6 +21,14 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return neighbours.neighbour_pairs(neighbours.nearest(table(spark, d, "vector_manifest"), table(spark, d, "vector_matrix")))
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, d, "knowledge_units"))
+
+
+def p4_groups(spark: SparkSession, d: str) -> DataFrame:
+    return near_duplicates.duplicate_groups(table(spark, d, "knowledge_units"))
+
+
 def p6_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.encode_corpus(table(spark, d, "documents"))
 
@@ -33,9 +41,27 @@ def p7_report(spark: SparkSession, d: str) -> DataFrame:
     return packing.packing_report(p7_packing(spark, d))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_balanced, p3_found, p6_ids, p7_packing, p7_report)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_balanced, p3_found, p4_found, p4_groups, p6_ids, p7_packing, p7_report)}
+
+_CONTENT = """
+      with recursive c as (
+        select distinct knowledge_unit_id as id, lower(regexp_replace(regexp_replace(coalesce(title, '') || ' ' || text, '[ \\t\\r\\n\\x{3000}]+', ' ', 'g'), '^ | $', '', 'g')) as t
+        from knowledge_units where knowledge_unit_id is not null and regexp_matches(text, '[^\\s\\x{3000}\\x{A0}\\x{85}]')),
+      g as (select distinct id, substr(t, i, 5) as g from (select id, t, unnest(range(1, length(t) - 3)) as i from c)),
+      n as (select id, count(*) as n from g group by 1),
+      met as (select a.id as a, b.id as b, count(*) as k from g a join g b on a.g = b.g and a.id < b.id group by 1, 2),
+      pairs as (select a, b from met join n x on x.id = a join n y on y.id = b where k / (x.n + y.n - k) >= 0.7)"""
 
 ORACLES = {
+    "p4_found": _CONTENT + " select a as unit_id_a, b as unit_id_b from pairs",
+    "p4_groups": _CONTENT + """,
+      reach as (
+        select id as u, id as v from n union
+        select r.u, case when p.a = r.v then p.b else p.a end from reach r join pairs p on p.a = r.v or p.b = r.v),
+      class as (select c.id, min(o.id) as class_id, any_value(c.t) as t from c join c o on o.t = c.t group by c.id)
+      select n.id as unit_id, class_id, (select min(v) from reach where u = n.id) as group_id,
+        (select count(distinct o.t) from pairs p join class o on o.id = case when p.a = n.id then p.b else p.a end where (p.a = n.id or p.b = n.id) and o.t <> class.t) as n_links
+      from n join class using (id)""",
     "p2_found": """
       with recursive spans as (
         select distinct c.chunk_id, c.body_start as s, c.body_end as e, coalesce(u.text, '') as t from rag_chunks c
