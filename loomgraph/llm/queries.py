@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomgraph.llm import near_duplicates, neighbours, packing, splitting, tokens
+from loomgraph.llm import near_duplicates, neighbours, packing, splitting, tokens, toxicity
 from loomgraph.workspace import table
 
 
@@ -41,7 +41,19 @@ def p7_report(spark: SparkSession, d: str) -> DataFrame:
     return packing.packing_report(p7_packing(spark, d))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_balanced, p3_found, p4_found, p4_groups, p6_ids, p7_packing, p7_report)}
+def p8_scores(spark: SparkSession, d: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, d, "documents"), table(spark, d, "doc_labels"))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return p8_scores(spark, d).where("offending").select("doc_id").distinct()
+
+
+def p8_rates(spark: SparkSession, d: str) -> DataFrame:
+    return toxicity.rates_per_source(p8_scores(spark, d))
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p2_balanced, p3_found, p4_found, p4_groups, p6_ids, p7_packing, p7_report, p8_found, p8_scores, p8_rates)}
 
 _CONTENT = """
       with recursive c as (
