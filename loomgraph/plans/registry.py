@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from loomgraph.plans import dealt
+from loomgraph.plans import dealt, retrieval
 
-MODULES = [dealt]
+MODULES = [dealt, retrieval]
 
 
 def queries() -> dict:
@@ -16,4 +16,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 def flagship(spark, sf_dir: str):
-    return queries()["p5_found"](spark, sf_dir)
+    return queries()["bm25_topk"](spark, sf_dir)
