@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from loomgraph.plans import dealt, retrieval
+from loomgraph.plans import dealt, retrieval, structure
 
-MODULES = [dealt, retrieval]
+MODULES = [dealt, retrieval, structure]
 
 
 def queries() -> dict:
