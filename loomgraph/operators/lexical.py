@@ -13,11 +13,20 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from loomgraph.functions.text import tokens
 
 K1, B = 1.2, 0.75
+#: Query terms (of all queries together) that are broadcast at most, some 50 bytes each.
+BROADCAST_TERMS = 1_000_000
 
 
 def postings(docs: DataFrame, doc: str, text: str) -> DataFrame:
-    """``doc, len, term, tf``: how often each term occurs in each document."""
-    toks = docs.select(F.col(doc).alias("doc"), tokens(F.col(text)).alias("t")).repartition("doc")
+    """``doc, len, term, tf``: how often each term occurs in each document.
+
+    The number of partitions is fixed, at twice the session's: AQE would size them by the bytes of the texts,
+    and the work behind is a thousand times that.  A number of its own keeps the exchange from being merged
+    with one below that AQE may shrink.
+    """
+    parts = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = docs.select(F.col(doc).alias("doc"), F.col(text).alias("text")).repartition(parts, "doc")
+    toks = spread.select("doc", tokens(F.col("text")).alias("t"))
     return toks.select("doc", F.size("t").alias("len"), F.explode("t").alias("term")).groupBy("doc", "len", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -36,10 +45,13 @@ def query_terms(queries: DataFrame, query: str, text: str) -> DataFrame:
     return t.groupBy("query", "term").agg((1 + F.log1p(F.count(F.lit(1)))).alias("weight"))
 
 
-def _contribution(n: Column, avgdl: Column) -> Column:
-    idf = F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    tf = F.col("tf")
-    return idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("len") / avgdl)) * F.col("weight")
+def term_weight(n: Column, df: Column, weight: Column) -> Column:
+    """What a query's term is worth before a document's share of it: inverse document frequency times query weight."""
+    return F.log(1 + (n - df + 0.5) / (df + 0.5)) * weight
+
+
+def saturation(tf: Column, length: Column, avgdl: Column) -> Column:
+    return tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / avgdl))
 
 
 def bm25(docs: DataFrame, doc: str, text: str, queries: DataFrame, query: str, query_text: str) -> DataFrame:
@@ -53,9 +65,14 @@ def bm25(docs: DataFrame, doc: str, text: str, queries: DataFrame, query: str, q
     # only terms that are asked take part; df counts are per asked term
     asked = p.join(q.select("term").distinct(), "term", "left_semi")
     df = document_frequency(asked)
-    weights = q.join(df, "term")
-    scored = asked.join(weights, "term").crossJoin(F.broadcast(corpus_stats(docs, text)))
-    total = scored.groupBy("query", "doc").agg(F.sum(_contribution(F.col("n"), F.col("avgdl"))).alias("score"))
+    # each logarithm once per query term, each saturation once per posting; a pair costs one product
+    stats = F.broadcast(corpus_stats(docs, text))
+    weights = q.join(df, "term").crossJoin(stats).select("query", "term", term_weight(F.col("n"), F.col("df"), F.col("weight")).alias("w"))
+    # the postings stay where they are as long as the terms asked are few; else the planner chooses
+    if q.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS:
+        weights = F.broadcast(weights)
+    shares = asked.crossJoin(stats).select("doc", "term", saturation(F.col("tf"), F.col("len"), F.col("avgdl")).alias("s"))
+    total = shares.join(weights, "term").groupBy("query", "doc").agg(F.sum(F.col("w") * F.col("s")).alias("score"))
     return total.where("score > 0")
 
 

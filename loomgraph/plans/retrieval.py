@@ -179,7 +179,7 @@ def filter_node_then_score(spark, d):
     dfs = post.groupBy("node", "term").agg(F.count(F.lit(1)).alias("df"))
     qt = stats.select("node", F.explode(T.tokens(F.col("title"))).alias("term")).groupBy("node", "term").agg((1 + F.log1p(F.count(F.lit(1)))).alias("weight"))
     joined = post.join(qt, ["node", "term"]).join(dfs, ["node", "term"]).join(stats.select("node", "n", "avgdl"), "node")
-    return joined.groupBy("node", "chunk_id").agg(F.round(F.sum(L._contribution(F.col("n"), F.col("avgdl"))), 6).alias("score"))
+    return joined.groupBy("node", "chunk_id").agg(F.round(F.sum(L.term_weight(F.col("n"), F.col("df"), F.col("weight")) * L.saturation(F.col("tf"), F.col("len"), F.col("avgdl"))), 6).alias("score"))
 
 
 @query(f"""select q.vec_id as query, v.vec_id as vec_id, row_number() over (partition by q.vec_id order by round(list_dot_product(q.embedding::double[], v.embedding::double[]), 6) desc, v.vec_id) as rank,
