@@ -1,15 +1,16 @@
 """Groups of near-duplicate records: an LSH forest over min-hash signatures, then exact verification.
 
-Each content has 128 min-hashes of its character shingles.  A tree of the forest is an order of the
-contents by a label of ten of them, 12 bits each; neighbours in that order are contents whose labels share
-a long prefix.  A *region* is a common prefix: five values deep where few contents share it, deeper
-where more than ``REGION`` do, and contents that share even a whole label are compared block against block, so no
-region is cut short.  Inside a region the pairs whose one-bit sketches agree enough are candidates; they are
-verified on their shingles.
-
-With 64 trees a pair of similarity 0.7 shares five values somewhere with probability above 0.9999, seven
-with 0.996; the sketch passes it with probability above 0.9999.  Equal contents are one class from the
-start.
+Each content has 128 min-hashes of its character shingles.  A tree of the forest is an order of the contents
+by a label of min-hashes; neighbours in that order are contents whose labels share a long prefix.  A *region*
+is a common prefix, five values deep where few contents share it.  Where more than ``REGION`` do, the region
+branches into ``FAN`` deeper orders of three further values, each an order of its own, and so on: a pair that
+was together stays together in at least one branch with probability above 0.998, so depth adapts without losing
+pairs.  What is crowded at the last depth is compared block against block, so no region is cut short.  Sorting by
+region brings neighbours together; inside, the pairs whose one-bit sketches agree enough are candidates, which
+are verified on their shingles.
+
+With 64 trees a pair of similarity 0.7 shares five values somewhere with probability above 0.9999; the
+sketch passes it with probability above 0.9999.  Equal contents are one class from the start.
 """
 
 from __future__ import annotations
@@ -20,12 +21,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from loomgraph.workspace import Workspace
 
-HASHES, TREES, LABEL, BITS = 128, 64, 10, 12
-DEPTHS = (5, 7, 10)
+HASHES, TREES, PREFIX = 128, 64, 5
+#: A crowded region branches into this many orders of this many further values, at most so many times.
+FAN, FURTHER, LEVELS = 16, 3, 2
 REGION = 1024
 #: Least share of equal bits of the sketches; a pair of similarity 0.7 has 0.85 on average, four deviations above.
 SKETCH = 0.72
@@ -33,7 +35,8 @@ SKETCH = 0.72
 WRITTEN_OUT = 1000
 _RNG = np.random.default_rng(5)
 _FACTORS = _RNG.integers(1 << 62, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_ORDERS = np.stack([_RNG.permutation(HASHES)[:LABEL] for _ in range(TREES)])
+_ORDERS = np.stack([_RNG.permutation(HASHES)[:PREFIX] for _ in range(TREES)])
+_BRANCHES = np.stack([[_RNG.permutation(HASHES)[:FURTHER] for _ in range(FAN)] for _ in range(LEVELS)])
 _SPACES = re.compile("[ \t\r\n　]+")
 
 
@@ -91,48 +94,65 @@ def _signatures(classes: DataFrame) -> DataFrame:
     return classes.select("cid", "content").mapInArrow(run, "cid bigint, values binary, s0 bigint, s1 bigint")
 
 
+def _mixed(values: np.ndarray, seed: np.ndarray) -> np.ndarray:
+    """A hash of the last axis of ``values`` and a seed of the other axes."""
+    h = np.broadcast_to(seed.astype(np.uint64), values.shape[:-1]) * np.uint64(0x9E3779B97F4A7C15)
+    for i in range(values.shape[-1]):
+        h = (h ^ values[..., i].astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93)
+        h = h ^ (h >> np.uint64(32))
+    return h.view(np.int64)
+
+
 def _labels(signatures: DataFrame) -> DataFrame:
-    """One row per content and tree: ``tree, hi, lo`` (the label, five values each), ``cid``, the sketch."""
+    """One row per content and tree: ``region`` (tree and common prefix), ``cid``, the sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.num_rows
-            v = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(n, HASHES)[:, _ORDERS].astype(np.int64) & ((1 << BITS) - 1)
-            shift = np.arange(4, -1, -1) * BITS
-            hi, lo = (v[:, :, :5] << shift).sum(axis=2), (v[:, :, 5:] << shift).sum(axis=2)
+            v = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(n, HASHES)[:, _ORDERS]
             at = pa.array(np.repeat(np.arange(n), TREES))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.tile(np.arange(TREES, dtype=np.int32), n)), pa.array(hi.ravel()), pa.array(lo.ravel()), *(batch.column(i).take(at) for i in (0, 2, 3))],
-                ["tree", "hi", "lo", "cid", "s0", "s1"],
-            )
+            region = _mixed(v, np.arange(1, TREES + 1)[None, :]).ravel()
+            yield pa.RecordBatch.from_arrays([pa.array(region), *(batch.column(i).take(at) for i in (0, 2, 3))], ["region", "cid", "s0", "s1"])
+
+    return signatures.select("cid", "values", "s0", "s1").mapInArrow(run, "region bigint, cid bigint, s0 bigint, s1 bigint")
+
 
-    return signatures.select("cid", "values", "s0", "s1").mapInArrow(run, "tree int, hi bigint, lo bigint, cid bigint, s0 bigint, s1 bigint")
+def _branched(rows: DataFrame, signatures: DataFrame, level: int) -> DataFrame:
+    """Rows of crowded regions, each in ``FAN`` deeper ones."""
+    orders = _BRANCHES[level]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            v = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint16).reshape(n, HASHES)[:, orders]
+            parent = np.asarray(batch.column(0)).view(np.uint64)[:, None] + np.arange(FAN, dtype=np.uint64)[None, :]
+            at = pa.array(np.repeat(np.arange(n), FAN))
+            yield pa.RecordBatch.from_arrays([pa.array(_mixed(v, parent).ravel()), *(batch.column(i).take(at) for i in (1, 2, 3))], ["region", "cid", "s0", "s1"])
 
-def _prefix(depth: int) -> list[Column]:
-    return [F.col("tree"), F.col("hi"), F.shiftright("lo", BITS * (LABEL - depth)).alias("low")]
+    held = rows.join(signatures.select("cid", "values"), "cid").select("region", "cid", "s0", "s1", "values")
+    return held.mapInArrow(run, "region bigint, cid bigint, s0 bigint, s1 bigint")
 
 
-def _regions(labels: DataFrame, ws: Workspace) -> DataFrame:
+def _regions(signatures: DataFrame, ws: Workspace) -> DataFrame:
     """``region, side, cid, s0, s1``: who is compared with whom; -1 as side means everyone in the region."""
     cols = ["cid", "s0", "s1"]
-    pending, done = labels, []
-    for depth in DEPTHS:
-        key = F.xxhash64(*_prefix(depth), F.lit(depth)).alias("region")
-        pending = pending.withColumn("low", F.shiftright("lo", BITS * (LABEL - depth)))
-        crowded = ws.write(pending.groupBy("tree", "hi", "low").count().where(F.col("count") > REGION), f"crowded{depth}")
+    everyone = F.lit(-1).alias("side")
+    pending, done = _labels(signatures), []
+    for level in range(LEVELS + 1):
+        crowded = ws.write(pending.groupBy("region").count().where(F.col("count") > REGION), f"crowded{level}")
         if not crowded.limit(1).count():
-            return _union([*done, pending.select(key, F.lit(-1).alias("side"), *cols)])
-        on = ["tree", "hi", "low"]
-        done.append(pending.join(crowded, on, "left_anti").select(key, F.lit(-1).alias("side"), *cols))
-        pending = pending.join(crowded, on) if depth == DEPTHS[-1] else pending.join(crowded, on, "left_semi").drop("low")
-    # equal labels to the end: blocks of about REGION, each block against each
+            return _union([*done, pending.select("region", everyone, *cols)])
+        done.append(pending.join(crowded, "region", "left_anti").select("region", everyone, *cols))
+        pending = pending.join(crowded, "region")
+        if level < LEVELS:
+            pending = ws.write(_branched(pending, signatures, level), f"branched{level}")
+    # crowded to the end: blocks of about REGION, each block against each
     blocks = F.ceil(F.col("count") / REGION).cast("int")
     own = F.pmod(F.xxhash64("cid"), blocks).cast("int")
-    grid = pending.select("tree", "hi", "lo", *cols, own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    grid = pending.select("region", *cols, own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
     a, b = F.least("own", "other"), F.greatest("own", "other")
     side = F.when(a == b, -1).otherwise(F.when(F.col("own") == a, 0).otherwise(1)).cast("int")
-    done.append(grid.select(F.xxhash64("tree", "hi", "lo", a, b, F.lit(99)).alias("region"), side.alias("side"), *cols))
+    done.append(grid.select(F.xxhash64("region", a, b).alias("region"), side.alias("side"), *cols))
     return _union(done)
 
 
@@ -235,7 +255,7 @@ def _classes(units: DataFrame, key: str, ws: Workspace) -> tuple[DataFrame, Data
 def similar_classes(classes: DataFrame, ws: Workspace, threshold: float = 0.7) -> DataFrame:
     """``a, b, similarity``: pairs of distinct contents that are at least ``threshold`` similar."""
     signatures = ws.write(_signatures(classes), "signatures")
-    candidates = ws.write(_candidates(_regions(_labels(signatures), ws)), "candidates")
+    candidates = ws.write(_candidates(_regions(signatures, ws)), "candidates")
     return ws.write(_verified(candidates, classes, threshold), "similar")
 
 

@@ -151,10 +151,13 @@ def sentences(texts: list[str | None]) -> Sentences:
     lone[:-1] &= ~letter[1:]
     tie = np.zeros(len(c), bool)
     tie[1:-1] = between[1:-1] & lone[:-2] & lone[2:]
-    # a star or dot inside a word of ideographs or letters goes too
+    # a single sign or space between ideographs goes, and a star or dot inside a word
+    wide = letter & (c >= 0x2E80)
+    parted = np.zeros(len(c), bool)
+    parted[1:-1] = gap[1:-1] & wide[:-2] & wide[2:] & np.isin(c[1:-1], np.frombuffer(" *·•^~`'_-./|+".encode("utf-32-le"), np.uint32))
     star = np.zeros(len(c), bool)
     star[1:-1] = between[1:-1] & np.isin(c[1:-1], np.frombuffer("*·•^~`'".encode("utf-32-le"), np.uint32))
-    keep = ~(tie | star)
+    keep = ~(tie | star | parted)
     c, k, owner = c[keep], k[keep], owner[keep]
     k[(k == _OTHER) & (c < 32)] = _SPACE
     c[k == _SPACE] = 32
