@@ -9,13 +9,17 @@ IDEOGRAPHS = r"\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}"
 LATIN = r"[A-Za-z0-9]+(?:[._-][A-Za-z0-9]+)*"
 #: Drive letters and network shares of private folders (fixed value).
 PRIVATE_PATH = r"(?i)(?:^|[^A-Z0-9])[A-Z]:[\\/]|\\\\(?:users|home|private|documents)[\\/]"
-#: Patterns of secrets and personal data by name (fixed values).
+#: Absolute paths of common systems, case as written (fixed value).
+ABSOLUTE_PATH = r"(?:(?:^|[^A-Z0-9])[A-Z]:[\\/]|\\\\|/(?:home|Users|mnt|opt|private|root|tmp|var|workspace)(?:/|$))"
+#: What is replaced in public messages (fixed value).
+PATH_IN_MESSAGE = r"""(?:(?:[A-Za-z]:[\\/])|(?:\\\\))[^\s"'<>;,)]*"""
+#: Patterns of private paths and secrets by name (fixed values).
 SECRETS = {
-    "credential": r"(?i)(?:api[_-]?key|secret|token|password)\s*[:=]\s*\S{8,}",
-    "private_key": r"-----BEGIN [A-Z ]*PRIVATE KEY-----",
-    "hosted_token": r"gh[pousr]_[A-Za-z0-9]{20,}",
-    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+\.[A-Za-z]{2,}",
-    "long_number": r"[0-9]{17}[0-9Xx]",
+    "windows_absolute_path": r"(?i)(?:^|[^A-Z0-9])[A-Z]:[\\/]",
+    "windows_user_path": r"(?i)[A-Z]:\\Users\\[^\\\s]+",
+    "unix_home_path": r"/(?:home|Users)/[^/\s]+",
+    "credential_assignment": r"""(?i)(?:api[_-]?key|access[_-]?token|client[_-]?secret|password)\s*[:=]\s*['"]?[A-Za-z0-9_\-]{12,}""",
+    "github_token": r"(?:ghp|gho|github_pat)_[A-Za-z0-9_]{20,}",
 }
 BLANK = r"(?U)\A[\s\x{1C}-\x{1F}]*\z"
 
@@ -50,9 +54,18 @@ def has_private_path(text: Column) -> Column:
     return F.coalesce(text.rlike(PRIVATE_PATH), F.lit(False))
 
 
+def has_absolute_path(text: Column) -> Column:
+    return F.coalesce(text.rlike(ABSOLUTE_PATH), F.lit(False))
+
+
+def secrets(text: Column) -> Column:
+    """Names of the patterns that match, in one pass over the text."""
+    return F.array_compact(F.array(*[F.when(text.rlike(rx), F.lit(name)) for name, rx in SECRETS.items()]))
+
+
 def redact_paths(text: Column) -> Column:
     """Absolute paths become <path>."""
-    return F.regexp_replace(text, r"(?:[A-Za-z]:[\\/]|/(?:home|root|tmp|Users|var)/)[^\s,;]*", "<path>")
+    return F.regexp_replace(text, PATH_IN_MESSAGE, "<path>")
 
 
 def is_identifier(text: Column, longest: int = 128) -> Column:

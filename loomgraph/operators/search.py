@@ -21,9 +21,9 @@ def filter_chunks(chunks: DataFrame, source: str | None = None, subject: str | N
     for column, value in (("source_id", source), ("subject_root", subject)):
         if value is not None:
             if not value.strip():
-                raise QueryInputError(f"{column} filter must not be empty")
+                raise QueryInputError(f"a blank value can't select by {column}")
             if not chunks.where(F.col(column) == value).limit(1).count():
-                raise QueryInputError(f"unknown {column}: {value}")
+                raise QueryInputError(f"no chunk has {column} {value!r}")
             out = out.where(F.col(column) == value)
     return out if node_id is None else out.where(F.col("knowledge_unit_id") == node_id)
 
@@ -35,18 +35,18 @@ def exact_lookup(chunks: DataFrame, nodes: DataFrame, node: str = "node_id") ->
 
 
 def check_request(query: object, node_id: object, method: str, limit: int) -> None:
-    if method not in METHODS:
-        raise QueryInputError(f"unknown method: {method}")
-    if limit <= 0:
-        raise QueryInputError("limit must be positive")
-    if query is not None and not isinstance(query, str):
-        raise QueryInputError("query must be a string")
-    if node_id is not None and not (isinstance(node_id, str) and node_id.strip()):
-        raise QueryInputError("node_id must be a non-empty string")
-    if query and "\x00" in query:
-        raise QueryInputError("query contains NUL")
-    if not (query and query.strip()) and node_id is None:
-        raise QueryInputError("query or node_id is required")
+    """Raise on the first thing that makes a request meaningless."""
+    blank = query is None or (isinstance(query, str) and not query.strip())
+    faults = {
+        f"method is one of {', '.join(METHODS)}": method in METHODS,
+        "at least one result has to be asked for": limit > 0,
+        "a query is text without NUL": query is None or (isinstance(query, str) and "\x00" not in query),
+        "a node id is text that isn't blank": node_id is None or (isinstance(node_id, str) and bool(node_id.strip())),
+        "a request names a query, a node or both": not blank or node_id is not None,
+    }
+    for demand, met in faults.items():
+        if not met:
+            raise QueryInputError(demand)
 
 
 @dataclass

@@ -66,11 +66,19 @@ def private_path_scan(spark, d):
     return table(spark, d, "documents").select("doc_id", T.has_private_path(F.col("text")).alias("private"))
 
 
-@query("\nunion all ".join(f"select '{name}' as pattern, doc_id from documents where regexp_matches(text, '{rx}')" for name, rx in T.SECRETS.items()))
+def _quoted(rx: str) -> str:
+    return "'" + rx.replace("'", "''") + "'"
+
+
+@query("\nunion all ".join(f"select '{name}' as pattern, doc_id from documents where regexp_matches(text, {_quoted(rx)})" for name, rx in T.SECRETS.items()))
 def secret_scan(spark, d):
-    """One pass: each text meets all patterns, and a row per match comes out."""
-    hits = F.array_compact(F.array(*[F.when(F.col("text").rlike(rx), F.lit(name)) for name, rx in T.SECRETS.items()]))
-    return table(spark, d, "documents").select(F.explode(hits).alias("pattern"), "doc_id")
+    return table(spark, d, "documents").select(F.explode(T.secrets(F.col("text"))).alias("pattern"), "doc_id")
+
+
+@query(f"select knowledge_unit_id from knowledge_units where regexp_matches(coalesce(text, ''), {_quoted(T.ABSOLUTE_PATH)}) or regexp_matches(coalesce(source_locator, ''), {_quoted(T.ABSOLUTE_PATH)})")
+def absolute_path_scan(spark, d):
+    u = table(spark, d, "knowledge_units")
+    return u.where(T.has_absolute_path(F.col("text")) | T.has_absolute_path(F.col("source_locator"))).select("knowledge_unit_id")
 
 
 @query("select distinct node_id, regexp_full_match(node_id, '[A-Za-z0-9][A-Za-z0-9._-]{0,127}') as valid from kg_nodes where node_id is not null")
@@ -78,7 +86,7 @@ def identifier_check(spark, d):
     return table(spark, d, "kg_nodes").where("node_id is not null").select("node_id", T.is_identifier(F.col("node_id")).alias("valid")).distinct()
 
 
-@query(r"select doc_id, regexp_replace(text, '(?:[A-Za-z]:[\\/]|/(?:home|root|tmp|Users|var)/)[^\s,;]*', '<path>', 'g') as text from documents where text is not null")
+@query(f"select doc_id, regexp_replace(text, {_quoted(T.PATH_IN_MESSAGE)}, '<path>', 'g') as text from documents where text is not null")
 def redact_paths(spark, d):
     return table(spark, d, "documents").where("text is not null").select("doc_id", T.redact_paths(F.col("text")).alias("text"))
 

@@ -111,6 +111,9 @@ def test_text_predicates(spark):
     got = spark.createDataFrame(rows, "t string").select(T.is_unsafe(F.col("t")), T.has_private_path(F.col("t"))).collect()
     assert [r[0] for r in got] == [True, True, True, True, False, False, False, False]
     assert [r[1] for r in got] == [False, False, False, False, False, True, False, True]
+    hits = spark.createDataFrame([("at C:\\Users\\bob x",), ("api_key = 'abcdefghijklmnop'",), ("see /home/bob/x",), (None,)], "t string").select(T.secrets(F.col("t")), T.redact_paths(F.col("t"))).collect()
+    assert hits[0][0] == ["windows_absolute_path", "windows_user_path"] and hits[1][0] == ["credential_assignment"] and hits[2][0] == ["unix_home_path"] and hits[3][0] == []
+    assert hits[0][1] == "at <path> x"
     ids = spark.createDataFrame([("a.b-c",), ("a\n",), ("-a",), (None,), ("a" * 129,)], "t string").select(T.is_identifier(F.col("t"))).collect()
     assert [r[0] for r in ids] == [True, False, False, False, False]
     paths = spark.createDataFrame([("a/b",), ("/a",), ("a/../b",), ("c:x",), ("",), (None,)], "t string").select(T.is_safe_relative_path(F.col("t"))).collect()
