@@ -21,11 +21,13 @@ def latest(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
 
 
 def current_units(units: DataFrame) -> DataFrame:
-    return latest(units, ["knowledge_unit_id"], F.desc_nulls_last("recorded_at"), F.asc_nulls_first("text"))
+    """The latest row of each unit; of several at one time the smallest text hash, so texts need not be read to choose."""
+    return latest(units, ["knowledge_unit_id"], F.desc_nulls_last("recorded_at"), F.asc_nulls_first("text_sha256"))
 
 
 def current_chunks(chunks: DataFrame) -> DataFrame:
-    return latest(chunks, ["chunk_id"], F.desc_nulls_last("recorded_at"), F.asc_nulls_first("search_text"))
+    """The latest row of each chunk; of several at one time the smallest text hash and span."""
+    return latest(chunks, ["chunk_id"], F.desc_nulls_last("recorded_at"), F.asc_nulls_first("full_text_sha256"), F.asc_nulls_first("body_start"), F.asc_nulls_first("body_end"))
 
 
 def collection(bundles: dict[str, DataFrame], key: str) -> DataFrame:

@@ -82,6 +82,19 @@ def _scorer(shared, dim: int, k: int | None, cosine: bool):
     return run
 
 
+def pooled(output: np.ndarray, rows: int) -> np.ndarray:
+    """One vector per text of a model's output: the first token's of a sequence output, else as it is."""
+    x = output[:, 0] if output.ndim == 3 else output
+    if x.ndim != 2 or len(x) != rows:
+        raise ValueError(f"{rows} texts gave an output of shape {output.shape}")
+    return x
+
+
+def model_conflicts(manifests: dict[str, dict], fields: list[str]) -> list[str]:
+    """Fields in which the models of bundles that are to be searched together differ."""
+    return [f for f in fields if len({repr(m.get(f)) for m in manifests.values()}) > 1]
+
+
 def encode(df: DataFrame, id_col: str, text: str, make: Callable[[], Encoder]) -> DataFrame:
     """``id_col, embedding``: unit vectors of texts by an encoder that each worker makes once."""
     kind = df.schema[id_col].dataType.simpleString()
@@ -89,7 +102,9 @@ def encode(df: DataFrame, id_col: str, text: str, make: Callable[[], Encoder]) -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = make()
         for batch in batches:
-            x = np.asarray(encoder([t or "" for t in batch.column(1).to_pylist()]), np.float32)
+            if not batch.num_rows:
+                continue
+            x = pooled(np.asarray(encoder([t or "" for t in batch.column(1).to_pylist()]), np.float32), batch.num_rows)
             size = np.linalg.norm(x, axis=1, keepdims=True)
             if not (np.isfinite(x).all() and (size > 0).all()):
                 raise ValueError("the encoder gave a zero or non-finite vector")

@@ -83,6 +83,11 @@ def input_violations(queries: DataFrame, qrels: DataFrame, rankings: DataFrame)
     return out
 
 
+def over_limit(rankings: DataFrame, k: int, *by: str) -> DataFrame:
+    """Requests that were given more than k results; such a ranking is invalid, and only its first k may be looked at."""
+    return rankings.groupBy(*by).agg(F.count(F.lit(1)).alias("n_results")).where(F.col("n_results") > k)
+
+
 def replay_diff(left: DataFrame, right: DataFrame, keys: list[str], k: int = 5) -> DataFrame:
     """Keys whose ranked id lists differ in the first k places, with both lists; a key on one side only differs."""
     lists = lambda df, name: df.where(F.col("rank") <= k).groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "id"))), lambda x: x.id).alias(name))

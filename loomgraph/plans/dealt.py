@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loomgraph.operators.hierarchy import build_hierarchy, links_of, paths
+from loomgraph.operators.hierarchy import build_hierarchy, descendants, links_of, paths
 from loomgraph.operators.orphans import find_orphans, orphans_per_period, references, targets
 from loomgraph.workspace import table
 
@@ -39,12 +39,18 @@ def p5_descendants(spark: SparkSession, d: str) -> DataFrame:
     return h.where("depth > 0").select("node_id", "descendants")
 
 
+def p5_closure(spark: SparkSession, d: str) -> DataFrame:
+    """Every node of a tree with each of its ancestors: the descendants of every node."""
+    rows = paths(build_hierarchy(links_of(table(spark, d, "kg_edges"))))
+    return descendants(rows.where("depth > 0"))
+
+
 def p5_cycles(spark: SparkSession, d: str) -> DataFrame:
     h = build_hierarchy(links_of(table(spark, d, "kg_edges")))
     return h.where("depth = -1").select(F.col("root_node_id").alias("cycle_id"), "node_id", "parent_id")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_orphans_per_month, p5_found, p5_paths, p5_descendants, p5_cycles)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_orphans_per_month, p5_found, p5_paths, p5_descendants, p5_closure, p5_cycles)}
 
 _REFS = """
 with refs as (
@@ -91,5 +97,7 @@ ORACLES = {
              else array_to_string(list_reverse(seen[1:list_position(seen, p)]), ' > ') end as path from judged""",
     "p5_descendants": _LINKS + """select j.node as node_id, (select count(*) from judged k where k.depth > 0 and k.node <> j.node and list_contains(k.seen, j.node)) as descendants
       from judged j where j.depth > 0""",
+    "p5_closure": _LINKS + """select ancestor_id, node_id, cast(distance as int) as distance from (
+      select node as node_id, unnest(list_append(seen[2:], p)) as ancestor_id, unnest(range(1, len(seen) + 1)) as distance from judged where depth > 0)""",
     "p5_cycles": _LINKS + "select j.root as cycle_id, j.node as node_id, l.parent as parent_id from judged j join links l on l.child = j.node where depth = -1",
 }

@@ -52,8 +52,8 @@ def both_ways(spark: SparkSession, d: str) -> DataFrame:
 _RE = r"([\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}]+|[A-Za-z0-9]+(?:[._-][A-Za-z0-9]+)*)"
 TOKENS = f"""flatten(list_transform(regexp_extract_all(coalesce(%s, ''), '{_RE}'), lambda r: case when regexp_matches(r, '^[A-Za-z0-9]') then [lower(r)]
   else list_concat(list_transform(range(1, length(r) + 1), lambda i: substr(r, i, 1)), list_transform(range(1, length(r)), lambda i: substr(r, i, 2))) end))"""
-CHUNKS = "chunks as (select * from rag_chunks where chunk_id is not null qualify row_number() over (partition by chunk_id order by recorded_at desc nulls last, search_text nulls first) = 1)"
-UNITS = "units as (select * from knowledge_units where knowledge_unit_id is not null qualify row_number() over (partition by knowledge_unit_id order by recorded_at desc nulls last, text nulls first) = 1)"
+CHUNKS = "chunks as (select * from rag_chunks where chunk_id is not null qualify row_number() over (partition by chunk_id order by recorded_at desc nulls last, full_text_sha256 nulls first, body_start nulls first, body_end nulls first) = 1)"
+UNITS = "units as (select * from knowledge_units where knowledge_unit_id is not null qualify row_number() over (partition by knowledge_unit_id order by recorded_at desc nulls last, text_sha256 nulls first) = 1)"
 ASKED = "asked as (select doc_id as query, text from documents where doc_kind = 'query' and text is not null)"
 VECTORS = """vecs as (select m.chunk_id, m."row", x.embedding::double[] as e from (select chunk_id, min("row") as "row" from vector_manifest where chunk_id is not null and "row" is not null group by 1) m
   join (select "row", any_value(embedding) as embedding from vector_matrix where len(embedding) = 512 and list_count(embedding) = 512

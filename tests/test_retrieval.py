@@ -60,6 +60,14 @@ def test_encode(spark):
     assert abs(sum(x * x for x in out[1]) - 1) < 1e-6 and len(out) == 2
 
 
+def test_models_and_pooling():
+    assert D.pooled(np.zeros((2, 5, 3)), 2).shape == (2, 3)
+    for bad in (np.zeros((3, 3)), np.zeros(4)):
+        with pytest.raises(ValueError):
+            D.pooled(bad, 2)
+    assert D.model_conflicts({"a": {"dim": 512, "rev": 1}, "b": {"dim": 512, "rev": 2}}, ["dim", "rev"]) == ["rev"]
+
+
 def test_fusion_prefers_dense_chunk(spark):
     lex = fusion.rank_units(spark.createDataFrame([(1, "u", "c1", 2.0), (1, "w", "c9", 1.0)], "query int, unit string, doc string, score double"))
     den = fusion.rank_units(spark.createDataFrame([(1, "v", "c3", 0.9), (1, "u", "c2", 0.5)], "query int, unit string, doc string, score double"))
@@ -125,3 +133,20 @@ def test_vectors(spark):
     assert [r[0] for r in v.select(V.is_valid(F.col("e"), 2)).collect()] == [True, False, False, False, False]
     unit = v.limit(1).select(V.normalized(F.col("e"))).first()[0]
     assert abs(unit[0] - 0.6) < 1e-6 and v.select(V.normalized(F.col("e"))).collect()[1][0] is None
+
+
+def test_tokens_against_a_scan(spark):
+    import random
+    import re
+
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("塔板率效abAB01._- 、。㐀豈😀é") for _ in range(rng.randrange(40))) for _ in range(400)]
+
+    def scan(s):
+        out = []
+        for run in re.findall(r"[㐀-䶿一-鿿豈-﫿]+|[A-Za-z0-9]+(?:[._-][A-Za-z0-9]+)*", s):
+            out += [run.lower()] if run[0].isascii() else [*run, *map("".join, zip(run, run[1:]))]
+        return out
+
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", T.tokens(F.col("t"))).collect()
+    assert all(r[1] == scan(texts[r[0]]) for r in got)

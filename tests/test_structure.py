@@ -59,6 +59,7 @@ def test_metrics(spark):
     assert agg["any_hit"].mrr_at_k == 0.25 and agg["relation_only"].hit_at_k is None
     bad = {(r["query"], r.problem) for r in E.input_violations(q, rel, spark.createDataFrame(runs[:2] + [("q9", 1, "a")], "query string, rank int, id string")).collect()}
     assert ("q9", "unknown query") in bad and ("q2", "no ranking") in bad
+    assert [r["query"] for r in E.over_limit(spark.createDataFrame(runs, "query string, rank int, id string"), 2, "query").collect()] == ["q2"]
     with pytest.raises(ValueError):
         E.diagnose(q, rel, q, k=0)
 
