@@ -8,7 +8,8 @@ and rare expressions are judged by their parts.
 
 Labels are given per document, and an offending document is mostly ordinary text.  Hence the fit finds
 the offending sentences: the toxic model starts from sentences of offending documents, and in each round
-keeps the best one of each.  The fit runs on at most ``FIT_DOCS`` labelled documents per class; scoring is one pass
+keeps the best one of each; at last each part of the documents is judged by a model of the others, which drops documents
+labelled wrongly.  The fit runs on at most ``FIT_DOCS`` labelled documents per class; scoring is one pass
 over all documents in Arrow batches, without a shuffle.
 """
 
@@ -27,10 +28,12 @@ from loomgraph.workspace import Workspace
 #: Labelled documents of each class used for the fit, at most; which ones is decided by a hash of the id.
 FIT_DOCS = 4000
 ORDER = 5
-ROUNDS = 3
+ROUNDS = 2
+#: Parts of the offending documents for the last choice of sentences, each judged by the others.
+FOLDS = 4
 #: Added to a sentence's length, so that a few characters alone can't decide.
 STEADY = 6.0
-THRESHOLD = 0.35
+THRESHOLD = 0.1
 #: Share of offending documents labelled ordinary, and the lead in log-likelihood that calls a sentence innocent.
 NOISE, MARGIN = 0.08, 1.0
 SLICE_CHARS = 1_000_000
@@ -313,20 +316,30 @@ class KneserNeyPair:
         return (total + self.prior) / (s.lengths() - 1 + STEADY)
 
 
-def fit(texts: list[str], labels: np.ndarray, rounds: int = ROUNDS) -> KneserNeyPair:
+def fit(texts: list[str], labels: np.ndarray, rounds: int = ROUNDS, folds: int = FOLDS) -> KneserNeyPair:
     """Models from labelled documents; see the module's text for how offending sentences are found."""
     s = sentences(texts)
     bad = labels[s.text] == 1
     suspect, at = s.pick(bad), s.text[bad]
     ordinary = Counts(s.pick(~bad), ORDER)
-    model = KneserNeyPair(Counts(suspect, ORDER), ordinary)
-    for _ in range(rounds):
-        x = model.score(suspect)
-        # the best sentence of an offending document is offending, if any is
+
+    def best_of(x: np.ndarray) -> np.ndarray:
+        """The best sentence of an offending document is offending, if any is."""
         best = np.full(len(texts), -np.inf)
         np.maximum.at(best, at, x)
-        model = KneserNeyPair(Counts(suspect.pick((x >= best[at]) & (x > 0)), ORDER), ordinary)
-    return model
+        return (x >= best[at]) & (x > 0)
+
+    taught = np.ones(len(at), bool)
+    for _ in range(rounds):
+        taught = best_of(KneserNeyPair(Counts(suspect.pick(taught), ORDER), ordinary).score(suspect))
+    # documents labelled wrongly have no offending sentence; a model that was not taught by them sees it
+    fold = at % folds
+    x = np.zeros(len(at))
+    for i in range(folds if taught.any() else 0):
+        mine = fold == i
+        x[mine] = KneserNeyPair(Counts(suspect.pick(taught & ~mine), ORDER), ordinary).score(suspect.pick(mine))
+    taught = best_of(x) if (x > 0).any() else taught
+    return KneserNeyPair(Counts(suspect.pick(taught), ORDER), ordinary)
 
 
 def _votes(labels: DataFrame) -> DataFrame:
