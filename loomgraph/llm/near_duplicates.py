@@ -37,7 +37,7 @@ _RNG = np.random.default_rng(5)
 _FACTORS = _RNG.integers(1 << 62, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ORDERS = np.stack([_RNG.permutation(HASHES)[:PREFIX] for _ in range(TREES)])
 _BRANCHES = np.stack([[_RNG.permutation(HASHES)[:FURTHER] for _ in range(FAN)] for _ in range(LEVELS)])
-_SPACES = re.compile("[ \t\r\n　]+")
+_SPACES = re.compile("[ \t\r\n\u3000]+")
 
 
 def content(title: str | None, text: str | None) -> str | None:

@@ -50,7 +50,7 @@ def _char_tables() -> list[np.ndarray]:
         return _tables
     n = 0x110000
     normal, kind, leet = np.arange(n, dtype=np.uint32), np.full(n, _OTHER, np.uint8), np.zeros(n, np.uint32)
-    ends = set("。！？!?；;\n\r…  ")
+    ends = set("。！？!?；;\n\r…\u2028\u2029")
     for c in range(n):
         if 0x3400 <= c <= 0x9FFF or 0xAC00 <= c <= 0xD7A3 or 0x20000 <= c <= 0x3FFFF:
             kind[c] = _LETTER
