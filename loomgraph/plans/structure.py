@@ -8,7 +8,7 @@ from loomgraph.functions import text as T, vectors as V
 from loomgraph.operators import evaluate as E, graph as G, identity as I, integrity as R, segment as S
 from loomgraph.operators.current import latest
 from loomgraph.operators.search import Searcher, filter_chunks
-from loomgraph.plans.retrieval import BEST, CHUNKS, SOURCE, SUBJECT, UNITS, VECTORS, WAYS, bm25_sql, both_ways, chunk_vectors, chunks, units
+from loomgraph.plans.retrieval import BEST, CHUNKS, SOURCE, SUBJECT, UNITS, VECTORS, WAYS, _DENSE, _RANKED, bm25_sql, both_ways, chunk_vectors, chunks, units
 from loomgraph.workspace import table
 
 QUERIES, ORACLES = {}, {}
@@ -610,15 +610,25 @@ def _by_method(spark, d, *by):
     # three methods
     every = q.crossJoin(F.broadcast(methods)).join(first, ["method", "query"], "left")
     scored = every.select(*by, (F.col("first").isNotNull()).alias("hit"), (1.0 / F.col("first")).alias("mrr"), (F.col("first") == 1).alias("rank1"))
-    return E.summary(scored, *by)
+    s = E.summary(scored, *by)
+    return s.select(*by, "n_cases", *[F.round(c, 9).alias(c) for c in ("hit_rate", "mrr", "rank1_rate")])
 
 
-@query(None)
+_METHODS = f"""{_EVAL}, {_RANKED}, {_DENSE},
+  fused as (select query, unit, round(sum(1.0 / (60 + rank)), 12) as rrf from (select query, unit, rank from ranked union all select query, unit, rank from dense) group by 1, 2),
+  m as (select 'lexical' as method, query, unit, rank from ranked union all select 'dense', query, unit, rank from dense
+    union all select 'hybrid', query, unit, row_number() over (partition by query order by rrf desc, unit) from fused),
+  f as (select method, m.query, min(rank) as first from m join q on q.query = m.query and q.knowledge_unit_id = m.unit where rank <= 5 group by 1, 2),
+  scored as (select method, role, first from roles cross join (values ('lexical'), ('dense'), ('hybrid')) x(method) left join f using (method, query))
+  select %s, count(*) as n_cases, round(avg((first is not null)::int), 9) as hit_rate, round(avg(coalesce(1.0 / first, 0)), 9) as mrr, round(avg((coalesce(first, 0) = 1)::int), 9) as rank1_rate from scored group by %s"""
+
+
+@query(_METHODS.replace("%s", "method"))
 def eval_by_method(spark, d):
     return _by_method(spark, d, "method")
 
 
-@query(None)
+@query(_METHODS.replace("%s", "method, role"))
 def eval_by_slice(spark, d):
     return _by_method(spark, d, "method", "role")
 
