@@ -428,6 +428,10 @@ def scope_mismatch(spark, d):
 
 # integrity
 
+#: Types of nodes and relations of the data model (fixed values).
+NODE_TYPES = ("subject_root", "source_volume", "chapter", "section", "support_unit", "knowledge_unit", "evidence", "shared_term")
+RELATIONS = ("contains", "supported_by", "has_chapter_context", "related_to")
+
 RULES = [
     R.Rule("unit_id_present", lambda t: R.predicate(t["units"], "node_id", F.col("knowledge_unit_id").isNotNull())),
     R.Rule("unit_is_node", lambda t: R.predicate(t["units"], "knowledge_unit_id", F.col("knowledge_unit_id") == F.col("node_id"))),
@@ -448,34 +452,81 @@ RULES = [
     R.Rule("edge_id_form", lambda t: R.predicate(t["edges"], "edge_id", F.col("edge_id").startswith("edge:"))),
     R.Rule("vector_chunk_known", lambda t: R.refers(t["manifest"], "row", "chunk_id", t["chunks"], "chunk_id")),
     R.Rule("vector_valid", lambda t: R.predicate(t["matrix"], "row", V.is_valid(F.col("embedding"), 512))),
+    R.Rule("chunk_segment_index", lambda t: R.predicate(t["chunks"], "chunk_id", (F.col("segment_index") >= 0) & (F.coalesce("segment_count", F.col("segment_index") + 1) > F.col("segment_index")))),
+    R.Rule("chunk_token_count", lambda t: R.predicate(t["chunks"], "chunk_id", F.col("token_count") > 0)),
+    R.Rule("chunk_hash_shape", lambda t: R.predicate(t["chunks"], "chunk_id", T.is_sha256(F.lower("full_text_sha256")))),
+    R.Rule("chunk_within_text", lambda t: R.predicate(t["chunks"].join(t["texts"], "knowledge_unit_id"), "chunk_id", F.col("body_end") <= F.col("length"))),
+    R.Rule("chunk_title", lambda t: R.predicate(t["chunks"].join(t["texts"], "knowledge_unit_id"), "chunk_id", F.col("title").eqNullSafe(F.col("unit_title")))),
+    R.Rule("chunk_text_hash", lambda t: R.predicate(t["chunks"].join(t["texts"], "knowledge_unit_id"), "chunk_id", F.lower("full_text_sha256") == F.col("hash"))),
+    R.Rule("chunk_segment_count", lambda t: R.predicate(t["chunks"].where("segment_count is not null").join(t["chunks"].groupBy("knowledge_unit_id").agg(F.count_distinct("chunk_id").alias("held")), "knowledge_unit_id"), "chunk_id", F.col("segment_count") == F.col("held"))),
+    R.Rule("map_matches_chunks", lambda t: R.same_sets(t["chunks"].where("chunk_id is not null"), t["map"].where("chunk_id is not null"), ["chunk_id"])),
+    R.Rule("manifest_hash_shape", lambda t: R.predicate(t["manifest"], "row", T.is_sha256(F.col("input_sha256")) & T.is_sha256(F.col("vector_sha256")))),
+    R.Rule("manifest_row_repeated", lambda t: R.unique(t["manifest"], "row")),
+    R.Rule("manifest_matches_matrix", lambda t: R.same_sets(t["manifest"].where("row is not null"), t["matrix"].where("row is not null"), ["row"])),
+    R.Rule("node_type_known", lambda t: R.predicate(t["nodes"], "node_id", F.col("node_type").isin(*NODE_TYPES))),
+    R.Rule("node_label_present", lambda t: R.predicate(t["nodes"].where("node_type <> 'evidence'"), "node_id", ~T.is_blank(F.col("label")))),
+    R.Rule("node_chapter_number", lambda t: R.predicate(t["nodes"].where("node_type = 'chapter'"), "node_id", F.col("chapter_number") >= 1)),
+    R.Rule("node_of_unit", lambda t: R.predicate(t["nodes"].where("node_type in ('knowledge_unit', 'support_unit')"), "node_id", F.col("knowledge_unit_id") == F.col("node_id"))),
+    R.Rule("node_repeated", lambda t: R.unique(t["nodes"].select("node_id", "node_type", "recorded_at").distinct(), "node_id")),
+    R.Rule("edge_relation_known", lambda t: R.predicate(t["edges"], "edge_id", G.normalized_relation().isin(*RELATIONS))),
+    R.Rule("edge_no_loop", lambda t: R.predicate(t["edges"].where("target_node_id is not null"), "edge_id", F.col("source_node_id") != F.col("target_node_id"))),
+    R.Rule("edge_id_of_ends", lambda t: R.predicate(t["edges"].where("target_node_id is not null"), "edge_id", F.col("edge_id").startswith(F.concat(F.lit("edge:"), "source_node_id", F.lit(":"), G.normalized_relation(), F.lit(":"), "target_node_id")))),
+    R.Rule("edge_link_repeated", lambda t: R.unique(t["edges"].withColumn("relation", G.normalized_relation()).select("edge_id", "source_node_id", "relation", "target_node_id").where("source_node_id is not null and target_node_id is not null").distinct(), "source_node_id", "relation", "target_node_id")),
+    R.Rule("external_complete", lambda t: R.predicate(t["external"], "reference_id", F.col("target_project").isNotNull() & F.col("target_node_id").isNotNull() & F.col("relation").isNotNull())),
+    R.Rule("external_from_known", lambda t: R.refers(t["external"], "reference_id", "from_knowledge_unit_id", t["units"], "knowledge_unit_id")),
+    R.Rule("external_stays_external", lambda t: R.predicate(t["external"].where("target_node_id is not null").join(t["nodes"].select(F.col("node_id").alias("target_node_id")).distinct(), "target_node_id", "left_semi"), "reference_id", F.lit(False))),
     R.Rule("evidence_known", lambda t: R.refers(t["units"].select("knowledge_unit_id", F.explode("evidence_refs").alias("ref")), "knowledge_unit_id", "ref", t["nodes"], "node_id")),
 ]
-_TABLES = {"units": "knowledge_units", "chunks": "rag_chunks", "map": "chunk_to_kg", "edges": "kg_edges", "manifest": "vector_manifest", "matrix": "vector_matrix"}
+_TABLES = {"units": "knowledge_units", "chunks": "rag_chunks", "map": "chunk_to_kg", "edges": "kg_edges", "manifest": "vector_manifest", "matrix": "vector_matrix", "external": "external_references"}
 _BLANK = "regexp_full_match(text, '[\\s\\x{1C}-\\x{1F}\\x{85}\\x{A0}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}\\x{0B}]*')"
+_WITH_TEXT = "(select c.*, u.title as unit_title, u.text from rag_chunks c join units u using (knowledge_unit_id))"
 _RULE_SQL = {
     "unit_id_present": ("knowledge_units", "node_id", "knowledge_unit_id is not null"), "unit_is_node": ("knowledge_units", "knowledge_unit_id", "knowledge_unit_id = node_id"),
     "unit_text_present": ("knowledge_units", "knowledge_unit_id", f"text is not null and not {_BLANK}"), "unit_title_present": ("knowledge_units", "knowledge_unit_id", "length(title) > 0"),
     "unit_hash_shape": ("knowledge_units", "knowledge_unit_id", "regexp_full_match(text_sha256, '[0-9a-f]{64}')"), "unit_hash": ("knowledge_units", "knowledge_unit_id", "sha256(text) = lower(text_sha256)"),
     "unit_chain_id": ("knowledge_units", "knowledge_unit_id", "split_part(source_chain_id, ':', -1) = source_id"), "unit_applicability": ("knowledge_units", "knowledge_unit_id", "len(list_filter(applicability, lambda x: coalesce(length(x), 0) = 0)) = 0"),
     "chunk_id_form": ("rag_chunks", "chunk_id", "regexp_full_match(chunk_id, '(?s).+:chunk:[0-9]{3}')"), "chunk_interval": ("rag_chunks", "chunk_id", "body_start >= 0 and body_end > body_start"),
+    "chunk_segment_index": ("rag_chunks", "chunk_id", "segment_index >= 0 and coalesce(segment_count, segment_index + 1) > segment_index"), "chunk_token_count": ("rag_chunks", "chunk_id", "token_count > 0"),
+    "chunk_hash_shape": ("rag_chunks", "chunk_id", "regexp_full_match(lower(full_text_sha256), '[0-9a-f]{64}')"), "chunk_within_text": (_WITH_TEXT, "chunk_id", "body_end <= length(text)"),
+    "chunk_title": (_WITH_TEXT, "chunk_id", "title is not distinct from unit_title"), "chunk_text_hash": (_WITH_TEXT, "chunk_id", "lower(full_text_sha256) = sha256(text)"),
+    "chunk_segment_count": ("(select * from rag_chunks join (select knowledge_unit_id, count(distinct chunk_id) as held from rag_chunks group by 1) using (knowledge_unit_id) where segment_count is not null)", "chunk_id", "segment_count = held"),
+    "manifest_hash_shape": ("vector_manifest", '"row"', "regexp_full_match(input_sha256, '[0-9a-f]{64}') and regexp_full_match(vector_sha256, '[0-9a-f]{64}')"),
+    "node_type_known": ("nodes", "node_id", f"node_type in {NODE_TYPES}"), "node_label_present": ("(select * from nodes where node_type <> 'evidence')", "node_id", "label is not null and trim(label) <> ''"),
+    "node_chapter_number": ("(select * from nodes where node_type = 'chapter')", "node_id", "chapter_number >= 1"), "node_of_unit": ("(select * from nodes where node_type in ('knowledge_unit', 'support_unit'))", "node_id", "knowledge_unit_id = node_id"),
+    "edge_relation_known": ("kg_edges", "edge_id", f"lower(trim(coalesce(relation, ''))) in {RELATIONS}"), "edge_no_loop": ("(select * from kg_edges where target_node_id is not null)", "edge_id", "source_node_id <> target_node_id"),
+    "edge_id_of_ends": ("(select * from kg_edges where target_node_id is not null)", "edge_id", "starts_with(edge_id, 'edge:' || source_node_id || ':' || lower(trim(coalesce(relation, ''))) || ':' || target_node_id)"),
+    "external_complete": ("external_references", "reference_id", "target_project is not null and target_node_id is not null and relation is not null"),
+    "external_stays_external": ("(select * from external_references where target_node_id in (select node_id from nodes))", "reference_id", "false"),
     "edge_id_form": ("kg_edges", "edge_id", "starts_with(edge_id, 'edge:')"),
     "vector_valid": ("vector_matrix", '"row"', "len(embedding) = 512 and list_count(embedding) = 512 and len(list_filter(embedding, lambda y: not isfinite(y))) = 0 and len(list_filter(embedding, lambda y: y <> 0)) > 0"),
 }
 _REFERS = {
     "chunk_unit_known": ("rag_chunks", "chunk_id", "knowledge_unit_id", "knowledge_units", "knowledge_unit_id"), "map_unit_known": ("chunk_to_kg", "chunk_id", "knowledge_unit_id", "knowledge_units", "knowledge_unit_id"),
     "edge_source_known": ("kg_edges", "edge_id", "source_node_id", "nodes", "node_id"), "edge_target_known": ("kg_edges", "edge_id", "target_node_id", "nodes", "node_id"),
+    "external_from_known": ("external_references", "reference_id", "from_knowledge_unit_id", "knowledge_units", "knowledge_unit_id"),
     "vector_chunk_known": ("vector_manifest", '"row"', "chunk_id", "rag_chunks", "chunk_id"), "evidence_known": ("(select knowledge_unit_id, unnest(evidence_refs) as ref from knowledge_units)", "knowledge_unit_id", "ref", "nodes", "node_id"),
 }
-_REPORT = f"with {NODES} " + "\nunion all ".join(
+_REPORT = f"with {NODES}, {UNITS} " + "\nunion all ".join(
     [f"select '{c}' as code, cast({k} as varchar) as location, null::varchar as detail from {t} where not coalesce({p}, false)" for c, (t, k, p) in _RULE_SQL.items()]
     + [f"select '{c}', cast({k} as varchar), {r} from {t} x where {r} is not null and not exists (select 1 from {pt} y where y.{pk} = x.{r})" for c, (t, k, r, pt, pk) in _REFERS.items()]
-    + [f"select '{c}', {k}, cast(count(*) as varchar) from {t} group by {k} having count(*) > 1" for c, t, k in (("unit_repeated", "knowledge_units", "knowledge_unit_id"), ("chunk_repeated", "rag_chunks", "chunk_id"))]
+    + [f"select '{c}', cast({k} as varchar), cast(count(*) as varchar) from {t} group by {k} having count(*) > 1" for c, t, k in (("unit_repeated", "knowledge_units", "knowledge_unit_id"), ("chunk_repeated", "rag_chunks", "chunk_id"), ("manifest_row_repeated", "vector_manifest", '"row"'), ("node_repeated", "(select distinct node_id, node_type, recorded_at from nodes)", "node_id"))]
+    + ["""select 'edge_link_repeated', source_node_id || '|' || relation || '|' || target_node_id, cast(count(*) as varchar) from (select distinct edge_id, source_node_id, lower(trim(coalesce(relation, ''))) as relation, target_node_id from kg_edges
+      where source_node_id is not null and target_node_id is not null) group by source_node_id, relation, target_node_id having count(*) > 1"""]
+    + [f"""select '{c}', cast(coalesce(a.k, b.k) as varchar), case when a.k is null then 'missing left' else 'missing right' end from (select distinct {k} as k from {x} where {k} is not null) a
+      full join (select distinct {k} as k from {y} where {k} is not null) b on a.k = b.k where a.k is null or b.k is null""" for c, k, x, y in (("map_matches_chunks", "chunk_id", "rag_chunks", "chunk_to_kg"), ("manifest_matches_matrix", '"row"', "vector_manifest", "vector_matrix"))]
 )
 
 
 @query(_REPORT)
 def validation_report(spark, d):
-    return R.report({k: table(spark, d, t) for k, t in _TABLES.items()} | {"nodes": nodes(spark, d)}, RULES)
+    u = units(spark, d)
+    texts = u.select("knowledge_unit_id", F.col("title").alias("unit_title"), F.length("text").alias("length"), F.sha2("text", 256).alias("hash"))
+    return R.report({k: table(spark, d, t) for k, t in _TABLES.items()} | {"nodes": nodes(spark, d), "texts": texts}, RULES)
+
+
+@query(_REPORT.replace("with nodes", "with r as (with nodes", 1) + ") select code, count(*) as n from r group by 1")
+def validation_summary(spark, d):
+    return validation_report(spark, d).groupBy("code").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("select (select count(*) from rag_chunks) as n_chunks, (select count(*) from chunk_to_kg) as n_maps, (select count(*) from vector_manifest) as n_vectors, (select count(*) from vector_manifest) <= (select count(*) from rag_chunks) as vectors_within")
