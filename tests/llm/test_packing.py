@@ -57,6 +57,13 @@ def test_documents(spark):
     assert max(r.n_tokens for r in exact) == 64 and len({r.container_id for r in exact}) == len(exact)
 
 
-def test_step_groups_are_even():
-    plan = P.plan_packing({s: 40 for s in range(1, 2049)})
-    assert plan.containers > 8
+def test_step_groups_are_even(spark):
+    rng = random.Random(3)
+    df = spark.createDataFrame([(i, "word " * max(1, int(rng.lognormvariate(5, 1)))) for i in range(1500)], "doc_id bigint, text string")
+    work, boxes = {}, {}
+    for r in P.pack_documents(df, group=8).collect():
+        work[r.step_group] = work.get(r.step_group, 0) + r.n_tokens**2
+        boxes.setdefault(r.step_group, set()).add(r.container_id)
+    full = [work[g] for g in work if len(boxes[g]) == 8]
+    assert len(full) >= 5 and max(full) <= 1.25 * min(full)
+    assert max(map(len, boxes.values())) <= 8
