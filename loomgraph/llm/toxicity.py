@@ -34,8 +34,8 @@ FOLDS = 4
 #: Added to a sentence's length, so that a few characters alone can't decide.
 STEADY = 6.0
 THRESHOLD = 0.1
-#: Share of offending documents labelled ordinary, and the lead in log-likelihood that calls a sentence innocent.
-NOISE, MARGIN = 0.08, 1.0
+#: Share of offending documents labelled ordinary, and the lead in log-likelihood that calls a sentence innocent: with a label for it, and without.
+NOISE, MARGIN, UNLABELLED = 0.08, 3.0, 5.0
 SLICE_CHARS = 1_000_000
 _END, _SPACE, _LETTER, _DIGIT, _OTHER, _DROP = 1, 2, 3, 4, 5, 6
 #: Letters of other alphabets and signs used in place of Latin letters (fixed values).
@@ -372,7 +372,7 @@ def _sliced(texts: list[str | None]) -> Iterator[list[str | None]]:
 
 
 def _read(docs: DataFrame, model: KneserNeyPair, threshold: float) -> DataFrame:
-    """``doc_id, source, base`` (the best score up to the threshold) and ``over``: key and score of each sentence beyond it."""
+    """``doc_id, source, base`` (the best score up to the threshold), ``over``: key and score of each sentence beyond it, and ``text_key``: a hash of the text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     item = pa.list_(pa.struct([("key", pa.int64()), ("score", pa.float64())]))
 
@@ -391,34 +391,41 @@ def _read(docs: DataFrame, model: KneserNeyPair, threshold: float) -> DataFrame:
                     mine[i][k] = v
                 over += [[{"key": k, "score": v} for k, v in m.items()] for m in mine]
             low = np.concatenate(base) if base else np.empty(0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(low, pa.float64(), from_pandas=True), pa.array(over, item)], ["doc_id", "source", "base", "over"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(low, pa.float64(), from_pandas=True), pa.array(over, item), batch.column(3)], ["doc_id", "source", "base", "over", "text_key"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "source", "text").mapInArrow(run, f"doc_id {kind}, source string, base double, over array<struct<key: bigint, score: double>>")
+    return docs.select("doc_id", "source", "text", F.xxhash64("text")).mapInArrow(run, f"doc_id {kind}, source string, base double, over array<struct<key: bigint, score: double>>, text_key bigint")
 
 
 def innocent_sentences(read: DataFrame, labels: DataFrame) -> DataFrame:
-    """``key`` of sentences that the model finds offending and counts over all documents show to be ordinary.
+    """``key`` of sentences that the model finds offending and labels show to be ordinary.
 
-    A sentence may be new to the labelled sample and only look offending.  ``n`` documents hold it; were it
-    offending, about n * (labelled offending / all offending) of them would be labelled offending and few
+    A sentence may be new to the labelled sample and only look offending.  ``n`` distinct texts hold it; were it
+    offending, about n * (labelled offending / all flagged texts) of them would be labelled offending and few
     (``NOISE``) labelled ordinary; if it is ordinary, labels fall on it as on any document.  The Poisson
-    likelihoods of both counts decide.
+    likelihoods of both counts decide.  Rows of equal texts count once.  Where no text is labelled ordinary, the lead has to be
+    ``UNLABELLED``: an offending sentence of so many texts would go without a label once in 150 times.  Where a text is
+    labelled offending, the labels have to reach the lead by themselves, whatever the number of texts.  A text whose documents
+    are labelled differently counts as offending.
     """
     votes = _votes(labels)
-    sizes = read.agg(F.count(F.lit(1)).alias("n"), F.sum((F.size("over") > 0).cast("bigint")).alias("flagged")).first()
-    seen = votes.groupBy("abusive").count().collect()
-    label = {r["abusive"]: r["count"] for r in seen}
-    n, flagged = max(1, sizes["n"]), max(1, sizes["flagged"] or 0)
+    label = {r["abusive"]: r["count"] for r in votes.groupBy("abusive").count().collect()}
     n_bad, n_good = max(1, label.get(1, 0)), max(1, label.get(0, 0))
-    held = read.where(F.size("over") > 0).select("doc_id", F.explode("over.key").alias("key")).join(votes, "doc_id", "left")
-    c = lambda x: F.sum(F.coalesce((F.col("abusive") == x).cast("int"), F.lit(0)))
+    n = max(1, read.count())
+    ordinary = n_good / (n_good + n_bad)
+    flagged = read.where(F.size("over") > 0)
+    c = lambda x: F.coalesce(F.sum((F.col("abusive") == x).cast("int")), F.lit(0))
+    texts = flagged.select("doc_id", "text_key").distinct().join(votes, "doc_id", "left").groupBy("text_key").agg(F.max("abusive").alias("abusive"))
+    sizes = texts.agg(F.count(F.lit(1)).alias("n"), c(1).alias("bad")).first()
+    held = flagged.select("text_key", F.explode("over.key").alias("key")).distinct().join(texts, "text_key")
     counts = held.groupBy("key").agg(F.count(F.lit(1)).alias("n"), c(1).alias("bad"), c(0).alias("good"))
     poisson = lambda k, mean: F.col(k) * F.log(mean) - mean
-    if_bad, if_not = F.col("n") * (min(1.0, n_bad / flagged)), F.col("n") * (n_bad / n)
+    if_bad, if_not = F.col("n") * (max(1, sizes["bad"]) / max(1, sizes["n"])), F.col("n") * (n_bad / n)
     good_bad, good_not = if_bad * NOISE, F.col("n") * (n_good / n)
     lead = poisson("bad", if_not) + poisson("good", good_not) - poisson("bad", if_bad) - poisson("good", good_bad)
-    return counts.where(lead > MARGIN).select("key")
+    by_labels = F.col("good") * float(np.log(ordinary / NOISE)) + F.col("bad") * float(np.log((1 - ordinary) / (1 - NOISE)))
+    enough = F.when(F.col("good") > 0, MARGIN).otherwise(UNLABELLED)
+    return counts.where((lead > enough) & ((F.col("bad") == 0) | (by_labels > MARGIN))).select("key")
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, per_class: int = FIT_DOCS, threshold: float = THRESHOLD) -> DataFrame:

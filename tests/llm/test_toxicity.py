@@ -78,3 +78,20 @@ def test_unseen_harmless_sentence_is_acquitted_by_counts(spark):
     labels = spark.createDataFrame([(i, b) for i, _, _, b in rows[:150]] + [(i, 0) for i in range(1000, 1020)], "doc_id bigint, abusive int")
     got = X.score_documents(d, labels).where("doc_id >= 1000 and offending").count()
     assert got == 0
+
+
+def test_repeated_offence_is_not_acquitted_for_want_of_labels(spark):
+    """250 flagged of 10,000 documents, 101 of them labelled; keys 1 to 4 have no ordinary label, 5 has five, 6 is frequent without any."""
+    held = [(1, 4, 1), (2, 1, 40), (3, 30, 1), (4, 8, 1), (5, 10, 1), (6, 40, 1)]  # key, distinct texts, rows of each
+    rows, text, doc = [], 0, 0
+    at = {}
+    for key, texts, copies in held:
+        for _ in range(texts):
+            rows += [(doc + i, "s", 0.0, [(key, 1.0)], text) for i in range(copies)]
+            at.setdefault(key, doc)
+            doc, text = doc + copies, text + 1
+    rows += [(doc + i, "s", 0.0, [(1000 + i, 1.0)], text + i) for i in range(250 - len(rows))]
+    rows += [(250 + i, "s", 0.0, [], text + 250 + i) for i in range(9750)]
+    read = spark.createDataFrame(rows, "doc_id bigint, source string, base double, over array<struct<key: bigint, score: double>>, text_key bigint")
+    labels = [(at[3], 1), *((at[5] + i, 0) for i in range(5)), *((doc + i, 1) for i in range(100)), *((250 + i, 0) for i in range(363))]
+    assert {r.key for r in X.innocent_sentences(read, spark.createDataFrame(labels, "doc_id bigint, abusive int")).collect()} == {5, 6}
