@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 VOCAB_DIR = "/opt/tokenizers"
 #: The pattern that splits a text before the merges (a fixed value of the vocabulary).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Distinct words that a worker remembers; the memory starts anew beyond them, results don't depend on it.
+#: Distinct words that a worker remembers; the memory starts anew beyond them; one slice of texts may hold more. Results don't depend on it.
 REMEMBERED = 250_000
 #: Characters handled at once inside a worker.
 SLICE_CHARS = 1_000_000
@@ -151,8 +151,6 @@ class SpeculativeBpe:
         return out
 
     def _learn(self, words: list[str]) -> None:
-        if len(self.code) + len(words) > REMEMBERED:
-            self.forget()
         got = self.encode_words(words)
         first = len(self.code)
         self.code.update(zip(words, range(first, first + len(words))))
@@ -172,10 +170,10 @@ class SpeculativeBpe:
         got = list(map(self.code.get, words))
         if None in got:
             new = list(dict.fromkeys(w for w, c in zip(words, got) if c is None))
-            before = len(self.code)
+            if self.code and len(self.code) + len(new) > REMEMBERED:  # begun anew: at most once, then all words of the texts, whatever their number
+                self.forget()
+                new = list(dict.fromkeys(words))
             self._learn(new)
-            if len(self.code) != before + len(new):  # begun anew: the words known before are gone
-                self._learn(list(dict.fromkeys(w for w in words if w not in self.code)))
             got = list(map(self.code.get, words))
         return np.array(got, np.int64), np.fromiter(map(len, split), np.int64, len(split))
 

@@ -52,6 +52,17 @@ def test_memory_begins_anew_without_changing_results(plain):
         tokens.REMEMBERED = old
 
 
+def test_more_distinct_words_than_are_remembered(plain):
+    bpe = tokens.SpeculativeBpe(tokens.VOCAB_DIR, "byte_bpe_50k")
+    old, tokens.REMEMBERED = tokens.REMEMBERED, 5
+    try:
+        for text in ("one two three", "one four five six seven eight nine ten eleven one", "two three", "one two"):
+            ids, sizes = bpe.encode([text])
+            assert ids.tolist() == plain(text) and sizes.tolist() == [len(plain(text))] == bpe.count([text]).tolist()
+    finally:
+        tokens.REMEMBERED = old
+
+
 def test_pairs_against_exact_merging():
     bpe = tokens.load()
     rng = np.random.default_rng(0)
