@@ -193,3 +193,11 @@ def descendants(path_rows: DataFrame) -> DataFrame:
         path_rows.select("node_id", F.size("path").alias("n"), F.posexplode("path").alias("pos", "ancestor_id"))
         .where("pos < n - 1").select("ancestor_id", "node_id", (F.col("n") - 1 - F.col("pos")).alias("distance"))
     )
+
+
+def descendant_counts(hierarchy: DataFrame) -> DataFrame:
+    """``node_id, descendants`` of every node, roots included; a node on a cycle has what hangs from it below the cycle."""
+    inner = hierarchy.where("tour is not null")
+    # a tour is named after its root or its node on a cycle; the latter may have none
+    tops = inner.select(F.col("tour").alias("node_id"), F.lit(1).alias("n")).unionByName(hierarchy.where("tour is null").select("node_id", F.lit(0).alias("n")))
+    return inner.select("node_id", "descendants").unionByName(tops.groupBy("node_id").agg(F.sum("n").alias("descendants")))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loomgraph.operators.hierarchy import build_hierarchy, descendants, links_of, paths
+from loomgraph.operators.hierarchy import build_hierarchy, descendant_counts, descendants, links_of, paths
 from loomgraph.operators.orphans import find_orphans, orphans_per_period, references, targets
 from loomgraph.workspace import table
 
@@ -45,12 +45,25 @@ def p5_closure(spark: SparkSession, d: str) -> DataFrame:
     return descendants(rows.where("depth > 0"))
 
 
+def p5_descendants_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Every node with the number of nodes below it: roots and nodes below a circle too.
+
+    A circle has no above and below: a node on it has the trees that hang from it, not the others of its circle.
+    """
+    return descendant_counts(build_hierarchy(links_of(table(spark, d, "kg_edges"))))
+
+
+def p5_closure_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Every node with each of its ancestors; below a circle they end with the circle's node above it."""
+    return descendants(paths(build_hierarchy(links_of(table(spark, d, "kg_edges")))))
+
+
 def p5_cycles(spark: SparkSession, d: str) -> DataFrame:
     h = build_hierarchy(links_of(table(spark, d, "kg_edges")))
     return h.where("depth = -1").select(F.col("root_node_id").alias("cycle_id"), "node_id", "parent_id")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_orphans_per_month, p5_found, p5_paths, p5_descendants, p5_closure, p5_cycles)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_orphans_per_month, p5_found, p5_paths, p5_descendants, p5_closure, p5_descendants_whole, p5_closure_whole, p5_cycles)}
 
 _REFS = """
 with refs as (
@@ -86,6 +99,8 @@ judged as (
     case when not loops then d when list_contains(circle, node) then -1 else -2 end as depth,
     seen, p from ends)
 """
+_ABOVE = _LINKS + """, above as (select node as node_id, unnest(case when depth > 0 then list_append(seen[2:], p) else seen[2:list_position(seen, p)] end) as ancestor_id,
+        unnest(range(1, case when depth > 0 then len(seen) + 1 else list_position(seen, p) end)) as distance from judged where depth <> -1)"""
 ORACLES = {
     "p1_found": _REFS + "select distinct ref_table, ref_key, missing_key from judged where reason is not null",
     "p1_orphans_per_month": _REFS + """select ref_table, period, count(*) as n_orphans, count(*) filter (reason = 'missing') as n_missing,
@@ -99,5 +114,8 @@ ORACLES = {
       from judged j where j.depth > 0""",
     "p5_closure": _LINKS + """select ancestor_id, node_id, cast(distance as int) as distance from (
       select node as node_id, unnest(list_append(seen[2:], p)) as ancestor_id, unnest(range(1, len(seen) + 1)) as distance from judged where depth > 0)""",
+    "p5_descendants_whole": _ABOVE + """ select n.node_id, count(a.ancestor_id) as descendants from (select child as node_id from links union select parent from links) n
+      left join above a on a.ancestor_id = n.node_id group by 1""",
+    "p5_closure_whole": _ABOVE + " select ancestor_id, node_id, cast(distance as int) as distance from above",
     "p5_cycles": _LINKS + "select j.root as cycle_id, j.node as node_id, l.parent as parent_id from judged j join links l on l.child = j.node where depth = -1",
 }

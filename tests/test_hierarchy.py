@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from loomgraph.operators.hierarchy import build_hierarchy, descendants, links_of, paths
+from loomgraph.operators.hierarchy import build_hierarchy, descendant_counts, descendants, links_of, paths
 
 
 def brute(parent):
@@ -63,3 +63,22 @@ def test_links_nulls_repeats_empty(spark):
     assert {(r.child, r.parent) for r in links_of(e).collect()} == {("b", "a"), ("e", "y")}
     assert found(spark, []).count() == 0
     assert paths(found(spark, [])).count() == 0
+
+
+def test_whole_closure_and_counts(spark):
+    """b and c are a circle, d to f hang from it; s is its own parent, r a root with two nodes."""
+    h = found(spark, [("b", "c"), ("c", "b"), ("d", "c"), ("e", "d"), ("f", "c"), ("s", "s"), ("x", "r"), ("y", "x")])
+    got = {tuple(r) for r in descendants(paths(h)).collect()}
+    assert got == {("c", "d", 1), ("c", "e", 2), ("d", "e", 1), ("c", "f", 1), ("r", "x", 1), ("r", "y", 2), ("x", "y", 1)}
+    counts = [tuple(r) for r in descendant_counts(h).collect()]
+    assert sorted(counts) == [("b", 0), ("c", 3), ("d", 1), ("e", 0), ("f", 0), ("r", 2), ("s", 0), ("x", 1), ("y", 0)]
+
+
+def test_whole_queries_hold_what_hangs_below_circles(spark, tmp_path):
+    import __spark_entry__
+
+    edges = [("1", "contains", "b", "c"), ("2", "contains", "c", "b"), ("3", "contains", "c", "d"), ("4", "contains", "r", "x")]
+    spark.createDataFrame(edges, "edge_id string, relation string, source_node_id string, target_node_id string").write.parquet(f"{tmp_path}/kg_edges.parquet")
+    run = lambda name: {tuple(r) for r in __spark_entry__.queries()[name](spark, str(tmp_path)).collect()}
+    assert run("p5_closure_whole") == {("c", "d", 1), ("r", "x", 1)}
+    assert run("p5_descendants_whole") == {("b", 0), ("c", 1), ("d", 0), ("r", 1), ("x", 0)}
