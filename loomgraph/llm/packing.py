@@ -14,6 +14,9 @@ that) with multiplicities.  Only the histogram reaches the driver:
 4. *Balance step groups*: containers in order of work (sum of squared lengths) are dealt to step groups in
    serpentine order.
 
+All windows have one capacity, so steps 1 to 3 come to one longest-first filling over all lengths: the longest piece left is in the
+highest tier that has any, and the longest that fit come from there before shorter ones.  Tiers change nothing in the plan; they are a label of each piece.
+
 Documents get their places by rank within their length; ranks come from counts per partition and
 length, so no task sees all documents of one length.
 """

@@ -67,3 +67,13 @@ def test_step_groups_are_even(spark):
     full = [work[g] for g in work if len(boxes[g]) == 8]
     assert len(full) >= 5 and max(full) <= 1.25 * min(full)
     assert max(map(len, boxes.values())) <= 8
+
+
+def test_tiers_are_labels_only():
+    """As the README says: with one capacity the plan is that of one tier."""
+    rng = random.Random(9)
+    h = {}
+    for _ in range(3000):
+        s = min(2048, max(1, int(rng.lognormvariate(5.5, 1.2))))
+        h[s] = h.get(s, 0) + 1
+    assert P.plan_packing(h) == P.plan_packing(h, tiers=())
