@@ -221,20 +221,44 @@ def _ngram_hashes(chars: np.ndarray, order: int) -> list[np.ndarray]:
 
 
 class Table:
-    """Hash to value, as direct-mapped arrays of a fixed number of slots; a miss gives 0 and False."""
+    """Hash to value, by open addressing: a key lies in its own slot or the next free one, so none is lost; a miss gives 0 and False."""
 
-    def __init__(self, keys: np.ndarray, values: np.ndarray, importance: np.ndarray):
-        bits = min(22, max(10, int(np.ceil(np.log2(max(1, len(keys))))) + 3))
-        self.shift, self.mask = np.uint64(64 - bits), np.uint64(0xFFFFFFFF)
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        n = max(1, len(keys))
+        bits = max(10, min(22, int(np.ceil(np.log2(n))) + 3), int(np.ceil(np.log2(n))) + 1)  # at most half full
+        self.shift, self.last = np.uint64(64 - bits), (1 << bits) - 1
         self.print, self.value = np.zeros(1 << bits, np.uint32), np.zeros(1 << bits, np.float32)
-        order = np.argsort(importance, kind="stable")  # of two in one slot the more important stays
-        slot = keys[order] >> self.shift
-        self.print[slot], self.value[slot] = (keys[order] & self.mask).astype(np.uint32), values[order]
+        slot, mark = self._places(keys)
+        rest = np.arange(len(keys))
+        while len(rest):
+            free = rest[self.print[slot[rest]] == 0]
+            _, first = np.unique(slot[free], return_index=True)
+            placed = free[first]
+            self.print[slot[placed]], self.value[slot[placed]] = mark[placed], values[placed]
+            left = np.ones(len(keys), bool)
+            left[placed] = False
+            rest = rest[left[rest]]
+            slot[rest] = (slot[rest] + 1) & self.last
+
+    def _places(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First slot and mark of each key; 0 marks a free slot."""
+        return (keys >> self.shift).astype(np.int64), np.maximum(keys.astype(np.uint32), np.uint32(1))
 
     def get(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        slot = (keys >> self.shift).astype(np.int64)
-        hit = self.print[slot] == keys.astype(np.uint32)
-        return self.value[slot], hit
+        slot, mark = self._places(keys)
+        there = self.print[slot]
+        hit = there == mark
+        value = np.where(hit, self.value[slot], np.float32(0))
+        rest = np.flatnonzero(~hit & (there != 0))
+        at = slot[rest]
+        while len(rest):
+            at = (at + 1) & self.last
+            there = self.print[at]
+            found = there == mark[rest]
+            hit[rest[found]], value[rest[found]] = True, self.value[at[found]]
+            go = ~found & (there != 0)
+            rest, at = rest[go], at[go]
+        return value, hit
 
 
 class Counts:
@@ -267,7 +291,7 @@ class KneserNeyPair:
         lower_keys, n = np.unique(np.concatenate([toxic.last, ordinary.last])[first], return_counts=True)
         shared = np.log((n + 0.5) / (n.sum() + 0.5 * len(n) + 1))
         lower = [shared, shared]
-        seen, back = ([], [], []), ([], [], [])
+        seen, back = ([], []), ([], [])
         for k in range(2, order + 1):
             per = [c.per[k] for c in (toxic, ordinary)]
             keys = np.unique(np.concatenate([per[0][0], per[1][0]]))
@@ -288,9 +312,9 @@ class KneserNeyPair:
                 own = np.where(total[ctx_at] > 0, np.maximum(count[i] - d, 0) / np.maximum(total[ctx_at], 1), 0)
                 logp.append(np.log(own + gamma[ctx_at] * np.exp(lower[i][low_at])))
                 log_gamma.append(np.log(gamma))
-            for to, x in zip(seen, (keys, logp[0] - logp[1], count.sum(axis=0) + 100 * count[0])):
+            for to, x in zip(seen, (keys, logp[0] - logp[1])):
                 to.append(x)
-            for to, x in zip(back, (ctx * _MIX + np.uint64(k), log_gamma[0] - log_gamma[1], np.bincount(ctx_at, count.sum(axis=0), len(ctx)))):
+            for to, x in zip(back, (ctx * _MIX + np.uint64(k), log_gamma[0] - log_gamma[1])):
                 to.append(x)
             lower_keys, lower = keys, logp
         self.seen = Table(*map(np.concatenate, seen))

@@ -95,3 +95,15 @@ def test_repeated_offence_is_not_acquitted_for_want_of_labels(spark):
     read = spark.createDataFrame(rows, "doc_id bigint, source string, base double, over array<struct<key: bigint, score: double>>, text_key bigint")
     labels = [(at[3], 1), *((at[5] + i, 0) for i in range(5)), *((doc + i, 1) for i in range(100)), *((250 + i, 0) for i in range(363))]
     assert {r.key for r in X.innocent_sentences(read, spark.createDataFrame(labels, "doc_id bigint, abusive int")).collect()} == {5, 6}
+
+
+def test_no_key_of_a_table_is_lost():
+    keys = np.random.default_rng(0).integers(0, 1 << 63, 300_000, dtype=np.uint64) * np.uint64(2)
+    keys[:3] = (7 << 32) + np.arange(1, 4, dtype=np.uint64) << np.uint64(20)
+    keys = np.unique(keys)
+    values = np.arange(1, len(keys) + 1).astype(np.float32)
+    t = X.Table(keys, values)
+    got, hit = t.get(keys)
+    assert hit.all() and (got == values).all()
+    got, hit = t.get(keys + np.uint64(1))
+    assert not hit.any() and not got.any()
