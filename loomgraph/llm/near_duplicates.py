@@ -4,8 +4,8 @@ Each content has 128 min-hashes of its character shingles.  A tree of the forest
 by a label of min-hashes; neighbours in that order are contents whose labels share a long prefix.  A *region*
 is a common prefix, five values deep where few contents share it.  Where more than ``REGION`` do, the region
 branches into ``FAN`` deeper orders of three further values, each an order of its own, and so on: a pair that
-was together stays together in at least one branch with probability above 0.998, so depth adapts without losing
-pairs.  What is crowded at the last depth is compared block against block, so no region is cut short.  Sorting by
+was together stays together in at least one branch with probability above 0.99, each region with three values of its own, so that
+misses in different trees are independent and depth adapts without losing pairs.  What is crowded at the last depth is compared block against block, so no region is cut short.  Sorting by
 region brings neighbours together; inside, the pairs whose one-bit sketches agree enough are candidates, which
 are verified on their shingles.
 
@@ -36,7 +36,8 @@ WRITTEN_OUT = 1000
 _RNG = np.random.default_rng(5)
 _FACTORS = _RNG.integers(1 << 62, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ORDERS = np.stack([_RNG.permutation(HASHES)[:PREFIX] for _ in range(TREES)])
-_BRANCHES = np.stack([[_RNG.permutation(HASHES)[:FURTHER] for _ in range(FAN)] for _ in range(LEVELS)])
+#: By level, then ``TREES`` sets, of which a region's hash chooses one: what the branches of one tree miss, those of another don't.
+_BRANCHES = np.stack([[[_RNG.permutation(HASHES)[:FURTHER] for _ in range(FAN)] for _ in range(TREES)] for _ in range(LEVELS)])
 _SPACES = re.compile("[ \t\r\n\u3000]+")
 
 
@@ -124,8 +125,11 @@ def _branched(rows: DataFrame, signatures: DataFrame, level: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.num_rows
-            v = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint16).reshape(n, HASHES)[:, orders]
-            parent = np.asarray(batch.column(0)).view(np.uint64)[:, None] + np.arange(FAN, dtype=np.uint64)[None, :]
+            region = np.asarray(batch.column(0)).view(np.uint64)
+            own = orders[((region >> np.uint64(20)) % np.uint64(TREES)).astype(np.int64)].reshape(n, FAN * FURTHER)
+            held = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint16).reshape(n, HASHES)
+            v = np.take_along_axis(held, own, axis=1).reshape(n, FAN, FURTHER)
+            parent = region[:, None] + np.arange(FAN, dtype=np.uint64)[None, :]
             at = pa.array(np.repeat(np.arange(n), FAN))
             yield pa.RecordBatch.from_arrays([pa.array(_mixed(v, parent).ravel()), *(batch.column(i).take(at) for i in (1, 2, 3))], ["region", "cid", "s0", "s1"])
 

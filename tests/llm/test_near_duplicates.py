@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from loomgraph.llm import near_duplicates as N
@@ -82,3 +83,14 @@ def test_components(spark):
 def test_very_long_text_has_a_signature():
     s = "".join(chr(0x4E00 + i % 5000) + str(i) for i in range(60_000))
     assert N.signature(N.shingle_hashes(s)).shape == (N.HASHES,)
+
+
+def test_branches_of_trees_miss_different_pairs(spark):
+    """Two contents that differ in a value of each branch of one tree still meet in others."""
+    a = np.arange(N.HASHES, dtype=np.uint16)
+    b = a.copy()
+    b[N._BRANCHES[0].reshape(-1, N.FAN, N.FURTHER)[0, :, 0]] += 1000
+    signatures = spark.createDataFrame([(1, bytearray(a.tobytes())), (2, bytearray(b.tobytes()))], "cid bigint, values binary")
+    crowded = np.random.default_rng(1).integers(-(1 << 62), 1 << 62, 64).tolist()
+    rows = spark.createDataFrame([(r, c, 0, 0) for r in crowded for c in (1, 2)], "region bigint, cid bigint, s0 bigint, s1 bigint")
+    assert N._branched(rows, signatures, 0).groupBy("region").count().where("count > 1").count() > 100
