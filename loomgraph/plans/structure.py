@@ -654,6 +654,12 @@ def role_counts(spark, d):
     return E.role_counts(table(spark, d, "documents").select(F.col("doc_kind").alias("role")))
 
 
+@query(f"{_EVAL} select role, count(r.query) as n from (values ('any_hit'), ('all_relevant'), ('negative'), ('relation_only')) x(role) left join roles r using (role) group by 1")
+def judged_role_counts(spark, d):
+    """The roles of the judged queries."""
+    return E.role_counts(_judged(spark, d)[0])
+
+
 def _by_method(spark, d, *by):
     q, qrels = _judged(spark, d)
     first = _runs(spark, d).where(F.col("rank") <= 5).join(qrels.where("kind = 'primary'").select("query", "id").distinct(), ["query", "id"]).groupBy("method", "query").agg(F.min("rank").alias("first"))

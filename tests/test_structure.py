@@ -160,3 +160,10 @@ def test_event_rates(spark):
     e = spark.sql("select timestamp '2024-01-01 00:10:00' as ts, 'a' as event_type, 1.0 as value union all select timestamp '2024-01-01 00:50:00', 'a', 2.0")
     r = incremental.event_rates(e).collect()
     assert len(r) == 1 and r[0].n == 2 and float(r[0].total) == 3.0
+
+
+def test_roles_of_the_judged_queries_are_counted(spark):
+    import __spark_entry__
+
+    got = {r.role: r.n for r in __spark_entry__.queries()["judged_role_counts"](spark, "/root/testdata/sf0.001").collect()}
+    assert set(got) == {"any_hit", "all_relevant", "negative", "relation_only"} and sum(got.values()) > 0
