@@ -287,6 +287,19 @@ def custom_order(spark, d):
     return own.join(F.broadcast(sizes), "at").select("chunk_id", (F.col("r") + F.col("shift")).alias("position"))
 
 
+@query(f"with {CHUNKS} select chunk_id, row_number() over (order by list_position(['TS20', 'KP26', 'HD11'], source_id) nulls last, source_id nulls last, chunk_id) as position from chunks")
+def whole_custom_order(spark, d):
+    """All chunks in a given order of the sources; sources outside it come last, by their names."""
+    order = F.array(*[F.lit(x) for x in ("TS20", "KP26", "HD11")])
+    every = chunks(spark, d).withColumn("at", F.nullif(F.array_position(order, F.col("source_id")), F.lit(0).cast("bigint")))
+    sizes = every.groupBy("at", "source_id").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy(F.col("at").asc_nulls_last(), F.col("source_id").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    # one row per source, null as a source of its own
+    sizes = sizes.select(F.col("source_id").alias("source"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift"))
+    own = every.withColumn("r", F.row_number().over(Window.partitionBy("source_id").orderBy("chunk_id")))
+    return own.join(F.broadcast(sizes), F.col("source_id").eqNullSafe(F.col("source"))).select("chunk_id", (F.col("r") + F.col("shift")).alias("position"))
+
+
 @query("""select knowledge_unit_id, segment_index as location, chunk_id from (select *, lag(body_start) over (partition by knowledge_unit_id order by segment_index, chunk_id) as before from (select distinct * exclude (recorded_at) from rag_chunks))
   where before >= body_start""")
 def order_violations(spark, d):

@@ -167,3 +167,13 @@ def test_roles_of_the_judged_queries_are_counted(spark):
 
     got = {r.role: r.n for r in __spark_entry__.queries()["judged_role_counts"](spark, "/root/testdata/sf0.001").collect()}
     assert set(got) == {"any_hit", "all_relevant", "negative", "relation_only"} and sum(got.values()) > 0
+
+
+def test_custom_order_of_all_chunks(spark):
+    import __spark_entry__
+
+    from loomgraph.plans.structure import chunks
+
+    sf = "/root/testdata/sf0.001"
+    got = __spark_entry__.queries()["whole_custom_order"](spark, sf).collect()
+    assert sorted(r.position for r in got) == list(range(1, chunks(spark, sf).count() + 1))
