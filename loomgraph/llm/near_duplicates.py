@@ -1,16 +1,22 @@
 """Groups of near-duplicate records: an LSH forest over min-hash signatures, then exact verification.
 
-Each content has 128 min-hashes of its character shingles.  A tree of the forest is an order of the contents
-by a label of min-hashes; neighbours in that order are contents whose labels share a long prefix.  A *region*
-is a common prefix, five values deep where few contents share it.  Where more than ``REGION`` do, the region
-branches into ``FAN`` deeper orders of three further values, each an order of its own, and so on: a pair that
-was together stays together in at least one branch with probability above 0.99, each region with three values of its own, so that
-misses in different trees are independent and depth adapts without losing pairs.  What is crowded at the last depth is compared block against block, so no region is cut short.  Sorting by
-region brings neighbours together; inside, the pairs whose one-bit sketches agree enough are candidates, which
-are verified on their shingles.
-
-With 64 trees a pair of similarity 0.7 shares five values somewhere with probability above 0.9999; the
-sketch passes it with probability above 0.9999.  Equal contents are one class from the start.
+Each content has 128 min-hashes of its character shingles.  A tree of the forest is a sorted order of all
+contents by a label of four of them; neighbours in the order are contents whose labels share a long prefix.
+
+*Orders.*  All trees are one table, range-partitioned and sorted by tree and label.  One sweep over it takes the
+longest common prefix (LCP) of each row with the next.  A row's *region* is the run of rows around it whose
+prefixes agree to some depth; the depth adapts everywhere: it is the first, from ``SHARED`` values on, at which the run has at most
+``REGION`` rows.  Sparse parts of the collection are compared under short prefixes, dense ones under long ones.
+*Edges.*  A sweep sees one partition.  Whatever lies so near to a partition's edge that its region could reach
+over is handed to a second sweep of the rows around the edges, so partitioning changes no result.
+*Crowded regions.*  More than ``REGION`` rows may share a whole label.  They branch into ``FAN`` orders of four further values, which
+are sorted and swept in the same way; each region has values of its own, so that misses in different trees are
+independent.  What is crowded after ``LEVELS`` branchings is compared block against block, so no region is cut short.
+*Candidates* are the pairs of a region whose one-bit sketches, then whose whole signatures agree enough; their shingles verify them.
+
+A pair of similarity 0.7 shares four values in some of 40 trees with probability 0.99998, and fewer suffice where its
+region is sparse; a branch loses it with probability 0.01 at most, and it has about ten trees to be found in.  Sketch and signature pass
+it with probability above 0.9999.  Equal contents are one class from the start.
 """
 
 from __future__ import annotations
@@ -21,23 +27,36 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from loomgraph.workspace import Workspace
 
-HASHES, TREES, PREFIX = 128, 64, 5
-#: A crowded region branches into this many orders of this many further values, at most so many times.
-FAN, FURTHER, LEVELS = 16, 3, 2
-REGION = 1024
+#: Min-hashes, made in so many passes: a pass gives each shingle to one of its bins, and each bin keeps its least.  With few bins a
+#: pass even the values of texts of ten shingles hardly depend on each other.
+HASHES, PASSES = 128, 16
+BINS = HASHES // PASSES
+#: Orders, and values of a label.
+TREES, DEPTH = 40, 4
+#: Values that a region shares at least, and its rows at most.
+SHARED, REGION = 2, 64
+#: A crowded region branches into so many orders, at most so many times.
+FAN, LEVELS = 16, 2
 #: Least share of equal bits of the sketches; a pair of similarity 0.7 has 0.85 on average, four deviations above.
 SKETCH = 0.72
+#: How far below the threshold the share of equal min-hashes may lie: four and a half deviations.
+SIGNATURE = 0.18
 #: Up to this size a class of equal contents is written out as pairs; of a larger one each member is paired with the representative.
 WRITTEN_OUT = 1000
+#: Rows swept at once, and characters hashed at once.
+SWEPT, HASHED = 100_000, 500_000
 _RNG = np.random.default_rng(5)
-_FACTORS = _RNG.integers(1 << 62, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_ORDERS = np.stack([_RNG.permutation(HASHES)[:PREFIX] for _ in range(TREES)])
+_FACTORS = _RNG.integers(1 << 62, 1 << 63, PASSES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Where an empty bin takes its value from: the first of these bins that has one.
+_LENDERS = np.stack([np.concatenate([_RNG.permutation(BINS) for _ in range(2)]) for _ in range(HASHES)])
+_ORDERS = np.stack([_RNG.permutation(HASHES)[:DEPTH] for _ in range(TREES)])
 #: By level, then ``TREES`` sets, of which a region's hash chooses one: what the branches of one tree miss, those of another don't.
-_BRANCHES = np.stack([[[_RNG.permutation(HASHES)[:FURTHER] for _ in range(FAN)] for _ in range(TREES)] for _ in range(LEVELS)])
+_BRANCHES = np.stack([[[_RNG.permutation(HASHES)[:DEPTH] for _ in range(FAN)] for _ in range(TREES)] for _ in range(LEVELS)])
 _SPACES = re.compile("[ \t\r\n\u3000]+")
 
 
@@ -52,22 +71,73 @@ def shingles(s: str, n: int = 5) -> set[str]:
     return {s[i : i + n] for i in range(len(s) - n + 1)}
 
 
-def shingle_hashes(s: str, n: int = 5) -> np.ndarray:
-    c = np.frombuffer(s.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+def _windows(c: np.ndarray, n: int) -> np.ndarray:
+    """A hash of each ``n`` adjacent code points."""
+    c = c.astype(np.uint64)
     h = np.zeros(max(0, len(c) - n + 1), np.uint64)
     for i in range(n):
         h = (h ^ c[i : len(c) - n + 1 + i]) * np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(29)
-    return np.unique(h)
+    return h
 
 
-def signature(hashes: np.ndarray) -> np.ndarray:
-    out = np.full(HASHES, np.iinfo(np.uint64).max, np.uint64)
-    for a in range(0, len(hashes), 2048):
-        out = np.minimum(out, ((hashes[a : a + 2048, None] * _FACTORS) >> np.uint64(20)).min(axis=0))
+def shingle_hashes(s: str, n: int = 5) -> np.ndarray:
+    """Sorted 64-bit hashes of the distinct shingles; two of a pair of texts meet by chance once in 10^12."""
+    return np.unique(_windows(np.frombuffer(s.encode("utf-32-le", "surrogatepass"), np.uint32), n))
+
+
+def signatures(hashes: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """Min-hashes of ``n`` texts; ``owner`` is the text of each shingle hash, and repeats don't matter.
+
+    An empty bin takes the value of another bin of its pass, chosen alike for all texts, so that bins agree with the
+    probability of the texts' similarity also where a text has few shingles.
+    """
+    none = np.iinfo(np.uint64).max
+    out = np.full((n, HASHES), none, np.uint64)
+    shift, low = np.uint64(65 - int(BINS).bit_length()), np.uint64((1 << 56) - 1)
+    row_at, h, at = owner * HASHES, np.empty_like(hashes), np.empty(len(hashes), np.int64)
+    for i in range(PASSES):
+        np.multiply(hashes, _FACTORS[i], out=h)
+        np.right_shift(h, shift, out=at.view(np.uint64))
+        at += row_at
+        at += i * BINS
+        h &= low
+        np.minimum.at(out.ravel(), at, h)
+        own = out[:, i * BINS : (i + 1) * BINS]
+        row, gap = np.nonzero(own == none)
+        filled = own.copy()
+        for turn in range(_LENDERS.shape[1]):
+            if not len(row):
+                break
+            got = own[row, _LENDERS[i * BINS + gap, turn]]
+            filled[row, gap] = got
+            open_ = got == none
+            row, gap = row[open_], gap[open_]
+        out[:, i * BINS : (i + 1) * BINS] = filled
     return out
 
 
+def signature(hashes: np.ndarray) -> np.ndarray:
+    return signatures(hashes, np.zeros(len(hashes), np.int64), 1)[0]
+
+
+def _text_signatures(texts: list[str], n: int = 5) -> np.ndarray:
+    """Signatures of texts of at least ``n`` characters, hashed some at a time."""
+    out, a = [], 0
+    while a < len(texts):
+        b, chars = a, 0
+        while b < len(texts) and (b == a or chars + len(texts[b]) <= HASHED):
+            chars += len(texts[b])
+            b += 1
+        size = np.fromiter((len(t) for t in texts[a:b]), np.int64, b - a)
+        h = _windows(np.frombuffer("".join(texts[a:b]).encode("utf-32-le", "surrogatepass"), np.uint32), n)
+        owner = np.repeat(np.arange(b - a), size)[: len(h)]
+        inside = np.arange(len(h)) + n <= np.cumsum(size)[owner]
+        out.append(signatures(h[inside], owner[inside], b - a))
+        a = b
+    return np.concatenate(out)
+
+
 def _contents(units: DataFrame, key: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -86,8 +156,7 @@ def _signatures(classes: DataFrame) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            sig = np.stack([signature(shingle_hashes(s)) for s in batch.column(1).to_pylist()])
-            mixed = (sig * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(40)
+            mixed = (_text_signatures(batch.column(1).to_pylist()) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(40)
             bits = np.packbits((mixed >> np.uint64(20)).astype(np.uint8) & 1, axis=1).view(np.int64)
             values = [v.tobytes() for v in mixed.astype(np.uint16)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.binary()), pa.array(bits[:, 0]), pa.array(bits[:, 1])], ["cid", "values", "s0", "s1"])
@@ -95,69 +164,218 @@ def _signatures(classes: DataFrame) -> DataFrame:
     return classes.select("cid", "content").mapInArrow(run, "cid bigint, values binary, s0 bigint, s1 bigint")
 
 
-def _mixed(values: np.ndarray, seed: np.ndarray) -> np.ndarray:
-    """A hash of the last axis of ``values`` and a seed of the other axes."""
-    h = np.broadcast_to(seed.astype(np.uint64), values.shape[:-1]) * np.uint64(0x9E3779B97F4A7C15)
-    for i in range(values.shape[-1]):
-        h = (h ^ values[..., i].astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93)
-        h = h ^ (h >> np.uint64(32))
-    return h.view(np.int64)
+def _held(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, HASHES)
+
+
+def _packed(values: np.ndarray) -> np.ndarray:
+    """Labels of ``DEPTH`` values as one number whose order is that of the values."""
+    v = values.astype(np.uint64)
+    out = np.zeros(v.shape[:-1], np.uint64)
+    for i in range(DEPTH):
+        out = (out << np.uint64(16)) | v[..., i]
+    return out.view(np.int64)
 
 
-def _labels(signatures: DataFrame) -> DataFrame:
-    """One row per content and tree: ``region`` (tree and common prefix), ``cid``, the sketch."""
+_ORDER = "home bigint, label bigint, cid bigint, s0 bigint, s1 bigint"
+
+
+def _ordered(signed: DataFrame) -> DataFrame:
+    """One row per content and tree: ``home`` (the tree), ``label``, ``cid``, the sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.num_rows
-            v = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(n, HASHES)[:, _ORDERS]
+            label = _packed(_held(batch.column(1))[:, _ORDERS])
             at = pa.array(np.repeat(np.arange(n), TREES))
-            region = _mixed(v, np.arange(1, TREES + 1)[None, :]).ravel()
-            yield pa.RecordBatch.from_arrays([pa.array(region), *(batch.column(i).take(at) for i in (0, 2, 3))], ["region", "cid", "s0", "s1"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.tile(np.arange(TREES), n)), pa.array(label.ravel()), *(batch.column(i).take(at) for i in (0, 2, 3))], ["home", "label", "cid", "s0", "s1"])
+
+    return signed.select("cid", "values", "s0", "s1").mapInArrow(run, _ORDER)
+
 
-    return signatures.select("cid", "values", "s0", "s1").mapInArrow(run, "region bigint, cid bigint, s0 bigint, s1 bigint")
+def _mixed(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """A hash of two numbers, not negative."""
+    h = x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    h = ((h ^ (h >> np.uint64(31))) + y.astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93)
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+    return (h >> np.uint64(1)).view(np.int64)
 
 
-def _branched(rows: DataFrame, signatures: DataFrame, level: int) -> DataFrame:
-    """Rows of crowded regions, each in ``FAN`` deeper ones."""
+def _branched(crowded: DataFrame, signed: DataFrame, level: int) -> DataFrame:
+    """Rows ``home, cid`` of crowded regions, each in ``FAN`` orders of its region."""
     orders = _BRANCHES[level]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.num_rows
-            region = np.asarray(batch.column(0)).view(np.uint64)
-            own = orders[((region >> np.uint64(20)) % np.uint64(TREES)).astype(np.int64)].reshape(n, FAN * FURTHER)
-            held = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint16).reshape(n, HASHES)
-            v = np.take_along_axis(held, own, axis=1).reshape(n, FAN, FURTHER)
-            parent = region[:, None] + np.arange(FAN, dtype=np.uint64)[None, :]
+            home = np.asarray(batch.column(0))
+            own = orders[(home >> 20) % TREES].reshape(n, FAN * DEPTH)
+            label = _packed(np.take_along_axis(_held(batch.column(4)), own, axis=1).reshape(n, FAN, DEPTH))
             at = pa.array(np.repeat(np.arange(n), FAN))
-            yield pa.RecordBatch.from_arrays([pa.array(_mixed(v, parent).ravel()), *(batch.column(i).take(at) for i in (1, 2, 3))], ["region", "cid", "s0", "s1"])
+            yield pa.RecordBatch.from_arrays([pa.array(_mixed(np.repeat(home, FAN), np.tile(np.arange(FAN), n))), pa.array(label.ravel()), *(batch.column(i).take(at) for i in (1, 2, 3))], ["home", "label", "cid", "s0", "s1"])
 
-    held = rows.join(signatures.select("cid", "values"), "cid").select("region", "cid", "s0", "s1", "values")
-    return held.mapInArrow(run, "region bigint, cid bigint, s0 bigint, s1 bigint")
+    return crowded.join(signed, "cid").select("home", "cid", "s0", "s1", "values").mapInArrow(run, _ORDER)
 
 
-def _regions(signatures: DataFrame, ws: Workspace) -> DataFrame:
-    """``region, side, cid, s0, s1``: who is compared with whom; -1 as side means everyone in the region."""
-    cols = ["cid", "s0", "s1"]
-    everyone = F.lit(-1).alias("side")
-    pending, done = _labels(signatures), []
-    for level in range(LEVELS + 1):
-        crowded = ws.write(pending.groupBy("region").count().where(F.col("count") > REGION), f"crowded{level}")
-        if not crowded.limit(1).count():
-            return _union([*done, pending.select("region", everyone, *cols)])
-        done.append(pending.join(crowded, "region", "left_anti").select("region", everyone, *cols))
-        pending = pending.join(crowded, "region")
-        if level < LEVELS:
-            pending = ws.write(_branched(pending, signatures, level), f"branched{level}")
-    # crowded to the end: blocks of about REGION, each block against each
-    blocks = F.ceil(F.col("count") / REGION).cast("int")
+def _regions(home: np.ndarray, label: np.ndarray, low: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first row of each row's region in a sorted order (-1 for none), and which rows are crowded under their whole label.
+
+    A region is the run of rows whose labels share a prefix of the first depth, from ``low`` on, at which the run has at most ``most`` rows.
+    """
+    n = len(home)
+    x = label.view(np.uint64)
+    differ = x[1:] ^ x[:-1]
+    lcp = np.full(n, -1, np.int8)
+    shared = sum((differ < np.uint64(1 << 16 * i)).astype(np.int8) for i in range(1, DEPTH)) + (differ == 0)
+    lcp[1:] = np.where(home[1:] == home[:-1], shared, -1)
+    first, crowded = np.full(n, -1, np.int64), np.ones(n, bool)
+    for depth in range(low, DEPTH + 1):
+        edge = np.flatnonzero(lcp < depth)
+        size = np.diff(np.append(edge, n))
+        fits = crowded & np.repeat(size <= most, size)
+        first[fits] = np.repeat(edge, size)[fits]
+        crowded &= ~fits
+    return first, crowded
+
+
+_FOUND = "kind int, a bigint, b bigint, home bigint, label bigint, s0 bigint, s1 bigint, part int, place bigint"
+_PAIR, _EDGE, _SIZE, _CROWDED = range(4)
+
+
+def _rows(kind: int, n: int, **cols: np.ndarray) -> pa.RecordBatch:
+    names = [c.split()[0] for c in _FOUND.split(", ")]
+    small = {"kind": np.full(n, kind, np.int32), "part": np.zeros(n, np.int32)}
+    return pa.RecordBatch.from_arrays([pa.array((small | cols)[c] if c in small or c in cols else np.zeros(n, np.int64)) for c in names], names)
+
+
+def _judged(rows: dict[str, np.ndarray], first: np.ndarray, crowded: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Candidates of the regions given by ``first`` (-1: none), and the crowded rows under the name of their region."""
+    at = np.flatnonzero(first >= 0)
+    if len(at):
+        sketch = np.stack([rows["s0"][at], rows["s1"][at]], axis=1).view(np.uint64)
+        pairs = _pairs_inside(first[at], np.full(len(at), -1, np.int32), rows["cid"][at], sketch)
+        if len(pairs):
+            yield _rows(_PAIR, len(pairs), a=pairs[:, 0], b=pairs[:, 1])
+    if crowded.any():
+        yield _rows(_CROWDED, int(crowded.sum()), a=rows["cid"][crowded], home=_mixed(rows["home"][crowded], rows["label"][crowded]))
+
+
+def _sweep(batches: Iterator[pa.RecordBatch], low: int, most: int) -> Iterator[pa.RecordBatch]:
+    """One sorted partition: what its inner rows find, the rows near its edges, and its size.
+
+    Whether a run has more than ``most`` rows shows within ``most`` places of any of its rows; so rows that far from both edges are judged here.
+    """
+    names = ["home", "label", "cid", "s0", "s1"]
+    part = TaskContext.get().partitionId() if TaskContext.get() else 0
+    held, place, done, n = {c: np.empty(0, np.int64) for c in names}, 0, 0, 0  # place: of the first row that is held
+
+    def edge(where: np.ndarray) -> pa.RecordBatch:
+        at = place + np.flatnonzero(where)
+        cols = {c: held[c][where] for c in names if c != "cid"}
+        return _rows(_EDGE, len(at), a=held["cid"][where], place=at, part=np.full(len(at), part, np.int32), **cols)
+
+    def judge(last: bool) -> Iterator[pa.RecordBatch]:
+        nonlocal held, place, done
+        at = place + np.arange(len(held["home"]))
+        first, crowded = _regions(held["home"], held["label"], low, most)
+        size = np.bincount(first[first >= 0], minlength=len(at))
+        end = n if last else n - most
+        begin = place + first
+        ours = (first >= 0) & (begin >= max(done, most)) & (begin < end)
+        if last:
+            ours &= begin + size[first] <= n - most
+            end = n - most
+        yield from _judged(held, np.where(ours, first, -1), crowded & (at >= max(done, most)) & (at < end))
+        if done < 2 * most:
+            yield edge((at >= done) & (at < min(2 * most, n if last else n - most)))
+        if last:
+            yield edge((at >= max(2 * most, n - 2 * most)))
+            yield _rows(_SIZE, 1, part=np.full(1, part, np.int32), place=np.full(1, n, np.int64))
+        done = max(done, n - most)
+        cut = max(0, n - 2 * most - place)
+        held, place = {c: v[cut:] for c, v in held.items()}, place + cut
+
+    fresh: list[pa.RecordBatch] = []
+
+    def take() -> None:
+        nonlocal held, n
+        for c in names:
+            held[c] = np.concatenate([held[c], *(np.asarray(b.column(names.index(c))) for b in fresh)])
+        n += sum(b.num_rows for b in fresh)
+        fresh.clear()
+
+    for batch in batches:
+        fresh.append(batch)
+        if sum(b.num_rows for b in fresh) >= SWEPT:
+            take()
+            yield from judge(False)
+    take()
+    if n:
+        yield from judge(True)
+
+
+def _swept(rows: DataFrame, n_rows: int, low: int, most: int, ws: Workspace, level: int) -> tuple[DataFrame, DataFrame]:
+    """Candidate pairs ``a, b`` of sorted orders, and their crowded rows ``home, cid``."""
+    spark = rows.sparkSession
+    parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), n_rows // (8 * most)), n_rows // 1_000_000)
+    ordered = rows.repartitionByRange(parts, "home", "label").sortWithinPartitions("home", "label")
+    swept = ws.write(ordered.mapInArrow(lambda batches: _sweep(batches, low, most), _FOUND), f"swept{level}")
+    # one row per partition
+    size = {r["part"]: r["place"] for r in swept.where(F.col("kind") == _SIZE).select("part", "place").collect()}
+    order = sorted(size)
+    begin = np.cumsum([0, *(size[p] for p in order)])
+    base = {p: int(b) for p, b in zip(order, begin)}
+    # rows around edges that lie near to each other are judged together
+    group = np.cumsum(np.diff(begin, prepend=begin[:1]) > 4 * most)
+    near = {p: (int(group[i]), int(group[i + 1])) for i, p in enumerate(order)}
+    known = spark.createDataFrame([(p, size[p], base[p], *near[p]) for p in order], "part int, n bigint, base bigint, before bigint, after bigint")
+    around = swept.where(F.col("kind") == _EDGE).join(F.broadcast(known), "part")
+    head, tail = F.col("place") < 2 * most, F.col("place") >= F.col("n") - 2 * most
+    at_edge = F.array_distinct(F.array_compact(F.array(F.when(head, F.col("before")), F.when(tail, F.col("after")))))
+    inner = (F.col("place") >= most) & (F.col("place") < F.col("n") - most)
+    around = around.select(F.explode(at_edge).alias("group"), (F.col("base") + F.col("place")).alias("at"), inner.alias("inner"), "home", "label", F.col("a").alias("cid"), "s0", "s1")
+
+    def judge(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks().sort_by("at")
+        cols = {c: table.column(c).to_numpy() for c in ("home", "label", "cid", "s0", "s1")}
+        outer = ~table.column("inner").to_numpy(zero_copy_only=False)
+        first, crowded = _regions(cols["home"], cols["label"], low, most)
+        reach = np.bincount(first[first >= 0], outer[first >= 0], len(first))
+        found = list(_judged(cols, np.where((first >= 0) & (reach[first] > 0), first, -1), crowded & outer))
+        return pa.Table.from_batches(found or [_rows(_PAIR, 0)])
+
+    over = ws.write(around.groupBy("group").applyInArrow(judge, _FOUND), f"edges{level}")
+    every = swept.where(F.col("kind").isin(_PAIR, _CROWDED)).unionByName(over)
+    return every.where(F.col("kind") == _PAIR).select("a", "b"), every.where(F.col("kind") == _CROWDED).select("home", F.col("a").alias("cid")).distinct()
+
+
+def _blocks(crowded: DataFrame, signed: DataFrame, most: int) -> DataFrame:
+    """``region, side, cid, s0, s1``: regions crowded to the end as blocks, each against each; -1 as side means everyone in the block."""
+    size = crowded.groupBy("home").count()
+    blocks = F.ceil(F.col("count") / most).cast("int")
     own = F.pmod(F.xxhash64("cid"), blocks).cast("int")
-    grid = pending.select("region", *cols, own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    grid = crowded.join(size, "home").join(signed.select("cid", "s0", "s1"), "cid").select("home", "cid", "s0", "s1", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
     a, b = F.least("own", "other"), F.greatest("own", "other")
     side = F.when(a == b, -1).otherwise(F.when(F.col("own") == a, 0).otherwise(1)).cast("int")
-    done.append(grid.select(F.xxhash64("region", a, b).alias("region"), side.alias("side"), *cols))
-    return _union(done)
+    return grid.select(F.xxhash64("home", a, b).alias("region"), side.alias("side"), "cid", "s0", "s1")
+
+
+def _candidates(signed: DataFrame, ws: Workspace) -> DataFrame:
+    """``a, b``: all pairs that the forest brings together, once."""
+    rows, low, parts = _ordered(signed), SHARED, []
+    n_rows = signed.count() * TREES
+    for level in range(LEVELS + 1):
+        pairs, crowded = _swept(rows, n_rows, low, REGION, ws, level)
+        parts.append(pairs)
+        crowded = ws.write(crowded, f"crowded{level}")
+        n = crowded.count()
+        if not n:
+            break
+        if level == LEVELS:
+            parts.append(_block_pairs(_blocks(crowded, signed, max(REGION, 1024))))
+        else:
+            rows, n_rows, low = ws.write(_branched(crowded, signed, level), f"branched{level}"), n * FAN, 1
+    return _union(parts).distinct()
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -200,7 +418,9 @@ def _pairs_inside(region: np.ndarray, side: np.ndarray, cid: np.ndarray, sketch:
     return np.unique(pairs, axis=0)
 
 
-def _candidates(regions: DataFrame) -> DataFrame:
+def _block_pairs(regions: DataFrame) -> DataFrame:
+    """Pairs of blocks whose sketches agree enough."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
         for batch in batches:
@@ -221,24 +441,47 @@ def _candidates(regions: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
     ordered = regions.repartition("region").sortWithinPartitions("region")
-    return ordered.mapInArrow(run, "a bigint, b bigint").distinct()
+    return ordered.mapInArrow(run, "a bigint, b bigint")
+
+
+def _likely(pairs: DataFrame, signed: DataFrame, threshold: float) -> DataFrame:
+    """Pairs whose signatures agree in enough places."""
+    least = HASHES * (threshold - SIGNATURE)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            same = (_held(batch.column(2)) == _held(batch.column(3))).sum(axis=1)
+            keep = pa.array(same >= least)
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
+
+    left, right = (signed.select(F.col("cid").alias(c), F.col("values").alias(v)) for c, v in (("a", "v"), ("b", "w")))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "v", "w").mapInArrow(run, "a bigint, b bigint")
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[int, np.ndarray] = {}
+        size = 0
         for batch in batches:
-            known: dict[int, set[str]] = {}
             keep, sims = [], []
-            for i, (a, b, x, y) in enumerate(zip(*(batch.column(j).to_pylist() for j in range(4)))):
-                p = known.get(a) or known.setdefault(a, shingles(x))
-                q = shingles(y)
-                both = len(p & q)
+            a, b = (batch.column(i).to_pylist() for i in (0, 1))
+            for i in range(batch.num_rows):
+                sets = []
+                for cid, text in ((a[i], batch.column(2)), (b[i], batch.column(3))):
+                    if cid not in known:
+                        if size > 4_000_000:
+                            known.clear()
+                            size = 0
+                        known[cid] = shingle_hashes(text[i].as_py())
+                        size += len(known[cid])
+                    sets.append(known[cid])
+                p, q = sets
+                met = np.sort(np.concatenate(sets))
+                both = int((met[1:] == met[:-1]).sum())
                 sim = both / (len(p) + len(q) - both)
                 if sim >= threshold:
                     keep.append(i)
                     sims.append(sim)
-                if len(known) > 64:
-                    known.clear()
             at = pa.array(keep, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(sims, pa.float64())], ["a", "b", "similarity"])
 
@@ -258,9 +501,9 @@ def _classes(units: DataFrame, key: str, ws: Workspace) -> tuple[DataFrame, Data
 
 def similar_classes(classes: DataFrame, ws: Workspace, threshold: float = 0.7) -> DataFrame:
     """``a, b, similarity``: pairs of distinct contents that are at least ``threshold`` similar."""
-    signatures = ws.write(_signatures(classes), "signatures")
-    candidates = ws.write(_candidates(_regions(signatures, ws)), "candidates")
-    return ws.write(_verified(candidates, classes, threshold), "similar")
+    signed = ws.write(_signatures(classes), "signatures")
+    likely = ws.write(_likely(_candidates(signed, ws), signed, threshold), "likely")
+    return ws.write(_verified(likely, classes, threshold), "similar")
 
 
 def near_duplicates(units: DataFrame, key: str = "knowledge_unit_id", threshold: float = 0.7) -> DataFrame:

@@ -85,12 +85,51 @@ def test_very_long_text_has_a_signature():
     assert N.signature(N.shingle_hashes(s)).shape == (N.HASHES,)
 
 
-def test_branches_of_trees_miss_different_pairs(spark):
-    """Two contents that differ in a value of each branch of one tree still meet in others."""
+def test_branches_of_regions_miss_different_pairs(spark):
+    """Two contents that differ in a value of each branch of one region still meet in the branches of others."""
     a = np.arange(N.HASHES, dtype=np.uint16)
     b = a.copy()
-    b[N._BRANCHES[0].reshape(-1, N.FAN, N.FURTHER)[0, :, 0]] += 1000
-    signatures = spark.createDataFrame([(1, bytearray(a.tobytes())), (2, bytearray(b.tobytes()))], "cid bigint, values binary")
-    crowded = np.random.default_rng(1).integers(-(1 << 62), 1 << 62, 64).tolist()
-    rows = spark.createDataFrame([(r, c, 0, 0) for r in crowded for c in (1, 2)], "region bigint, cid bigint, s0 bigint, s1 bigint")
-    assert N._branched(rows, signatures, 0).groupBy("region").count().where("count > 1").count() > 100
+    b[N._BRANCHES[0].reshape(-1, N.FAN, N.DEPTH)[0, :, 0]] += 1000
+    signed = spark.createDataFrame([(1, bytearray(a.tobytes()), 0, 0), (2, bytearray(b.tobytes()), 0, 0)], "cid bigint, values binary, s0 bigint, s1 bigint")
+    crowded = np.random.default_rng(1).integers(0, 1 << 62, 64).tolist()
+    rows = spark.createDataFrame([(r, c) for r in crowded for c in (1, 2)], "home bigint, cid bigint")
+    assert N._branched(rows, signed, 0).groupBy("home", "label").count().where("count > 1").count() > 100
+
+
+@pytest.mark.parametrize("n, most, parts, swept", [(3000, 4, 7, 200), (500, 16, 4, 10_000), (90, 8, 4, 10), (4000, 8, 3, 64), (1, 4, 2, 10), (0, 4, 2, 10)])
+def test_partitions_change_no_region(spark, monkeypatch, n, most, parts, swept):
+    """Sweeps over partitions and their edges find what one look at the whole order does."""
+    rng = np.random.default_rng(n)
+    label = N._packed(rng.geometric(0.4, (n, N.DEPTH)).astype(np.uint16))
+    home = rng.integers(0, 3, n)
+    order = np.lexsort((label, home))
+    home, label, zero = home[order], label[order], np.zeros(n, np.int64)
+    sketch = rng.integers(0, 1 << 18, (n, 2))
+    whole = {"home": home, "label": label, "cid": np.arange(n), "s0": sketch[:, 0], "s1": sketch[:, 1]}
+    first, crowded = N._regions(home, label, N.SHARED, most) if n else (zero, zero > 0)
+    want = {(r["a"], r["b"]) for b in N._judged(whole, first, zero > 0) for r in b.to_pylist()} if n else set()
+    size = np.bincount(first[first >= 0], minlength=n)
+    assert size.max(initial=0) <= most and (n < 1000 or (len(want) > 50 and crowded.sum() > 50))
+    monkeypatch.setattr(N, "SWEPT", swept)
+    rows = spark.createDataFrame([tuple(int(whole[c][i]) for c in ("home", "label", "cid", "s0", "s1")) for i in range(n)], N._ORDER)
+    pairs, left = N._swept(rows, 8 * most * parts, N.SHARED, most, Workspace(spark, "t"), 0)
+    assert {(r.a, r.b) for r in pairs.collect()} == want
+    assert {r.cid for r in left.collect()} == set(np.flatnonzero(crowded).tolist())
+
+
+def test_depth_adapts_to_the_region():
+    """A sparse prefix is one region; under a dense one, rows are told apart by further values."""
+    label = N._packed(np.array([[1, 1, 1, 1], [1, 1, 2, 1], [2, 1, 1, 1], [2, 1, 1, 2], [2, 1, 2, 1], [2, 1, 2, 2], [3, 1, 1, 1], *[[4, 1, 1, 1]] * 4], np.uint16))
+    first, crowded = N._regions(np.zeros(len(label), np.int64), label, 2, 3)
+    assert first.tolist() == [0, 0, 2, 2, 4, 4, 6, -1, -1, -1, -1] and crowded.tolist() == [False] * 7 + [True] * 4
+
+
+def test_signatures_agree_as_texts_do():
+    """Also for texts of few shingles, where most bins borrow their value."""
+    rng = np.random.default_rng(4)
+    for n in (8, 40, 2000):
+        shares = []
+        for _ in range(60):
+            x = rng.integers(0, 1 << 63, n + n // 4, dtype=np.uint64)
+            shares.append((N.signature(x[: n]) == N.signature(x[n // 4 :])).mean())
+        assert abs(np.mean(shares) - 0.6) < 0.03
