@@ -4,18 +4,16 @@ Lengths are integers up to the capacity, so the whole corpus is described by one
 ``capacity`` counts, and a packing is a short list of *patterns* (so many of this length, so many of
 that) with multiplicities.  Only the histogram reaches the driver:
 
-1. *Route.*  Pieces belong to tiers by length (up to 256, 512, 1024, 2048 tokens).
-2. *Pack each tier*, longest first: a pattern starts with the longest piece left in the tier and takes the
-   longest that fit from the same tier.
-3. *Fill the gap* of each window from shorter tiers, longest that fits first; if a gap would remain, the
-   last small pieces are chosen anew by a subset-sum search over the lengths that are left.  A pattern is repeated
-   as often as its scarcest length allows, so each step uses a length up and the plan stays short
+1. *Route.*  Pieces belong to context-size tiers by length (up to 256, 512, 1024, 2048 tokens).
+2. *Pack each tier*, the longest first, into windows of its own: a window starts with the longest piece left in the
+   tier, and the rest of it takes the fullest choice of pieces of the same tier.
+3. *Fill the gaps* of these windows with the fullest choice of pieces of shorter tiers, which are then packed in their turn.
+   A pattern is repeated as often as its scarcest length allows, so each step uses a length up and the plan stays short
    whatever the corpus holds.
 4. *Balance step groups*: containers in order of work (sum of squared lengths) are dealt to step groups in
    serpentine order.
 
-All windows have one capacity, so steps 1 to 3 come to one longest-first filling over all lengths: the longest piece left is in the
-highest tier that has any, and the longest that fit come from there before shorter ones.  Tiers change nothing in the plan; they are a label of each piece.
+"Fullest" is exact: a bounded subset-sum over all lengths at hand, with long pieces preferred.
 
 Documents get their places by rank within their length; ranks come from counts per partition and
 length, so no task sees all documents of one length.
@@ -63,74 +61,52 @@ class Plan:
         return dict(zip(("length", "rank", "each", "first", "offset"), table.T))
 
 
-def _fill(gap: int, left: np.ndarray, most: int) -> list[int]:
-    """Lengths of at most ``most``, longest that fits first; the end of the choice is redone by subset sums if a gap stays."""
+def _longest_first(room: int, left: np.ndarray, low: int, high: int) -> list[int]:
+    """Lengths from ``low + 1`` to ``high``, longest that fits first."""
     out: list[int] = []
-    taken: dict[int, int] = {}
-    room = gap
-    while room > 0:
-        fits = np.flatnonzero(left[1 : min(room, most) + 1]) + 1
-        fits = fits[::-1]
-        s = next((int(x) for x in fits if left[x] > taken.get(int(x), 0)), 0)
-        if not s:
+    top = min(room, high)
+    while room > low:
+        fits = np.flatnonzero(left[low + 1 : min(room, top) + 1])
+        if not len(fits):
             break
-        out.append(s)
-        taken[s] = taken.get(s, 0) + 1
-        room -= s
-    if not room:
-        return out
-    for back in (1, 2, 3):
-        if back > len(out):
-            break
-        kept = out[:-back]
-        free = gap - sum(kept)
-        spare = left.copy()
-        for s in kept:
-            spare[s] -= 1
-        better = _two_or_three(free, spare, most)
-        if better and sum(better) > sum(out[-back:]):
-            out = kept + better
-            if sum(out) == gap:
-                break
+        s = int(fits[-1]) + low + 1
+        n = min(int(left[s]), room // s)
+        out += [s] * n
+        room -= n * s
+        top = s - 1
     return out
 
 
-def _two_or_three(room: int, left: np.ndarray, most: int) -> list[int]:
-    """The fullest sum of at most three lengths that are left."""
-    top = min(room, most)
-    have = left[: top + 1] > 0
-    have[0] = False
-    sizes = np.flatnonzero(have)
-    if not len(sizes):
-        return []
-    best: list[int] = [int(sizes[-1])]
-    # pair[x]: a length with which x is a sum of two
-    for total in range(room, max(room - 64, 0), -1):
-        if total <= sum(best):
-            break
-        a = sizes[(sizes <= total)]
-        b = total - a
-        ok = (b > 0) & (b <= top)
-        ok[ok] = have[b[ok]]
-        ok &= (a != b) | (left[a] > 1)
-        if ok.any():
-            i = int(np.flatnonzero(ok)[-1])
-            best = [int(a[i]), int(b[i])]
+def _fullest(room: int, left: np.ndarray, low: int, high: int) -> list[int]:
+    """The choice of the lengths left, from ``low + 1`` to ``high``, that fills ``room`` best.
+
+    Longest first wherever that leaves no gap.  Else a table of reachable sums, one bit each: ``sums[i]`` are those of the first i
+    lengths, longest first, and no more lengths are looked at than fill the room.
+    """
+    out = _longest_first(room, left, low, high)
+    if sum(out) == room or not out:
+        return out
+    sizes = (np.flatnonzero(left[low + 1 : min(room, high) + 1]) + low + 1)[::-1].tolist()
+    mask, sums = (1 << room + 1) - 1, [1]
+    for s in sizes:
+        bits, n, step = sums[-1], min(int(left[s]), room // s), 1
+        while n:  # 1, 2, 4, ... copies and the rest
+            step = min(step, n)
+            bits |= bits << step * s
+            n, step = n - step, step * 2
+        sums.append(bits & mask)
+        if sums[-1] >> room & 1:
             break
-    if sum(best) < room:
-        for c in sizes[::-1][:64].tolist():
-            rest = room - c
-            a = sizes[sizes <= rest]
-            b = rest - a
-            ok = (b > 0) & (b <= top)
-            ok[ok] = have[b[ok]]
-            need = 1 + (a == c) + 0
-            ok &= left[a] >= need + (a == b)
-            ok &= left[np.clip(b, 0, top)] >= 1 + (b == c) + (a == b)
-            if ok.any():
-                i = int(np.flatnonzero(ok)[-1])
-                return sorted((c, int(a[i]), int(b[i])), reverse=True)
-    return best
+    total = sums[-1].bit_length() - 1
+    if total == sum(out):
+        return out
+    found: list[int] = []
+    for i in range(len(sums) - 1, 0, -1):
+        s = sizes[i - 1]
+        n = next(n for n in range(min(int(left[s]), total // s), -1, -1) if sums[i - 1] >> total - n * s & 1)
+        found += [s] * n
+        total -= n * s
+    return found
 
 
 def plan_packing(histogram: dict[int, int], capacity: int = 2048, tiers: tuple[int, ...] = TIERS) -> Plan:
@@ -139,16 +115,18 @@ def plan_packing(histogram: dict[int, int], capacity: int = 2048, tiers: tuple[i
     for s, n in histogram.items():
         left[s] = n
     plan = Plan(capacity)
-    bounds = [0, *(t for t in tiers if t < capacity), capacity]
+    bounds = [0, *sorted(t for t in set(tiers) if 0 < t < capacity), capacity]
     for low, high in zip(bounds[-2::-1], bounds[:0:-1]):
         while True:
             own = np.flatnonzero(left[low + 1 : high + 1])
             if not len(own):
                 break
             s = int(own[-1]) + low + 1
-            left[s] -= 1
-            items = [s, *_fill(capacity - s, left, capacity)]
-            left[s] += 1
+            spare = left.copy()
+            spare[s] -= 1
+            items = [s, *_fullest(capacity - s, spare, low, high)]
+            if low:
+                items += _fullest(capacity - sum(items), spare, 0, low)
             lengths, counts = np.unique(items, return_counts=True)
             times = int((left[lengths] // counts).min())
             left[lengths] -= times * counts

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from loomgraph.llm import near_duplicates, neighbours, packing, splitting, tokens, toxicity
 from loomgraph.workspace import table
@@ -41,6 +41,19 @@ def p7_report(spark: SparkSession, d: str) -> DataFrame:
     return packing.packing_report(p7_packing(spark, d))
 
 
+def p7_kept(spark: SparkSession, d: str) -> DataFrame:
+    """For each document: whether its tokens lie in containers once each, whether it was cut only because it exceeds one, and whether its containers hold no more than 2,048."""
+    packed = p7_packing(spark, d)
+    full = packed.groupBy("container_id").agg(F.sum("n_tokens").alias("load"), F.max(F.col("position") + F.col("n_tokens")).alias("reach"))
+    rows = packed.join(full, "container_id")
+    n = F.sum("n_tokens")
+    return rows.groupBy("doc_id").agg(
+        ((F.max(F.col("first_token") + F.col("n_tokens")) == n) & (F.count_distinct("first_token") == F.count(F.lit(1))) & (F.min("first_token") == 0)).alias("covered"),
+        ((F.count(F.lit(1)) == 1) | (n > 2048) & (F.count(F.when(F.col("n_tokens") < 2048, 1)) <= 1)).alias("whole"),
+        F.every((F.col("load") <= 2048) & (F.col("reach") <= 2048)).alias("fits"),
+    )
+
+
 def p8_scores(spark: SparkSession, d: str) -> DataFrame:
     return toxicity.score_documents(table(spark, d, "documents"), table(spark, d, "doc_labels"))
 
@@ -53,7 +66,7 @@ def p8_rates(spark: SparkSession, d: str) -> DataFrame:
     return toxicity.rates_per_source(p8_scores(spark, d))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_balanced, p3_found, p4_found, p4_groups, p6_ids, p7_packing, p7_report, p8_found, p8_scores, p8_rates)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_balanced, p3_found, p4_found, p4_groups, p6_ids, p7_packing, p7_report, p7_kept, p8_found, p8_scores, p8_rates)}
 
 _CONTENT = """
       with recursive c as (
@@ -65,6 +78,7 @@ _CONTENT = """
       pairs as (select a, b from met join n x on x.id = a join n y on y.id = b where k / (x.n + y.n - k) >= 0.7)"""
 
 ORACLES = {
+    "p7_kept": "select doc_id, true as covered, true as whole, true as fits from documents",
     "p4_found": _CONTENT + " select a as unit_id_a, b as unit_id_b from pairs",
     "p4_groups": _CONTENT + """,
       reach as (

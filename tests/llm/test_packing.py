@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from loomgraph.llm import packing as P
@@ -69,11 +70,45 @@ def test_step_groups_are_even(spark):
     assert max(map(len, boxes.values())) <= 8
 
 
-def test_tiers_are_labels_only():
-    """As the README says: with one capacity the plan is that of one tier."""
-    rng = random.Random(9)
+def histogram(seed, n=3000):
+    rng = random.Random(seed)
     h = {}
-    for _ in range(3000):
+    for _ in range(n):
         s = min(2048, max(1, int(rng.lognormvariate(5.5, 1.2))))
         h[s] = h.get(s, 0) + 1
-    assert P.plan_packing(h) == P.plan_packing(h, tiers=())
+    return h
+
+
+def test_tiers_change_the_plan():
+    h = histogram(9)
+    plans = [P.plan_packing(h, tiers=t) for t in (P.TIERS, (), (100, 300, 1500))]
+    assert all(a.patterns != b.patterns for i, a in enumerate(plans) for b in plans[:i])
+    assert P.plan_packing(h, tiers=(2048, 256, 512, 0, 1024, 256)) == plans[0]
+
+
+def test_each_tier_is_packed_with_its_own_before_shorter_ones():
+    """Windows come from the longest tier that has pieces; 700 + 548 + 800 is full without the shorter pieces that longest-first would take."""
+    plan = P.plan_packing({1030: 1, 700: 1, 548: 1, 800: 1, 500: 2, 18: 1, 48: 1}, tiers=(512, 1024, 2048))
+    assert [dict(items) for _, items in plan.patterns] == [{1030: 1, 500: 2, 18: 1}, {800: 1, 700: 1, 548: 1}, {48: 1}]
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_fullest_is_exact(seed):
+    rng = random.Random(seed)
+    left = np.zeros(200, np.int64)
+    for _ in range(rng.randrange(1, 9)):
+        left[rng.randrange(1, 90)] += rng.randrange(1, 4)
+    room, low, high = rng.randrange(1, 199), rng.choice([0, 0, 20]), rng.choice([60, 150])
+    sums = {0}
+    for s in range(low + 1, high + 1):
+        for _ in range(left[s]):
+            sums |= {x + s for x in sums}
+    got = P._fullest(room, left, low, high)
+    assert sum(got) == max(x for x in sums if x <= room)
+    assert all(low < s <= high and got.count(s) <= left[s] for s in got)
+
+
+def test_room_left_is_the_least_possible():
+    for seed in range(6):
+        h = histogram(seed, 4000)
+        assert P.plan_packing(h).containers == -(-sum(s * n for s, n in h.items()) // 2048)
