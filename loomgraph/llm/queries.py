@@ -14,7 +14,7 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p2_balanced(spark: SparkSession, d: str) -> DataFrame:
     """The same spans cut into pieces of even length; piece_no and piece_count are the segment_index and segment_count."""
-    return splitting.split_oversized(table(spark, d, "rag_chunks"), table(spark, d, "knowledge_units"), least=200, objective="balanced")
+    return splitting.split_oversized(table(spark, d, "rag_chunks"), table(spark, d, "knowledge_units"), least=200, cost=splitting.BALANCED)
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -103,6 +103,23 @@ ORACLES = {
             + coalesce(list_max(list_filter(range(360, 601), lambda x: contains('。！？!?；;.' || chr(10), substr(t, b - 60 + x, 1)) and substr(t, b - 60 + x, 1) <> '')), 600) end
         from cut where b < e)
       select distinct chunk_id, cast(piece_no as int) as piece_no, a as body_start, cast(b as int) as body_end from cut""",
+    "p2_balanced": """
+      with recursive spans as (
+        select distinct c.chunk_id, c.body_start as s, c.body_end - c.body_start as n, substr(coalesce(u.text, ''), c.body_start + 1, c.body_end - c.body_start) as t from rag_chunks c
+        left join (select knowledge_unit_id, max(struct_pack(r := recorded_at, t := text)).t as text from knowledge_units group by 1) u using (knowledge_unit_id)
+        where c.body_end - c.body_start > 600),
+      aimed as (select *, (n + (p - 1) * 60) / p as even from (select *, ceil((n - 60) / 540.0) as p from spans)),
+      plans as (
+        select chunk_id, s, n, t, even, 0::bigint as a, 0.0::double as cost, []::bigint[] as ends from aimed
+        union all
+        (select chunk_id, s, n, t, even, case when x = n then n else x - 60 end as a,
+          cost + pow((x - a - even) / 600, 2) + case when x = n then 0 when substr(t, x, 1) = chr(10) then 0 when contains('。！？!?；;.', substr(t, x, 1)) and substr(t, x, 1) <> '' then 0.05 else 1 end as cost, list_append(ends, x) as ends
+        from (select *, unnest(case when n - a <= 600 then [n] when len(f) = 0 then [a + 600] else f end) as x
+          from (select *, list_filter(range(a + 200, a + 601), lambda y: contains('。！？!?；;.' || chr(10), substr(t, y, 1)) and substr(t, y, 1) <> '') as f from plans where a < n))
+        qualify row_number() over (partition by chunk_id, s, n, case when x = n then n else x - 60 end order by round(cost + pow((x - a - even) / 600, 2) + case when x = n then 0 when substr(t, x, 1) = chr(10) then 0 when contains('。！？!?；;.', substr(t, x, 1)) and substr(t, x, 1) <> '' then 0.05 else 1 end, 9), list_append(ends, x) desc) = 1)),
+      best as (select chunk_id, s, ends from plans where a = n qualify row_number() over (partition by chunk_id, s, n order by round(cost, 9), ends desc) = 1)
+      select distinct chunk_id, cast(i - 1 as int) as piece_no, cast(s + case when i = 1 then 0 else ends[i - 1] - 60 end as int) as body_start, cast(s + ends[i] as int) as body_end, cast(len(ends) as int) as piece_count
+      from (select *, unnest(range(1, len(ends) + 1)) as i from best)""",
     "p3_found": """
       with v as (
         select m.chunk_id, any_value(cast(x.embedding as double[])) as e from (select chunk_id, min("row") as "row" from vector_manifest group by 1) m

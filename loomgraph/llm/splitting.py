@@ -2,19 +2,22 @@
 
 A state is the start of a piece.  From it lead the admissible cuts: natural boundaries that make the
 piece ``least`` to ``limit`` characters long, or the cut at ``limit`` where there is none; the next state
-lies ``overlap`` before the cut.  Two objectives over the same states:
-
-* ``longest_first``: compare plans by the length of the first piece, then of the second, and so on.  As
-  different cuts differ in the first length already, the best plan from a state is the farthest cut and
-  the best plan behind it; the recursion needs no table.  This is the rule that p2_found fixes.
-* ``balanced``: the least sum of cut penalties (a forced cut 1, a sentence end 0.05, a line end 0) and
-  squared deviations from an even length, each deviation in units of the limit.
+lies ``overlap`` before the cut.  One table over all states that can be reached holds the least cost from
+each on: the penalty of the cut, the piece's deviation from its ideal length, and the cost of what follows.
+Two :class:`Cost` settings are given:
+
+* ``LONGEST_FIRST``, the rule of p2_found: all natural cuts are equally good, the ideal length is the limit, and
+  what follows counts so little (less than one character's deviation) that plans are compared by their first piece,
+  then by their second, and so on.
+* ``BALANCED``: forced cuts cost 1, sentence ends 0.05, line ends 0; the ideal is an even length, deviations count squared.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
+from heapq import heappop, heappush
 
 import numpy as np
 import pandas as pd
@@ -22,15 +25,42 @@ from pyspark.sql import DataFrame, functions as F
 
 #: Characters after which a text may be cut (fixed values).
 ENDS = "。！？!?；;.\n"
-FORCED, SENTENCE, LINE = 1.0, 0.05, 0.0
 _NATURAL = re.compile(f"[{re.escape(ENDS)}]")
 
 
-def plan_cuts(text: str, length: int, limit: int = 600, overlap: int = 60, least: int = 360, objective: str = "longest_first") -> list[tuple[int, int]]:
-    """Pieces ``(start, end)`` of a span of ``length`` characters whose characters are ``text`` (as far as there are any)."""
+@dataclass(frozen=True)
+class Cost:
+    """Penalties of cuts by kind; ideal length (even shares, or the limit); power of the deviation, in units of the limit; weight of what follows (None: below one character)."""
+
+    forced: float
+    sentence: float
+    line: float
+    even: bool
+    power: float
+    follows: float | None
+
+
+LONGEST_FIRST = Cost(1.0, 0.0, 0.0, False, 1.0, None)
+BALANCED = Cost(1.0, 0.05, 0.0, True, 2.0, 1.0)
+
+
+def plan_cuts(text: str, length: int, limit: int = 600, overlap: int = 60, least: int = 360, cost: Cost = LONGEST_FIRST) -> list[tuple[int, int]]:
+    """The cheapest pieces ``(start, end)`` of a span of ``length`` characters whose characters are ``text`` (as far as there are any).
+
+    Of plans that cost the same (to nine digits) the one with the longer first piece that differs is taken.
+    """
     if not 0 <= overlap < least <= limit:
         raise ValueError("0 <= overlap < least <= limit must hold")
+    if length <= limit:
+        return [(0, length)]
     ends = np.array([m.end() for m in _NATURAL.finditer(text)], np.int64)
+    penalty = np.full(length + 1, cost.forced)
+    penalty[ends[ends <= length]] = cost.sentence
+    penalty[[e for e in ends.tolist() if text[e - 1] == "\n" and e <= length]] = cost.line
+    penalty[length] = 0.0
+    pieces = -(-(length - overlap) // (limit - overlap))
+    ideal = (length + (pieces - 1) * overlap) / pieces if cost.even else limit
+    follows = 1 / (2 * limit) if cost.follows is None else cost.follows
 
     def cuts(start: int) -> np.ndarray:
         if length - start <= limit:
@@ -38,47 +68,35 @@ def plan_cuts(text: str, length: int, limit: int = 600, overlap: int = 60, least
         inside = ends[np.searchsorted(ends, start + least) : np.searchsorted(ends, start + limit, "right")]
         return inside if len(inside) else np.array([start + limit])
 
-    if objective == "longest_first":
-        out, start = [], 0
-        while True:
-            end = int(cuts(start)[-1])
-            out.append((start, end))
-            if end >= length:
-                return out
-            start = end - overlap
-    if objective != "balanced":
-        raise ValueError(f"unknown objective {objective!r}")
-    pieces = max(1, -(-(length - overlap) // (limit - overlap)))
-    even = (length + (pieces - 1) * overlap) / pieces
-    cost, back, todo = {0: 0.0}, {}, [0]
-    best_end, best = None, float("inf")
-    import heapq
-
-    while todo:  # starts in ascending order, each once: every cut moves the start on
-        start = heapq.heappop(todo)
+    # states that can be reached: every cut moves the start on
+    seen = np.zeros(length + 1, bool)
+    seen[0] = True
+    states, todo = [], [0]
+    while todo:
+        start = heappop(todo)
+        states.append(start)
+        if length - start > limit:
+            new = cuts(start) - overlap
+            new = new[~seen[new]]
+            seen[new] = True
+            for x in new.tolist():
+                heappush(todo, x)
+    value, choice = np.zeros(length + 1), np.zeros(length + 1, np.int64)
+    for start in reversed(states):
         reach = cuts(start)
-        natural = len(reach) > 1 or (len(ends) and ends[min(np.searchsorted(ends, reach[0]), len(ends) - 1)] == reach[0])
-        for end in reach.tolist():
-            last = end >= length
-            cut = 0.0 if last else FORCED if not natural else LINE if text[end - 1] == "\n" else SENTENCE
-            total = cost[start] + cut + ((end - start - even) / limit) ** 2
-            if last:
-                if total < best:
-                    best, best_end = total, start
-            else:
-                nxt = end - overlap
-                if nxt not in cost:
-                    heapq.heappush(todo, nxt)
-                if total < cost.get(nxt, float("inf")):
-                    cost[nxt], back[nxt] = total, (start, end)
-    out, start = [(best_end, length)], best_end
-    while start:
-        start, end = back[start]
+        total = penalty[reach] + (np.abs(reach - start - ideal) / limit) ** cost.power + follows * np.where(reach < length, value[reach - overlap], 0)
+        best = int(np.flatnonzero(total <= total.min() + (5e-10 if follows == 1 else 0))[-1])
+        value[start], choice[start] = total[best], reach[best]
+    out, start = [], 0
+    while True:
+        end = int(choice[start])
         out.append((start, end))
-    return out[::-1]
+        if end == length:
+            return out
+        start = end - overlap
 
 
-def split_oversized(chunks: DataFrame, units: DataFrame, limit: int = 600, overlap: int = 60, least: int = 360, objective: str = "longest_first") -> DataFrame:
+def split_oversized(chunks: DataFrame, units: DataFrame, limit: int = 600, overlap: int = 60, least: int = 360, cost: Cost = LONGEST_FIRST) -> DataFrame:
     """``chunk_id, piece_no, body_start, body_end, piece_count`` of every span longer than ``limit``.
 
     Positions count in the unit's text from 0.  Spans with a null bound are not oversized.  Where the
@@ -98,7 +116,7 @@ def split_oversized(chunks: DataFrame, units: DataFrame, limit: int = 600, overl
         for frame in frames:
             out = []
             for r in frame.itertuples(index=False):
-                plan = plan_cuts(r.span, r.body_end - r.body_start, limit, overlap, least, objective)
+                plan = plan_cuts(r.span, r.body_end - r.body_start, limit, overlap, least, cost)
                 out += [(r.chunk_id, i, a + r.body_start, b + r.body_start, len(plan)) for i, (a, b) in enumerate(plan)]
             yield pd.DataFrame(out, columns=["chunk_id", "piece_no", "body_start", "body_end", "piece_count"])
 

@@ -1,6 +1,6 @@
 from hypothesis import given, settings, strategies as st
 
-from loomgraph.llm.splitting import FORCED, LINE, SENTENCE, plan_cuts, split_oversized
+from loomgraph.llm.splitting import BALANCED, plan_cuts, split_oversized
 
 ENDS = "。！？!?；;.\n"
 
@@ -24,7 +24,7 @@ def test_longest_first_is_the_greedy_rule(parts):
 def cost(text, plan, n, limit, even):
     total = 0.0
     for a, b in plan:
-        cut = 0.0 if b == n else FORCED if text[b - 1] not in ENDS else LINE if text[b - 1] == "\n" else SENTENCE
+        cut = 0.0 if b == n else BALANCED.forced if text[b - 1] not in ENDS else BALANCED.line if text[b - 1] == "\n" else BALANCED.sentence
         total += cut + ((b - a - even) / limit) ** 2
     return total
 
@@ -46,7 +46,7 @@ def test_balanced_is_the_cheapest_plan(text):
                 yield [(s, e), *rest]
 
     some = [p for _, p in zip(range(3000), plans(0))]
-    got = plan_cuts(text, n, limit, overlap, least, "balanced")
+    got = plan_cuts(text, n, limit, overlap, least, BALANCED)
     assert got[0][0] == 0 and got[-1][1] == n and all(c == b - overlap for (_, b), (c, _) in zip(got, got[1:]))
     if len(some) < 3000:
         assert abs(cost(text, got, n, limit, even) - min(cost(text, p, n, limit, even) for p in some)) < 1e-9
@@ -67,6 +67,20 @@ def test_rows(spark):
     assert got["c6"][0][0] == 3900 and got["c6"][-1][1] == 4700 and None in got and "c2" not in got and "c5" not in got
     assert got["c7"] == [(-10, 590), (530, 700)]
     assert split_oversized(c.where("false"), u).count() == 0 and split_oversized(c, u.where("false")).count() > 0
-    even = split_oversized(c.where("chunk_id = 'c1'"), u, least=200, objective="balanced").orderBy("piece_no").collect()
+    even = split_oversized(c.where("chunk_id = 'c1'"), u, least=200, cost=BALANCED).orderBy("piece_no").collect()
     assert [r.piece_no for r in even] == list(range(even[0].piece_count))
     assert max(r.body_end - r.body_start for r in even) <= 600
+
+
+def test_longest_first_weighs_the_first_piece_above_all_others():
+    """The cheapest plan takes the longest first piece even where that costs the later ones most."""
+    text = "x" * 599 + "." + "y" * 299 + "。" + "z" * 500
+    assert plan_cuts(text, len(text)) == [(0, 600), (540, 900), (840, 1400)]
+    text = "a" * 399 + "." + "b" * 199 + "." + "c" * 900
+    assert plan_cuts(text, len(text))[0] == (0, 600)
+
+
+def test_very_long_spans_of_many_ends():
+    text = "ab." * 70_000
+    plan = plan_cuts(text, len(text))
+    assert plan == greedy(text, len(text)) and len(plan) > 380
