@@ -9,10 +9,11 @@ priority 0, the other side of a split the largest distance to a split crossed so
 *Rerank.*  A vector is sent to the leaves it visits; there exact cosines of visitors and residents are
 matrix products.  A pair met in either direction counts for both ends.
 
-Vectors travel as 16-bit fixed-point numbers of their own largest element (relative error below 2e-5 per
-element, some 1e-6 in a cosine): half the shuffle of floats.  Equal vectors are one class with one
-representative, so copies can't crowd a leaf; leaves that the sample shows to be crowded nevertheless are
-split, and their visitors see every part.
+Vectors travel as 16-bit fixed-point numbers of their own largest element: half the shuffle of floats, and cosines within ``CLOSE`` of
+the exact ones.  Where two neighbours are closer to each other than that, their cosines are computed anew from the original numbers, so the
+order is exact.  Vectors of one direction (to the precision of floats) are one class with one representative, so copies can't crowd a leaf;
+leaves that the sample shows to be crowded nevertheless are split, and their visitors see every part; visitors of leaves that many visit are dealt
+to blocks, each of which sees all residents.
 """
 
 from __future__ import annotations
@@ -27,8 +28,13 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from loomgraph.workspace import Workspace
 
-#: Vectors that directions and thresholds are fitted on, at most.
+#: Vectors that directions and thresholds are fitted on: all up to this number, else about so many, chosen by a hash of their row.
 FIT_SAMPLE = 20_000
+#: Cosines nearer to each other than this are compared on the original numbers; for that, so many places more than asked for are kept.  Which of
+#: still more that are as close come so far is left to 16 bits; they differ by less than ``CLOSE``.
+CLOSE, SPARE = 2e-5, 3
+#: Visitors that a block of a leaf is expected to have, in multiples of the leaf.
+VISITORS = 10
 LEAF = 2_500
 TREES = 3
 
@@ -45,7 +51,9 @@ def unpack(column: pa.Array, dim: int) -> np.ndarray:
     return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
 
 
-def _valid_packed(vectors: DataFrame, row: str, embedding: str, dim: int) -> DataFrame:
+def _valid_packed(vectors: DataFrame, row: str, embedding: str, dim: int, exact: bool = False) -> DataFrame:
+    """``row, digest`` of the direction, and ``q``: the vector in 16-bit numbers, or as it is in doubles."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column(1)
@@ -55,15 +63,42 @@ def _valid_packed(vectors: DataFrame, row: str, embedding: str, dim: int) -> Dat
             flat = lists.take(pa.array(keep)).flatten()
             x = np.asarray(flat.cast(pa.float64()).fill_null(np.nan)).reshape(-1, dim)
             good = np.isfinite(x).all(axis=1) & (x != 0).any(axis=1)
-            q = [v.tobytes() for v in pack(x[good])] if good.any() else []
-            digest = [hashlib.blake2b(v, digest_size=16).digest() for v in q]
+            x = x[good]
+            q = [v.tobytes() for v in pack(x)] if len(x) else []
+            one = x / np.abs(x).max(axis=1, keepdims=True) if len(x) else x
+            digest = [hashlib.blake2b(v, digest_size=16).digest() for v in one.astype(np.float32) + np.float32(0)]
+            held = [v.tobytes() for v in x] if exact else q
             yield pa.RecordBatch.from_arrays(
-                [rows.filter(pa.array(good)).cast(pa.int64()), pa.array(digest, pa.binary()), pa.array(q, pa.binary())], ["row", "digest", "q"],
+                [rows.filter(pa.array(good)).cast(pa.int64()), pa.array(digest, pa.binary()), pa.array(held, pa.binary())], ["row", "digest", "q"],
             )
 
     return vectors.select(row, embedding).mapInArrow(run, "row bigint, digest binary, q binary")
 
 
+def _settled(top: DataFrame, members: DataFrame, vectors: DataFrame, k: int, dim: int, ws: Workspace) -> DataFrame:
+    """``vid, other, place``: the first k places; where scores of adjacent places are too close to tell, by cosines of the original numbers."""
+    gap = F.col("score") - F.lead("score").over(Window.partitionBy("vid").orderBy("place"))
+    close = ws.write(top.withColumn("gap", gap).where((F.col("gap") < CLOSE) & (F.col("place") <= k)).select("vid").distinct(), "close")
+    unsure = top.join(close, "vid").select("vid", "other")
+    wanted = unsure.select(F.explode(F.array("vid", "other")).alias("vid")).distinct()
+    named = wanted.join(members.select("vid", "digest").distinct(), "vid")
+    rows = _valid_packed(vectors.join(named.select(F.col("vid").alias("row")), "row", "left_semi"), "row", "embedding", dim, exact=True)
+    held = named.join(rows.withColumnRenamed("row", "vid"), ["vid", "digest"]).select("vid", "q").dropDuplicates(["vid"])
+
+    def cosines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.float64).reshape(-1, dim) for i in (2, 3))
+            x, y = (v / np.abs(v).max(axis=1, keepdims=True) if len(v) else v for v in (x, y))
+            dot = lambda a, b: np.einsum("ij,ij->i", a, b)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(dot(x, y) / np.sqrt(dot(x, x) * dot(y, y)))], ["vid", "other", "score"])
+
+    pairs = unsure.join(held.withColumnRenamed("q", "x"), "vid").join(held.select(F.col("vid").alias("other"), F.col("q").alias("y")), "other")
+    exact = pairs.select("vid", "other", "x", "y").mapInArrow(cosines, "vid bigint, other bigint, score double")
+    order = Window.partitionBy("vid").orderBy(F.desc(F.round("score", 12)), "other")
+    again = exact.withColumn("place", F.row_number().over(order)).select("vid", "other", "place")
+    return top.join(close, "vid", "left_anti").select("vid", "other", "place").unionByName(again).where(F.col("place") <= k)
+
+
 class Forest:
     """Directions, thresholds and leaf splits; small, and sent to every task."""
 
@@ -93,6 +128,11 @@ class Forest:
                 node = node * 2 + (seen[:, i, level] > self.at[i, node])
             nodes, size = np.unique(node, return_counts=True)
             self.parts[i, nodes] = np.maximum(1, np.ceil(size / len(sample) * n / (2 * leaf)))
+        self.blocks = np.ones((t, 2 << d), np.int64)
+        for a in range(0, len(sample) if d else 0, 2048):
+            tree, node, _ = self.visit(sample[a : a + 2048])
+            np.add.at(self.blocks, (tree, node), 1)
+        self.blocks = np.maximum(1, np.ceil((self.blocks - 1) / len(sample) * n / (VISITORS * leaf))).astype(np.int64)
 
     def visit(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Tree, leaf and priority of the leaves each row visits, nearest first; priority 0 is a home leaf."""
@@ -128,8 +168,8 @@ def _best(score: np.ndarray, k: int) -> np.ndarray:
     return np.argpartition(-score, k - 1, axis=1)[:, :k] if k < score.shape[1] else np.broadcast_to(np.arange(k), score.shape)
 
 
-def _search_leaf(ids: np.ndarray, home: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``id, other, score`` of the best k residents for each visitor, and the best k of all for each resident."""
+def _search_leaf(ids: np.ndarray, home: np.ndarray, x: np.ndarray, k: int, among: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``id, other, score`` of the best k residents for each visitor, and the best k of all for each resident; residents meet each other only if ``among``."""
     rid, m = ids[home], x[home]
     vid, v = ids[~home], x[~home]
     best_s = np.full((len(rid), k), -np.inf, np.float32)
@@ -143,7 +183,7 @@ def _search_leaf(ids: np.ndarray, home: np.ndarray, x: np.ndarray, k: int) -> tu
         best_s[at], best_i[at] = np.take_along_axis(s, pick, 1), np.take_along_axis(o, pick, 1)
 
     out = []
-    for a in range(0, len(rid), 1024):
+    for a in range(0, len(rid) if among else 0, 1024):
         score = m[a : a + 1024] @ m.T
         score[np.arange(len(score)), np.arange(a, a + len(score))] = -np.inf
         improve(slice(a, a + 1024), score, rid)
@@ -168,7 +208,7 @@ def nearest(manifest: DataFrame, vectors: DataFrame, k: int = 5, dim: int = 512,
     row's vector has exactly ``dim`` finite, non-null numbers that are not all zero.  Null rows and chunk
     ids, entries without a vector and vectors without an entry take no part.  A chunk listed under several
     rows counts with the smallest; of several valid vectors of a row one counts (equal copies are usual).
-    Equally similar chunks are taken in order of chunk_id among equal vectors and in any order else.
+    Equally similar chunks are taken in order of chunk_id among equal vectors and in order of their vectors' rows else.
     With fewer than k others all come out; empty tables give no rows.
     """
     spark = manifest.sparkSession
@@ -182,10 +222,13 @@ def nearest(manifest: DataFrame, vectors: DataFrame, k: int = 5, dim: int = 512,
     members = ws.write(members.join(classes, "digest").select("chunk_id", "vid", "n", "digest"), "members")
     reps = members.select("vid", "digest").distinct()
     n = reps.count()
-    sample = packed.select("q").sample(min(1.0, FIT_SAMPLE / max(1, packed.count()))).limit(FIT_SAMPLE).toArrow().column("q").combine_chunks()
     if not n:
         return spark.createDataFrame([], "chunk_id string, other_id string, place int")
-    forest = Forest(unpack(sample, dim) if len(sample) else np.ones((1, dim), np.float32), n, leaf, trees, probes)
+    # of the vectors that are indexed; the same ones in every run
+    few = reps if n <= FIT_SAMPLE else reps.where(F.pmod(F.xxhash64("vid", F.lit(17)), F.lit(1 << 40)) < int((1 << 40) * FIT_SAMPLE / n))
+    few = F.broadcast(few.select(F.col("vid").alias("row"), "digest"))
+    sample = packed.join(few, ["row", "digest"]).select("row", "q").dropDuplicates(["row"]).toArrow().sort_by("row").column("q").combine_chunks()
+    forest = Forest(unpack(sample, dim), n, leaf, trees, probes)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -201,28 +244,35 @@ def nearest(manifest: DataFrame, vectors: DataFrame, k: int = 5, dim: int = 512,
                 again = np.repeat(np.arange(len(at)), parts)
                 part = np.arange(len(again)) - np.repeat(np.cumsum(parts) - parts, parts)
                 at, home = at[again], home[again] & (own[again] == part)
-                block = (tree[again] << 40 | node[again]) * 4096 + part
+                leaf_part = (tree[again] << 40 | node[again]) * 4096 + part
+                # residents are in every block of visitors, a visitor in one
+                blocks = forest.blocks[tree[again], node[again]]
+                times = np.where(home, blocks, 1)
+                which = np.repeat(np.arange(len(at)), times)
+                turn = np.arange(len(which)) - np.repeat(np.cumsum(times) - times, times)
+                turn = np.where(home[which], turn, (ids[at] // 7 % blocks)[which])
+                at, home = at[which], home[which]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(block), pa.array(ids[at]), pa.array(home), batch.column(1).take(pa.array(at))], ["block", "vid", "home", "q"],
+                    [pa.array(leaf_part[which]), pa.array(turn), pa.array(ids[at]), pa.array(home), batch.column(1).take(pa.array(at))], ["leaf_part", "turn", "vid", "home", "q"],
                 )
 
-    def search(rows: pa.Table) -> pa.Table:
+    def search(key: tuple, rows: pa.Table) -> pa.Table:
         rows = rows.combine_chunks()
         ids = rows.column("vid").to_numpy()
         _, first = np.unique(ids, return_index=True)  # repeated rows of the matrix meet here
         home = rows.column("home").to_numpy()
         x = unpack(rows.column("q").take(pa.array(first)).combine_chunks(), dim)
-        who, other, score = _search_leaf(ids[first], home[first], x, k)
+        who, other, score = _search_leaf(ids[first], home[first], x, k + SPARE, key[1].as_py() == 0)
         return pa.table({"vid": pa.array(who, pa.int64()), "other": pa.array(other, pa.int64()), "score": pa.array(score, pa.float32())})
 
     # hash join that builds on the small ids: no sort of vectors
     chosen = packed.join(reps.select("vid", F.col("digest").alias("d")).hint("shuffle_hash"), F.col("row") == F.col("vid")).where("digest = d").select("vid", "q")
-    routed = chosen.mapInArrow(route, "block bigint, vid bigint, home boolean, q binary")
-    met = routed.groupBy("block").applyInArrow(search, "vid bigint, other bigint, score float")
+    routed = chosen.mapInArrow(route, "leaf_part bigint, turn bigint, vid bigint, home boolean, q binary")
+    met = routed.groupBy("leaf_part", "turn").applyInArrow(search, "vid bigint, other bigint, score float")
     met = met.repartition("vid").groupBy("vid", "other").agg(F.max("score").alias("score"))
     order = Window.partitionBy("vid").orderBy(F.desc("score"), "other")
-    top = met.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
-    return _expand(ws.write(top.select("vid", "other", "place"), "top"), members, k)
+    top = ws.write(met.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k + SPARE).select("vid", "other", "place", "score"), "top")
+    return _expand(ws.write(_settled(top, members, vectors, k, dim, ws), "settled"), members, k)
 
 
 def _expand(top: DataFrame, members: DataFrame, k: int) -> DataFrame:

@@ -1,5 +1,6 @@
 import numpy as np
 
+from loomgraph.llm import neighbours as V
 from loomgraph.llm.neighbours import Forest, nearest, neighbour_pairs, pack
 
 MANIFEST, MATRIX = "row int, chunk_id string, score string", "row int, embedding array<float>, chunk_id string"
@@ -78,3 +79,32 @@ def test_pack_is_fine_enough():
     u, w = x / np.linalg.norm(x, axis=1, keepdims=True), q / np.linalg.norm(q, axis=1, keepdims=True)
     assert np.abs(u @ u.T - w @ w.T).max() < 1e-5
     assert pack(np.array([[1e38, -1e38]]))[0].tolist() == [32767, -32767]
+
+
+def test_close_cosines_are_settled_on_the_original_numbers(spark):
+    """Neighbours that 16-bit numbers can't tell apart come in the exact order."""
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(10, 24))
+    x = np.stack([base[i // 5] + 3e-6 * (i % 5) ** 2 * rng.normal(size=24) for i in range(50)]).astype(np.float32)
+    x = x[rng.permutation(50)]
+    got = {}
+    for r in nearest(*tables(spark, x), k=3, dim=24).collect():
+        got.setdefault(int(r.chunk_id[1:]), {})[r.place] = int(r.other_id[1:])
+    u = x.astype(np.float64)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    s = 1 - ((u[:, None] - u[None]) ** 2).sum(2) / 2
+    np.fill_diagonal(s, -2)
+    lost = [s[i].max() - s[i, p[1]] for i, p in got.items()]
+    assert len(got) == 50 and max(lost) < 2e-12
+
+
+def test_sample_is_the_same_in_every_run_and_popular_leaves_are_split(spark, monkeypatch):
+    monkeypatch.setattr(V, "FIT_SAMPLE", 300)
+    rng = np.random.default_rng(5)
+    x = (rng.normal(size=(40, 16))[rng.integers(0, 40, 900)] + 0.3 * rng.normal(size=(900, 16))).astype(np.float32)
+    m, v = tables(spark, x)
+    run = lambda v: {(r.chunk_id, r.other_id, r.place) for r in nearest(m, v, 5, 16, leaf=120).collect()}
+    want = run(v)
+    assert run(v.repartition(5)) == want
+    monkeypatch.setattr(V, "VISITORS", 1)
+    assert run(v) == want
