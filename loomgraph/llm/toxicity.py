@@ -2,7 +2,7 @@
 
 Two character models, one of offending and one of ordinary sentences, score every sentence by the
 difference of their log-likelihoods, plus the log of their prior odds, normalised by length; a document's score is that of its worst
-sentence.  Class-specific counts of orders 5 to 2 back off, with absolute discounts and continuation
+sentence, or of a stretch inside one that is far worse than the rest of it.  Class-specific counts of orders 5 to 2 back off, with absolute discounts and continuation
 counts, to one unigram distribution shared by both classes, so what neither class has seen says nothing
 and rare expressions are judged by their parts.
 
@@ -34,6 +34,8 @@ FOLDS = 4
 #: Added to a sentence's length, so that a few characters alone can't decide.
 STEADY = 6.0
 THRESHOLD = 0.1
+#: Stretches of so many characters count by themselves if they score so much above the threshold: remarks that run into other text without an end.
+WINDOWS, WINDOW_LEAD = (12, 24, 48), 0.7
 #: Share of offending documents labelled ordinary, and the lead in log-likelihood that calls a sentence innocent: with a label for it, and without.
 NOISE, MARGIN, UNLABELLED = 0.08, 3.0, 5.0
 SLICE_CHARS = 1_000_000
@@ -124,10 +126,11 @@ def sentences(texts: list[str | None]) -> Sentences:
     size = np.fromiter((len(t or "") + 1 for t in texts), np.int64, len(texts))
     owner = np.repeat(np.arange(len(texts), dtype=np.int32), size)[: len(raw)]
     k = kind[raw]
-    # a full stop and a colon end a sentence only before white space or an end
+    # a full stop and a colon end a sentence only before white space, an ideograph or an end
     dot = np.flatnonzero((raw == ord(".")) | (raw == ord(":")))
     nxt = k[np.minimum(dot + 1, len(raw) - 1)] if len(raw) else k[:0]
-    k[dot[(nxt == _SPACE) | (nxt == _END) | (dot + 1 == len(raw))]] = _END
+    wide_next = raw[np.minimum(dot + 1, len(raw) - 1)] >= 0x2E80 if len(raw) else nxt > 0
+    k[dot[(nxt == _SPACE) | (nxt == _END) | wide_next | (dot + 1 == len(raw))]] = _END
     # an exclamation mark inside a word is no end
     bang = np.flatnonzero((raw == ord("!")) | (raw == ord("?")))
     inner = bang[(bang > 0) & (bang + 1 < len(raw))]
@@ -332,12 +335,22 @@ class KneserNeyPair:
         value[s.chars == 0] = 0
         return value
 
-    def score(self, s: Sentences) -> np.ndarray:
-        """Length-normalised log-likelihood ratio of each sentence."""
+    def score(self, s: Sentences, windows: tuple[int, ...] = ()) -> np.ndarray:
+        """Length-normalised log-likelihood ratio of each sentence, or of its worst stretch of so many characters less ``WINDOW_LEAD`` if that is higher."""
         if not len(s.start):
             return np.empty(0)
-        total = np.add.reduceat(self.ratios(s).astype(np.float64), s.start)
-        return (total + self.prior) / (s.lengths() - 1 + STEADY)
+        sums = np.concatenate([[0.0], np.cumsum(self.ratios(s), dtype=np.float64)])
+        size = s.lengths() - 1
+        best = (sums[s.start + size + 1] - sums[s.start] + self.prior) / (size + STEADY)
+        place = np.arange(len(s.chars)) - np.repeat(s.start, size + 1)
+        for w in windows:
+            end = np.flatnonzero(place >= w)
+            if len(end):
+                of = np.searchsorted(s.start, end, "right") - 1
+                edge, _ = _runs(of)
+                x = np.maximum.reduceat(sums[end + 1] - sums[end + 1 - w], edge)
+                best[of[edge]] = np.maximum(best[of[edge]], (x + self.prior) / (w + STEADY) - WINDOW_LEAD)
+        return best
 
 
 def fit(texts: list[str], labels: np.ndarray, rounds: int = ROUNDS, folds: int = FOLDS) -> KneserNeyPair:
@@ -405,7 +418,7 @@ def _read(docs: DataFrame, model: KneserNeyPair, threshold: float) -> DataFrame:
             base, over = [], []
             for part in _sliced(batch.column(2).to_pylist()):
                 s = sentences(part)
-                x = shared.value.score(s)
+                x = shared.value.score(s, WINDOWS)
                 low = np.full(len(part), -np.inf)
                 calm = x <= threshold
                 np.maximum.at(low, s.text[calm], x[calm])

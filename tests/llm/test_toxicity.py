@@ -107,3 +107,29 @@ def test_no_key_of_a_table_is_lost():
     assert hit.all() and (got == values).all()
     got, hit = t.get(keys + np.uint64(1))
     assert not hit.any() and not got.any()
+
+
+def test_remarks_that_run_into_other_text():
+    """No sign ends the remark; the sentence as a whole is ordinary, a stretch of it is not.  The same words set apart score alike."""
+    train = corpus(400, 1)
+    m = X.fit([r[1] for r in train], np.array([r[3] for r in train]))
+    calm = " and ".join(c.format(n=5) for c in CALM[:2] * 6)
+    texts = [f"{calm} only a filthy moron would write this note {calm}", calm, f"{CALM[2].format(n=3)}看见你写的说明就恶心,没救了{CALM[2].format(n=3) * 5}", CALM[2].format(n=3) * 6]
+    s = X.sentences(texts)
+    best = np.full(4, -9.0)
+    np.maximum.at(best, s.text, m.score(s, X.WINDOWS))
+    assert (best > X.THRESHOLD).tolist() == [True, False, True, False]
+    assert (m.score(s, X.WINDOWS) >= m.score(s)).all() and not (m.score(s) > X.THRESHOLD)[0]
+    assert show("end.今晚") == ["end", "今晚"]
+
+
+def test_held_out_recall_of_offending_documents():
+    train, test = corpus(800, 11), corpus(800, 12)
+    rng = random.Random(0)
+    y = np.array([r[3] ^ (rng.random() < 0.08) for r in train])  # some labels are wrong
+    m = X.fit([r[1] for r in train], y)
+    s = X.sentences([r[1] for r in test])
+    best = np.full(len(test), -9.0)
+    np.maximum.at(best, s.text, m.score(s, X.WINDOWS))
+    bad = np.array([r[3] for r in test]) == 1
+    assert (best[bad] > X.THRESHOLD).mean() >= 0.9 and (best[~bad] > X.THRESHOLD).mean() <= 0.05
