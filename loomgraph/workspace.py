@@ -11,10 +11,13 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: dict[str, str] = {}
+_SCOPES: list[list[Workspace]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -30,13 +33,31 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL["dir"]
 
 
+@contextmanager
+def released() -> Iterator[None]:
+    """Remove, at the end of the block, what operators called inside it have written; their results must have been used by then."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for ws in _SCOPES.pop():
+            ws.drop()
+            atexit.unregister(ws.drop)
+
+
 class Workspace:
-    """Tables of one operator call, under one folder that is removed when the driver ends."""
+    """Tables of one operator call, under one folder.
+
+    Operators remove what their result doesn't read; the rest goes at the end of the :func:`released` block around the call, or when the driver ends.
+    """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/loomgraph/{name}-{uuid.uuid4().hex}"
+        self.names: set[str] = set()
         atexit.register(self.drop)
+        if _SCOPES:
+            _SCOPES[-1].append(self)
 
     def _delete(self, path: str) -> None:
         try:
@@ -49,12 +70,19 @@ class Workspace:
     def write(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` as a table and return it read back."""
         path = f"{self.root}/{name}"
+        self.names.add(name)
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def discard(self, name: str) -> None:
         """Remove a table that nothing reads any more."""
         self._delete(f"{self.root}/{name}")
+        self.names.discard(name)
+
+    def keep(self, *names: str) -> None:
+        """Remove all tables but those that the result reads."""
+        for name in self.names - set(names):
+            self.discard(name)
 
     def drop(self) -> None:
         self._delete(self.root)

@@ -2,7 +2,8 @@ import random
 
 import pytest
 
-from loomgraph.operators.hierarchy import build_hierarchy, descendant_counts, descendants, links_of, paths
+from loomgraph import workspace
+from loomgraph.operators.hierarchy import build_hierarchy, descendant_counts, descendants, links_of, paths, rejected_links
 
 
 def brute(parent):
@@ -82,3 +83,53 @@ def test_whole_queries_hold_what_hangs_below_circles(spark, tmp_path):
     run = lambda name: {tuple(r) for r in __spark_entry__.queries()[name](spark, str(tmp_path)).collect()}
     assert run("p5_closure_whole") == {("c", "d", 1), ("r", "x", 1)}
     assert run("p5_descendants_whole") == {("b", 0), ("c", 1), ("d", 0), ("r", 1), ("x", 0)}
+
+
+def test_one_large_tree_is_spliced_and_undone(spark):
+    """A tree of 100,000 nodes with a deep spine and a hub that holds a third of them; lists are spliced, hot keys broadcast."""
+    rng = random.Random(5)
+    parent = {1: 0}
+    for i in range(2, 100_000):
+        parent[i] = i - 1 if i < 3000 else 1500 if i % 3 == 0 else rng.randrange(i)
+    depth, size = {0: 0}, dict.fromkeys(range(100_000), 0)
+    for i in range(1, 100_000):
+        depth[i] = depth[parent[i]] + 1
+    for i in range(99_999, 0, -1):
+        size[parent[i]] += size[i] + 1
+    rows = [(f"n{c}", f"n{p}") for c, p in parent.items()]
+    h = build_hierarchy(spark.createDataFrame(rows, "child string, parent string"), remainder=60_000, hot_rows=20_000)
+    got = h.select("node_id", "root_node_id", "depth", "descendants").toArrow().to_pylist()
+    assert len(got) == 99_999
+    for r in got:
+        i = int(r["node_id"][1:])
+        assert (r["root_node_id"], r["depth"], r["descendants"]) == ("n0", depth[i], size[i])
+    inside = h.select("entry", "exit", "descendants").toArrow().to_pandas().sort_values("entry")
+    entry = inside["entry"].to_numpy()
+    reach = entry.searchsorted(inside["exit"].to_numpy(), "right") - range(1, len(entry) + 1)
+    assert (reach == inside["descendants"].to_numpy()).all()
+
+
+@pytest.mark.parametrize("remainder", [3, 60])
+def test_splicing_gives_what_one_task_gives(spark, remainder):
+    rng = random.Random(remainder)
+    links = [(f"n{i}", f"n{rng.randrange(max(0, i - 9), i)}") for i in range(1, 60)] + [("x", "y"), ("y", "x"), ("z", "x"), ("w", "z"), *((f"q{i}", f"p{i}") for i in range(80))]
+    cols = ["node_id", "root_node_id", "depth", "tour", "descendants"]
+    run = lambda **kw: sorted(map(tuple, found(spark, links, **kw).select(*cols).collect()), key=repr)
+    assert run(remainder=remainder, hot_rows=5) == run()
+
+
+def test_second_parents_are_reported(spark):
+    e = spark.createDataFrame([("b", "x", "contains"), ("a", "x", " CONTAINS"), ("c", "x", "contains"), ("c", "x", "contains"), ("a", "y", "contains"), (None, "x", "contains"), ("d", "x", "other")], "source_node_id string, target_node_id string, relation string")
+    assert {tuple(r) for r in rejected_links(e).collect()} == {("x", "b", "a"), ("x", "c", "a")}
+
+
+def test_tables_are_released(spark):
+    import glob
+
+    root = workspace.shared_dir(spark).removeprefix("file://")
+    before = set(glob.glob(f"{root}/loomgraph/*/*"))
+    with workspace.released():
+        h = found(spark, [("a", "b"), ("b", "c")])
+        assert {p.rsplit("/", 1)[1] for p in set(glob.glob(f"{root}/loomgraph/*/*")) - before} == {"hierarchy"}
+        assert h.count() == 2
+    assert set(glob.glob(f"{root}/loomgraph/*/*")) == before
