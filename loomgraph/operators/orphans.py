@@ -57,7 +57,7 @@ def find_orphans(refs: DataFrame, known: DataFrame, heavy_parts: int | None = No
     # fewer than `parts` keys can pass this bar, whatever the data hold
     heavy = (
         per.groupBy("kind", "missing_key").agg(F.sum("n").alias("n"))
-        .where(F.col("n") * parts > total).where(F.col("n") > 1000).select("kind", "missing_key")
+        .where(F.col("n") * parts > total).select("kind", "missing_key")
     )
     heavy_rows = heavy.collect()
 

@@ -42,3 +42,13 @@ def test_heavy_keys_take_the_other_way_to_the_same_result(spark, hot):
     assert sorted(map(repr, light.collect())) == sorted(map(repr, heavy.collect()))
     counts = orphans_per_period(heavy).collect()
     assert sum(r.n_orphans for r in counts) == heavy.count()
+
+
+def test_both_ways_are_taken_on_the_test_tables(spark):
+    """The hottest key of the tables is heavy whatever their size, and most keys are not."""
+    from conftest import SF
+
+    from loomgraph.plans import dealt
+
+    plan = dealt.p1_found(spark, SF)._jdf.queryExecution().analyzed().toString()
+    assert "LeftSemi" in plan and "LeftAnti" in plan
