@@ -1,7 +1,7 @@
 """Exact similarity search: blocks of queries against all vectors as matrix products in Arrow batches.
 
 The query block is a bounded matrix that every task holds; vectors are read once and never shuffled.
-Each batch gives its best k per query, so at most k rows per query and batch move on.
+Scores exist in tiles of bounded size, and a task keeps the best k per query of all its tiles.
 """
 
 from __future__ import annotations
@@ -12,6 +12,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from loomgraph.operators.lexical import best_again, top_k
+from loomgraph.operators.ranking import TILE, Best
+
 #: Elements of a query block, at most; more queries are answered block after block.
 BLOCK_ELEMENTS = 16_000_000
 
@@ -29,57 +32,88 @@ def _matrix(column: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
     return x[good], at[good]
 
 
-def similarities(vectors: DataFrame, id_col: str, embedding: str, queries: DataFrame, query: str, query_embedding: str, k: int | None = None, cosine: bool = False, block: int = BLOCK_ELEMENTS) -> DataFrame:
-    """``query, doc, score``: dot products (or cosines), of the best ``k`` per query, or of all pairs.
-
-    Vectors that are null, of another length than the queries', or not finite take no part, nor do such
-    queries; cosine leaves out zero vectors.  Ties at the k-th place are all kept, for the caller's tie rule.
-    """
-    spark = vectors.sparkSession
-    # a stated query set against all rows, in blocks of bounded size
+def _blocks(queries: DataFrame, query: str, query_embedding: str, cosine: bool, block: int) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
+    """Width, names and vectors of the valid queries, in blocks of bounded size: a stated query set against all rows."""
     dim = queries.select(F.max(F.size(query_embedding))).first()[0] or 0
-    q_type, d_type = queries.schema[query].dataType.simpleString(), vectors.schema[id_col].dataType.simpleString()
-    schema = f"query {q_type}, doc {d_type}, score double"
     if dim <= 0:
-        return spark.createDataFrame([], schema)
-    rows = max(1, block // dim)
-    n = queries.count()
-    parts = -(-n // rows)
-    numbered = queries.select(query, query_embedding)
-    out = None
+        return
+    parts = -(-queries.count() // max(1, block // dim))
     for i in range(parts):
-        part = numbered if parts == 1 else numbered.where(F.pmod(F.xxhash64(query), F.lit(parts)) == i)
-        table = part.toArrow()
+        part = queries.select(query, query_embedding)
+        table = (part if parts == 1 else part.where(F.pmod(F.xxhash64(query), F.lit(parts)) == i)).toArrow()
         q, at = _matrix(table.column(1).combine_chunks(), dim)
         names = table.column(0).combine_chunks().take(pa.array(at))
         if cosine and len(q):
             size = np.linalg.norm(q, axis=1)
             names, q = names.filter(pa.array(size > 0)), q[size > 0] / size[size > 0, None]
-        shared = spark.sparkContext.broadcast((names, q))
-        one = vectors.select(id_col, embedding).mapInArrow(_scorer(shared, dim, k, cosine), schema)
-        out = one if out is None else out.unionByName(one)
-    return out
+        yield dim, names, q
 
 
-def _scorer(shared, dim: int, k: int | None, cosine: bool):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, q = shared.value
-        for batch in batches:
-            x, at = _matrix(batch.column(1), dim)
+def _tiles(batches: Iterator[pa.RecordBatch], column: int, dim: int, width: int, cosine: bool) -> Iterator[tuple[pa.RecordBatch, np.ndarray, pa.Array]]:
+    """Parts of the batches with their valid vectors and these vectors' rows, so small that scores against ``width`` queries fit a tile."""
+    rows = max(1, TILE // max(1, width))
+    for whole in batches:
+        for a in range(0, whole.num_rows, rows):
+            batch = whole.slice(a, rows)
+            x, at = _matrix(batch.column(column), dim)
             if cosine and len(x):
                 size = np.linalg.norm(x, axis=1)
                 x, at = x[size > 0] / size[size > 0, None], at[size > 0]
-            if not len(x) or not len(q):
-                continue
-            s = q @ x.T
-            if k is not None and k < s.shape[1]:
-                bar = -np.partition(-s, k - 1, axis=1)[:, k - 1 : k]
-                i, j = np.nonzero(s >= bar - 1e-9)
-            else:
-                i, j = np.divmod(np.arange(s.size), s.shape[1])
-            yield pa.RecordBatch.from_arrays([names.take(pa.array(i)), batch.column(0).take(pa.array(at[j])), pa.array(s[i, j])], ["query", "doc", "score"])
-
-    return run
+            if len(x):
+                yield batch, x, pa.array(at)
+
+
+def similarities(vectors: DataFrame, id_col: str, embedding: str, queries: DataFrame, query: str, query_embedding: str, cosine: bool = False, block: int = BLOCK_ELEMENTS) -> DataFrame:
+    """``query, doc, score``: dot products (or cosines) of all pairs, for full rankings.
+
+    Vectors that are null, of another length than the queries', or not finite take no part, nor do such
+    queries; cosine leaves out zero vectors.
+    """
+    spark = vectors.sparkSession
+    q_type, d_type = queries.schema[query].dataType.simpleString(), vectors.schema[id_col].dataType.simpleString()
+    schema = f"query {q_type}, doc {d_type}, score double"
+    out = spark.createDataFrame([], schema)
+    for dim, names, q in _blocks(queries, query, query_embedding, cosine, block):
+        shared = spark.sparkContext.broadcast((names, q))
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, dim=dim) -> Iterator[pa.RecordBatch]:
+            names, q = shared.value
+            for batch, x, at in _tiles(batches, 1, dim, len(q), cosine):
+                if len(q):
+                    s = q @ x.T
+                    i, j = np.divmod(np.arange(s.size), s.shape[1])
+                    yield pa.RecordBatch.from_arrays([names.take(pa.array(i)), batch.column(0).take(at).take(pa.array(j)), pa.array(s.ravel())], ["query", "doc", "score"])
+
+        out = out.unionByName(vectors.select(id_col, embedding).mapInArrow(run, schema))
+    return out
+
+
+def top(vectors: DataFrame, id_col: str, embedding: str, queries: DataFrame, query: str, query_embedding: str, k: int, unit: str | None = None, digits: int = 9, cosine: bool = False, block: int = BLOCK_ELEMENTS) -> DataFrame:
+    """``query, doc, unit, score, rank`` of the best ``k`` vectors, or of the best vectors of the best ``k`` units, of each query.
+
+    Order: highest score to ``digits`` digits, then smallest unit; of a unit the best vector, then the smallest id.  What takes part is as in
+    :func:`similarities`.  Each task keeps the best k per query while tiles of bounded size pass by; that is all that is shuffled.
+    """
+    spark = vectors.sparkSession
+    q_type = queries.schema[query].dataType.simpleString()
+    d_type, u_type = (vectors.schema[c].dataType.simpleString() for c in (id_col, unit or id_col))
+    schema = f"query {q_type}, doc {d_type}, unit {u_type}, score double"
+    out = spark.createDataFrame([], schema)
+    for dim, names, q in _blocks(queries, query, query_embedding, cosine, block):
+        shared = spark.sparkContext.broadcast((names, q))
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, dim=dim) -> Iterator[pa.RecordBatch]:
+            names, q = shared.value
+            best, kinds = Best(k, digits, False), None
+            for batch, x, at in _tiles(batches, 2, dim, len(q), cosine):
+                kinds = [batch.schema.field(i).type for i in (0, 1)]
+                best.add(x @ q.T, batch.column(0).take(at), batch.column(1).take(at))
+            if kinds:
+                yield best.batch(names, *kinds)
+
+        held = vectors.select(F.col(id_col).alias("doc"), F.col(unit or id_col).alias("unit"), F.col(embedding).alias("embedding"))
+        out = out.unionByName(held.mapInArrow(run, schema))
+    return top_k(best_again(out, digits), k, ["query"], F.round("score", digits), "unit")
 
 
 def pooled(output: np.ndarray, rows: int) -> np.ndarray:

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from loomgraph.operators.current import IntegrityError
+
 ROLES = ("any_hit", "all_relevant", "negative", "relation_only")
 
 
@@ -88,6 +90,49 @@ def over_limit(rankings: DataFrame, k: int, *by: str) -> DataFrame:
     return rankings.groupBy(*by).agg(F.count(F.lit(1)).alias("n_results")).where(F.col("n_results") > k)
 
 
+def demand_valid(queries: DataFrame, qrels: DataFrame, rankings: DataFrame) -> None:
+    """Raise on a judged set that contradicts itself; a query without a ranking is a miss, not a contradiction."""
+    first = input_violations(queries, qrels, rankings).where("problem <> 'no ranking'").orderBy("problem", "query").limit(1).collect()
+    if first:
+        raise IntegrityError(f"{first[0]['problem']}: {first[0]['query']}")
+
+
+def evaluate(queries: DataFrame, qrels: DataFrame, rankings: DataFrame, k: int = 20, **cutoffs: int) -> DataFrame:
+    """:func:`diagnose` with ``error``, for a judged set that is valid; one that isn't is refused.
+
+    A ranking of more than k results is an error and scores nothing.  If ``rankings`` has ``errors`` (an array, as :func:`verified` gives it),
+    results with any are no hits.
+    """
+    demand_valid(queries, qrels, rankings)
+    over = over_limit(rankings, k, "query").select("query", F.lit(f"more than {k} results").alias("error"))
+    counted = rankings if "errors" not in rankings.columns else rankings.where(F.size("errors") == 0)
+    scored = diagnose(queries, qrels, counted.join(over.select("query"), "query", "left_anti"), k=k, **cutoffs)
+    return scored.join(over, "query", "left")
+
+
+def verified(results: DataFrame, returned: str, units: DataFrame, fields: list[str], key: str = "knowledge_unit_id", text: str = "text", stored: str = "text_sha256") -> DataFrame:
+    """``results`` with ``text_sha256`` and ``errors``: how the unit that came with each result departs from the unit of record.
+
+    ``returned`` is a struct column with ``key`` and the fields.  An error is the name of a field that differs (null equals null), ``stored`` where
+    the stored hash isn't that of the returned text, or "unknown unit".  The complete units stay behind: what comes out holds no body.
+    """
+    got = F.col(returned)
+    truth = units.select(F.col(key).alias("_key"), F.struct(*fields).alias("_truth"))
+    joined = results.withColumn("_key", got[key]).join(truth, "_key", "left")
+    differs = [F.when(~got[f].eqNullSafe(F.col("_truth")[f]), F.lit(f)) for f in fields]
+    hashed = F.when(~F.sha2(got[text], 256).eqNullSafe(F.lower(got[stored])), F.lit(stored))
+    errors = F.when(F.col("_truth").isNull(), F.array(F.lit("unknown unit"))).otherwise(F.array_compact(F.array(*differs, hashed)))
+    return joined.withColumn("text_sha256", F.lower(got[stored])).withColumn("errors", errors).drop("_key", "_truth", returned)
+
+
+def regressions(baseline: DataFrame, candidate: DataFrame, by: list[str], metrics: list[str], tolerance: float = 1e-9) -> DataFrame:
+    """``by, metric, baseline, candidate, regressed`` for every slice of the baseline; a slice that the candidate lacks has regressed."""
+    long = lambda df, name: df.select(*by, F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias(name)) for m in metrics])).alias("x")).select(*by, "x.*")
+    both = long(baseline, "baseline").join(long(candidate, "candidate"), [*by, "metric"], "left")
+    worse = F.col("baseline").isNotNull() & ~F.coalesce(F.col("candidate") >= F.col("baseline") - tolerance, F.lit(False))
+    return both.withColumn("regressed", worse)
+
+
 def replay_diff(left: DataFrame, right: DataFrame, keys: list[str], k: int = 5) -> DataFrame:
     """Keys whose ranked id lists differ in the first k places, with both lists; a key on one side only differs."""
     lists = lambda df, name: df.where(F.col("rank") <= k).groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "id"))), lambda x: x.id).alias(name))

@@ -9,11 +9,28 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
+
+
+def _in_order(value: Column, kind: DataType) -> Column:
+    """A value whose structs, at any depth, have their fields in order of their names, and whose maps have their keys in order."""
+    if isinstance(kind, StructType):
+        own = F.struct(*[_in_order(value[f.name], f.dataType).alias(f.name) for f in sorted(kind.fields, key=lambda f: f.name)])
+        return F.when(value.isNotNull(), own)
+    if isinstance(kind, ArrayType):
+        return F.transform(value, lambda x: _in_order(x, kind.elementType)) if isinstance(kind.elementType, (StructType, ArrayType, MapType)) else value
+    if isinstance(kind, MapType):
+        pairs = F.transform(F.map_entries(value), lambda e: F.struct(e["key"].alias("key"), _in_order(e["value"], kind.valueType).alias("value")))
+        return F.map_from_entries(F.array_sort(pairs, lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0)))
+    return value
 
 
 def canonical_json(df: DataFrame) -> Column:
-    """The row as JSON with keys in order, nulls kept, no spaces."""
-    return F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"})
+    """The row as JSON: keys in order at every depth, nulls kept, no spaces, times to the microsecond."""
+    fields = sorted(df.schema.fields, key=lambda f: f.name)
+    row = F.struct(*[_in_order(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in fields])
+    time = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    return F.to_json(row, {"ignoreNullFields": "false", "timestampFormat": f"{time}XXX", "timestampNTZFormat": time})
 
 
 def corpus_identity(df: DataFrame, key: str, content: Column, fan: int = 4096) -> DataFrame:
@@ -39,7 +56,15 @@ def vector_hashes(df: DataFrame, id_col: str, embedding: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [None if v is None or None in v else hashlib.sha256(np.asarray(v, "<f4").tobytes()).hexdigest() for v in batch.column(1).to_pylist()]
+            lists = batch.column(1)
+            size = np.asarray(lists.value_lengths().fill_null(0)).astype(np.int64)
+            flat = lists.flatten()
+            end = np.cumsum(size)
+            # nulls before each place: a vector with any is left out
+            gaps = np.concatenate([[0], np.cumsum(np.asarray(flat.is_null()))])
+            whole = np.asarray(lists.is_valid()) & (gaps[end] == gaps[end - size])
+            held = memoryview(np.ascontiguousarray(flat.cast(pa.float32()).fill_null(0).to_numpy(zero_copy_only=False), "<f4")).cast("B")
+            out = [hashlib.sha256(held[4 * (e - n) : 4 * e]).hexdigest() if w else None for n, e, w in zip(size.tolist(), end.tolist(), whole.tolist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], [id_col, "vector_sha256"])
 
     return df.select(id_col, embedding).mapInArrow(run, f"`{id_col}` {kind}, vector_sha256 string")

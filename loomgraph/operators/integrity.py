@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from loomgraph.operators.current import IntegrityError
+from loomgraph.workspace import Workspace
 
 
 @dataclass(frozen=True)
@@ -57,9 +58,22 @@ def hash_matches(df: DataFrame, key: str, text: str, stored: str) -> DataFrame:
 
 
 def ordered(df: DataFrame, position: str, value: str, parts: str | None = None) -> DataFrame:
-    """Positions whose value is not above the one before, per group."""
-    w = (Window.partitionBy(parts) if parts else Window.partitionBy(F.lit(0))).orderBy(position)
-    return _rows(df.withColumn("before", F.lag(value).over(w)).where(F.col("before") >= F.col(value)), F.col(position), F.col(value))
+    """Positions whose value is not above the one before, per group.
+
+    Without groups the rows are ranged by position over many tasks; each takes the value before its first row from the last row of
+    the nearest task before it that has any, of which there is one row per task.
+    """
+    if parts:
+        w = Window.partitionBy(parts).orderBy(position)
+        return _rows(df.withColumn("before", F.lag(value).over(w)).where(F.col("before") >= F.col(value)), F.col(position), F.col(value))
+    ws = Workspace(df.sparkSession, "ordered")
+    ranged = ws.write(df.select(F.col(position).alias("at"), F.col(value).alias("value")).repartitionByRange("at").withColumn("part", F.spark_partition_id()), "ranged")
+    last = ranged.groupBy("part").agg(F.max_by("value", "at").alias("carried"))
+    # one row per task
+    carried = last.select((F.lead("part").over(Window.orderBy("part"))).alias("part"), "carried").where("part is not null")
+    own = ranged.withColumn("before", F.lag("value").over(Window.partitionBy("part").orderBy("at"))).withColumn("first", F.row_number().over(Window.partitionBy("part").orderBy("at")) == 1)
+    joined = own.join(F.broadcast(carried), "part", "left").withColumn("before", F.when(F.col("first"), F.col("carried")).otherwise(F.col("before")))
+    return _rows(joined.where("before >= value"), F.col("at"), F.col("value"))
 
 
 def report(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:
@@ -80,9 +94,38 @@ def demand(tables: dict[str, DataFrame], rules: list[Rule]) -> None:
         raise IntegrityError("{code} at {location}: {detail}".format(**first[0].asDict()))
 
 
-def field_diff(left: DataFrame, right: DataFrame, key: str, fields: list[str]) -> DataFrame:
-    """``key, differing``: names of the fields in which two rows of a key differ, null equal to null; only keys of both sides."""
+def field_diff(left: DataFrame, right: DataFrame, key: str, fields: list[str], sides: bool = False) -> DataFrame:
+    """``key, differing``: names of the fields in which two rows of a key differ, null equal to null.
+
+    Only keys of both sides; with ``sides`` a key of one side comes out too, with the names "(missing)" or "(extra)".
+    """
     a = left.select(key, F.struct(*fields).alias("a"))
     b = right.select(key, F.struct(*fields).alias("b"))
     names = F.array_compact(F.array(*[F.when(~F.col(f"a.{f}").eqNullSafe(F.col(f"b.{f}")), F.lit(f)) for f in fields]))
-    return a.join(b, key).select(key, names.alias("differing")).where(F.size("differing") > 0)
+    if not sides:
+        return a.join(b, key).select(key, names.alias("differing")).where(F.size("differing") > 0)
+    one = F.when(F.col("a").isNull(), F.array(F.lit("(missing)"))).when(F.col("b").isNull(), F.array(F.lit("(extra)"))).otherwise(names)
+    return a.join(b, key, "full_outer").select(key, one.alias("differing")).where(F.size("differing") > 0)
+
+
+def against_profile(df: DataFrame, profile: dict[str, object], key: str) -> DataFrame:
+    """Where a table departs from what a profile expects of it: ``location, detail``.
+
+    A profile is data: ``rows`` (their number), ``ids`` (the exact set of keys, at most some thousands), ``hashes`` (a hash by key) with the
+    column ``hash`` that holds it.  What it doesn't name is not checked.
+    """
+    spark, parts = df.sparkSession, []
+    if "rows" in profile:
+        n = df.agg(F.count(F.lit(1)).alias("n")).where(F.col("n") != profile["rows"])
+        parts.append(_rows(n, F.lit("rows"), F.concat_ws(" ", F.col("n").cast("string"), F.lit(f"instead of {profile['rows']}"))))
+    if "ids" in profile:
+        ids = spark.createDataFrame([(i,) for i in profile["ids"]], df.select(key).schema)
+        parts.append(same_sets(df, ids, [key]))
+    if "hashes" in profile:
+        want = spark.createDataFrame(list(profile["hashes"].items()), f"`{key}` string, want string")
+        held = df.select(key, F.lower(profile["hash"]).alias("held"))
+        parts.append(_rows(want.join(held, key, "left").where(~F.lower("want").eqNullSafe(F.col("held"))), F.col(key), F.lit("hash")))
+    out = spark.createDataFrame([], "location string, detail string")
+    for p in parts:
+        out = out.unionByName(p)
+    return out

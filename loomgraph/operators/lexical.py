@@ -1,20 +1,34 @@
 """BM25 over ideograph and Latin tokens, for many queries at once.
 
-Everything that scores stays in the JVM.  Documents are hashed by id once; counting terms per document,
+:func:`bm25` gives every positive score and stays in the JVM.  Documents are hashed by id once; counting terms per document,
 joining the queries' terms and summing scores per query and document all keep that partitioning, as the
-query side is small and broadcast where its size allows.  Statistics are those of the documents given,
-so a filter comes first.
+query side is small and broadcast where its size allows.
+
+:func:`bm25_top` gives the best of each query.  Texts are cut into tokens once, and the places of the asked terms are written as a compact
+table; statistics come from that table, and blocks of queries are scored against it in NumPy, a few nanoseconds a product.
+Only the best k per query and partition move on, so what is shuffled doesn't grow with documents times queries.
+
+Statistics are those of the documents given, so a filter comes first.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from loomgraph.functions.text import tokens
+from loomgraph.operators.ranking import TILE, Best
+from loomgraph.workspace import Workspace
 
 K1, B = 1.2, 0.75
 #: Query terms (of all queries together) that are broadcast at most, some 50 bytes each.
 BROADCAST_TERMS = 1_000_000
+#: Queries that are scored in one pass over the postings.
+QUERIES = 20_000
 
 
 def postings(docs: DataFrame, doc: str, text: str) -> DataFrame:
@@ -87,3 +101,104 @@ def best_per_unit(scores: DataFrame, units: DataFrame, digits: int = 9) -> DataF
     joined = scores.join(units, "doc")
     w = Window.partitionBy("query", "unit").orderBy(F.round("score", digits).desc(), "doc")
     return joined.withColumn("place", F.row_number().over(w)).where("place = 1").drop("place")
+
+
+def _places(docs: DataFrame, doc: str, text: str, unit: str, terms: list[str], ws: Workspace) -> DataFrame:
+    """``doc, unit, len, terms, tfs``: of each document its number of tokens and the asked terms it holds, by number."""
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(pa.array(terms, pa.string()))
+    kinds = [docs.schema[c].dataType.simpleString() for c in (doc, unit)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        for batch in batches:
+            lists = batch.column(2)
+            size = np.asarray(lists.value_lengths().fill_null(0)).astype(np.int64)
+            at = pc.index_in(lists.flatten(), value_set=known)
+            asked = np.asarray(at.is_valid())
+            owner, term = np.repeat(np.arange(len(size)), size)[asked], np.asarray(at.drop_null()).astype(np.int64)
+            key, tf = np.unique(owner * max(1, len(known)) + term, return_counts=True)
+            owner, term = np.divmod(key, max(1, len(known)))
+            offsets = pa.array(np.searchsorted(owner, np.arange(len(size) + 1)).astype(np.int32))
+            held = [pa.ListArray.from_arrays(offsets, pa.array(x.astype(np.int32))) for x in (term, tf)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(size.astype(np.int32)), *held], ["doc", "unit", "len", "terms", "tfs"])
+
+    parts = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spread = docs.select(F.col(doc).alias("doc"), F.col(unit).alias("unit"), F.col(text).alias("text")).repartition(parts, "doc")
+    toks = spread.select("doc", "unit", tokens(F.col("text")).alias("t"))
+    return ws.write(toks.mapInArrow(run, f"doc {kinds[0]}, unit {kinds[1]}, len int, terms array<int>, tfs array<int>"), "places")
+
+
+def bm25_top(docs: DataFrame, doc: str, text: str, queries: DataFrame, query: str, query_text: str, k: int, unit: str | None = None, digits: int = 9) -> DataFrame:
+    """``query, doc, unit, score, rank`` of the best ``k`` documents, or of the best documents of the best ``k`` units, of each query.
+
+    Order: highest score to ``digits`` digits, then smallest unit; of a unit the best document, then the smallest.  Scores are those of
+    :func:`bm25`; only positive ones count.  A null unit is a unit of its own.
+    """
+    spark = docs.sparkSession
+    q = query_terms(queries.select(query, query_text).where(F.col(query).isNotNull()), query, query_text)
+    # so many (query, term) rows reach the driver at most; more queries than that take the other way
+    asked = q.limit(BROADCAST_TERMS + 1).toArrow().combine_chunks()
+    if asked.num_rows > BROADCAST_TERMS:
+        units = docs.select(F.col(doc).alias("doc"), F.col(unit or doc).alias("unit"))
+        return top_k(best_per_unit(bm25(docs, doc, text, queries, query, query_text), units, digits), k, ["query"], F.round("score", digits), "unit")
+    ws = Workspace(spark, "bm25")
+    q_kind, d_kind, u_kind = (df.schema[c].dataType.simpleString() for df, c in ((queries, query), (docs, doc), (docs, unit or doc)))
+    schema = f"query {q_kind}, doc {d_kind}, unit {u_kind}, score double"
+    terms = pc.unique(asked.column("term")).sort() if asked.num_rows else pa.array([], pa.string())
+    places = _places(docs, doc, text, unit or doc, terms.to_pylist(), ws)
+    stats = places.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.avg("len"), F.lit(0.0)).alias("avgdl")).first()
+    # at most as many rows as terms are asked
+    freq = places.select(F.explode("terms").alias("term")).groupBy("term").count().toArrow()
+    df = np.zeros(len(terms))
+    df[freq.column("term").to_numpy()] = freq.column("count").to_numpy()
+    names = pc.unique(asked.column("query"))
+    who, what = (np.asarray(pc.index_in(asked.column(c), value_set=v)).astype(np.int64) for c, v in (("query", names), ("term", terms)))
+    weight = np.log(1 + (stats["n"] - df[what] + 0.5) / (df[what] + 0.5)) * asked.column("weight").to_numpy()
+    avgdl, out = max(1.0, stats["avgdl"]), spark.createDataFrame([], schema)
+    for a in range(0, len(names), QUERIES):
+        mine = (who >= a) & (who < a + QUERIES)
+        order = np.argsort(what[mine], kind="stable")
+        start = np.searchsorted(what[mine][order], np.arange(len(terms) + 1))
+        shared = spark.sparkContext.broadcast((names.slice(a, QUERIES), start, who[mine][order] - a, weight[mine][order]))
+        out = out.unionByName(places.mapInArrow(_scored(shared, avgdl, k, digits), schema))
+    return top_k(best_again(out, digits), k, ["query"], F.round("score", digits), "unit")
+
+
+def best_again(found: DataFrame, digits: int = 9) -> DataFrame:
+    """Of the best of each partition, the best document per query and unit."""
+    w = Window.partitionBy("query", "unit").orderBy(F.round("score", digits).desc(), "doc")
+    return found.withColumn("place", F.row_number().over(w)).where("place = 1").drop("place")
+
+
+def _scored(shared, avgdl: float, k: int, digits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, start, who, weight = shared.value
+        best, kinds = Best(k, digits, True), None
+        for whole in batches:
+            kinds = [whole.schema.field(i).type for i in (0, 1)]
+            rows = max(1, TILE // max(1, len(names)))
+            for a in range(0, whole.num_rows, rows):
+                batch = whole.slice(a, rows)
+                n = batch.num_rows
+                size = np.asarray(batch.column(3).value_lengths())
+                owner = np.repeat(np.arange(n), size)
+                term, tf = (np.asarray(batch.column(i).flatten()) for i in (3, 4))
+                length = np.asarray(batch.column(2))[owner]
+                share = tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / avgdl))
+                score = np.zeros(n * len(names))
+                # products of some postings at a time: a term may be asked by every query
+                each = start[term + 1] - start[term]
+                ends = np.cumsum(each)
+                cut = np.searchsorted(ends, np.arange(0, (ends[-1] if len(ends) else 0) + TILE, TILE))
+                for i, j in zip(cut, np.append(cut[1:], len(term))):
+                    if i == j:
+                        continue
+                    times = each[i:j]
+                    at = np.repeat(start[term[i:j]] - (np.cumsum(times) - times), times) + np.arange(times.sum())
+                    score += np.bincount(np.repeat(owner[i:j] * len(names), times) + who[at], np.repeat(share[i:j], times) * weight[at], len(score))
+                best.add(score.reshape(n, len(names)), batch.column(0), batch.column(1))
+        if kinds:
+            yield best.batch(names, *kinds)
+
+    return run

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
+from loomgraph.functions.text import is_blank, tokens
 from loomgraph.operators import dense as D, fusion, lexical as L
+from loomgraph.operators.current import IntegrityError, assert_empty, collection, shared_keys
 
 METHODS = ("lexical", "dense", "hybrid")
 
@@ -34,6 +36,22 @@ def exact_lookup(chunks: DataFrame, nodes: DataFrame, node: str = "node_id") ->
     return nodes.select(node).distinct().join(first, node).select(node, "chunk_id", F.lit(1.0).alias("score"), F.lit("exact-node-id").alias("method"))
 
 
+def check_queries(queries: DataFrame, tokens_needed: bool = True, query: str = "query", text: str = "text") -> None:
+    """Raise on the first query of a batch that can't be answered: null or repeated id, null or blank text, a NUL, no token.
+
+    A batch is checked in one pass over its texts, before anything is searched.
+    """
+    said = F.col(text)
+    fault = (
+        F.when(F.col(query).isNull(), "a query without an id").when(is_blank(said), "a blank query text").when(F.instr(said, "\x00") > 0, "a query text with NUL")
+        .when(F.lit(tokens_needed) & (F.size(tokens(said)) == 0), "a query text without tokens").when(F.col("_n") > 1, "a query id given twice")
+    )
+    counted = queries.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(query)))
+    first = counted.select(F.col(query).cast("string").alias("id"), fault.alias("fault")).where("fault is not null").orderBy("id", "fault").limit(1).collect()
+    if first:
+        raise QueryInputError(f"{first[0]['fault']}: {first[0]['id']}")
+
+
 def check_request(query: object, node_id: object, method: str, limit: int) -> None:
     """Raise on the first thing that makes a request meaningless."""
     blank = query is None or (isinstance(query, str) and not query.strip())
@@ -54,11 +72,28 @@ class Searcher:
     """Batch search over one bundle or collection.
 
     ``chunks`` has chunk_id, knowledge_unit_id, search_text, source_id and subject_root; ``vectors`` has
-    chunk_id and embedding; ``queries`` passed to a method have query and, for dense, embedding.
+    chunk_id and embedding; ``queries`` passed to a method have query, text and, for dense, embedding.  A ``bundle_id`` of the
+    chunks comes out with the results.
     """
 
     chunks: DataFrame
     vectors: DataFrame | None = None
+    #: Refuse a batch that holds a query without an id, a text or a token; else such queries find nothing.
+    strict: bool = False
+
+    @classmethod
+    def over(cls, bundles: dict[str, DataFrame], vectors: dict[str, DataFrame] | None = None, models: dict[str, dict] | None = None, fields: tuple[str, ...] = ()) -> Searcher:
+        """A collection: all bundles under one set of statistics.
+
+        Bundles that share a chunk or a unit, or whose models differ in one of ``fields``, can't be searched together.
+        """
+        every = collection(bundles, "chunk_id")
+        assert_empty(shared_keys(every, "chunk_id"), "chunks in several bundles")
+        assert_empty(shared_keys(every, "knowledge_unit_id"), "units in several bundles")
+        unlike = D.model_conflicts(models or {}, list(fields))
+        if unlike:
+            raise IntegrityError(f"models differ in {', '.join(unlike)}")
+        return cls(every, None if vectors is None else collection(vectors, "chunk_id"))
 
     def _units(self) -> DataFrame:
         return self.chunks.select(F.col("chunk_id").alias("doc"), F.col("knowledge_unit_id").alias("unit"))
@@ -70,23 +105,38 @@ class Searcher:
 
     def dense(self, queries: DataFrame) -> DataFrame:
         """Every unit with a vector, ranked."""
-        if self.vectors is None:
-            raise QueryInputError("dense and hybrid search need vectors")
-        held = self.vectors.join(self.chunks.select("chunk_id"), "chunk_id", "left_semi")
-        scores = D.similarities(held, "chunk_id", "embedding", queries, "query", "embedding")
+        scores = D.similarities(self._held(), "chunk_id", "embedding", queries, "query", "embedding")
         return fusion.rank_units(L.best_per_unit(scores, self._units()))
 
     def search(self, queries: DataFrame, method: str = "lexical", limit: int = 5) -> DataFrame:
         """``query, unit, doc, score, channel_score, rank`` of the best ``limit`` units of each query."""
-        check_request("batch", None, method, limit)
+        check_request("a batch", None, method, limit)
+        if self.strict:
+            check_queries(queries, method != "dense")
         if method == "hybrid":
             found = fusion.fuse(self.lexical(queries), self.dense(queries), limit).withColumnRenamed("rrf", "score")
-            return found.select("query", "unit", "doc", "score", "channel_score", "rank")
-        ranked = self.lexical(queries) if method == "lexical" else self.dense(queries)
-        return ranked.where(F.col("rank") <= limit).select("query", "unit", "doc", "score", F.col("score").alias("channel_score"), "rank")
+        else:
+            best = self._best_lexical if method == "lexical" else self._best_dense
+            found = best(queries, limit).withColumn("channel_score", F.col("score"))
+        if "bundle_id" in self.chunks.columns:
+            of = self.chunks.select(F.col("chunk_id").alias("doc"), "bundle_id")
+            return found.join(of, "doc").select("query", "unit", "doc", "score", "channel_score", "rank", "bundle_id")
+        return found.select("query", "unit", "doc", "score", "channel_score", "rank")
+
+    def _best_lexical(self, queries: DataFrame, limit: int) -> DataFrame:
+        return L.bm25_top(self.chunks, "chunk_id", "search_text", queries, "query", "text", limit, "knowledge_unit_id")
+
+    def _best_dense(self, queries: DataFrame, limit: int) -> DataFrame:
+        return D.top(self._held(), "chunk_id", "embedding", queries, "query", "embedding", limit, "unit")
+
+    def _held(self) -> DataFrame:
+        if self.vectors is None:
+            raise QueryInputError("dense and hybrid search need vectors")
+        units = self.chunks.select("chunk_id", F.col("knowledge_unit_id").alias("unit"))
+        return self.vectors.select("chunk_id", "embedding").join(units, "chunk_id")
 
     def complete(self, found: DataFrame, units: DataFrame) -> DataFrame:
-        """Found units with the chunk's span and the complete unit as a struct."""
-        spans = self.chunks.select(F.col("chunk_id").alias("doc"), "body_start", "body_end", "token_count")
+        """Found units with the chunk's span and place and the complete unit as a struct."""
+        spans = self.chunks.select(F.col("chunk_id").alias("doc"), "body_start", "body_end", "token_count", "segment_index", "segment_count")
         whole = units.select(F.col("knowledge_unit_id").alias("unit"), F.struct(*units.columns).alias("knowledge_unit"))
         return found.join(spans, "doc").join(whole, "unit")

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from loomgraph.functions.text import embedding_text
+from loomgraph.functions.text import IDEOGRAPHS, LATIN, embedding_text
 
 #: Characters after which a segment may end (fixed values).
 ENDS = frozenset("。！？!?；;.\n")
@@ -40,10 +41,12 @@ def spans(text: str, budget: int, overlap: int = 60, count: TokenCounter | None
     """``(start, end)`` of the segments of a text; an empty text has none.
 
     ``frame`` is what stands around a segment when its tokens are counted.  An end is moved back to the last
-    sentence end that keeps three fifths of the segment.
+    sentence end that keeps three fifths of the segment.  A frame that exceeds the budget by itself is an error.
     """
     if not 0 <= overlap <= 60:
         raise ValueError("overlap must lie between 0 and 60")
+    if count and text and count(frame[0] + frame[1]) > budget:
+        raise SegmentError("title and applicability alone exceed the budget")
     n, out, start = len(text), [], 0
     while start < n:
         fits = (lambda e: count(frame[0] + text[start:e] + frame[1]) <= budget) if count else None
@@ -60,20 +63,36 @@ def spans(text: str, budget: int, overlap: int = 60, count: TokenCounter | None
     return out
 
 
-def segment(df: DataFrame, id_col: str, text_col: str, budget: int, overlap: int = 60, counter: Callable[[], TokenCounter] | None = None) -> DataFrame:
-    """``id_col, segment_index, body_start, body_end, segment_count`` of every text; null and empty texts have no row."""
+def segment(df: DataFrame, id_col: str, text_col: str, budget: int, overlap: int = 60, counter: Callable[[], TokenCounter] | None = None, title: str | None = None, applicability: str | None = None) -> DataFrame:
+    """``id_col, segment_index, body_start, body_end, segment_count`` of every text; null and empty texts have no row.
+
+    With a ``counter``, ``token_count`` too: the tokens of what is embedded, that is the title, the segment and the applicability
+    by line feeds as in :func:`embedding_text`; all of it keeps within the budget.
+    """
     kind = df.schema[id_col].dataType.simpleString()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         count = counter() if counter else None
         for frame in frames:
             out = []
-            for i, text in zip(frame[id_col], frame[text_col]):
-                cut = spans(text, budget, overlap, count)
-                out += [(i, k, a, b, len(cut)) for k, (a, b) in enumerate(cut)]
-            yield pd.DataFrame(out, columns=[id_col, "segment_index", "body_start", "body_end", "segment_count"])
-
-    return df.where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(id_col, text_col).mapInPandas(run, f"{id_col} {kind}, segment_index int, body_start int, body_end int, segment_count int")
+            for i, text, head, tail in zip(frame[id_col], frame[text_col], frame["_title"], frame["_tail"]):
+                around = (f"{head}\n", f"\n{tail}")
+                cut = spans(text, budget, overlap, count, around)
+                out += [(i, k, a, b, len(cut), *([count(around[0] + text[a:b] + around[1])] if count else [])) for k, (a, b) in enumerate(cut)]
+            yield pd.DataFrame(out, columns=names)
+
+    names = [id_col, "segment_index", "body_start", "body_end", "segment_count", *(["token_count"] if counter else [])]
+    nothing = F.lit("")
+    head = F.coalesce(F.col(title), nothing) if title else nothing
+    tail = F.coalesce(F.array_join(F.col(applicability), "\n"), nothing) if applicability else nothing
+    texts = df.where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(id_col, text_col, head.alias("_title"), tail.alias("_tail"))
+    return texts.mapInPandas(run, f"`{id_col}` {kind}, " + ", ".join(f"{c} int" for c in names[1:]))
+
+
+def lexical_counter() -> TokenCounter:
+    """Counts the tokens of :func:`loomgraph.functions.text.tokens`: the stand-in where no model's tokenizer is at hand."""
+    run = re.compile(re.sub(r"\\x\{([0-9A-F]+)\}", lambda m: chr(int(m[1], 16)), f"[{IDEOGRAPHS}]+|{LATIN}"))
+    return lambda t: sum(1 if m[0][0].isascii() else 2 * len(m[0]) - 1 for m in run.finditer(t))
 
 
 def chunk_rows(units: DataFrame, segments: DataFrame) -> DataFrame:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from loomgraph.plans import dealt, retrieval, structure
+from loomgraph.plans import dealt, planted, retrieval, structure
 
-MODULES = [dealt, retrieval, structure]
+MODULES = [dealt, retrieval, structure, planted]
 
 
 def queries() -> dict:

@@ -108,24 +108,24 @@ def bm25_scores(spark, d):
 _TOP = "select query, doc as chunk_id, row_number() over (partition by query order by round(score, 9) desc, doc) as rank, round(score, 6) as score from scores where score > 0 qualify rank <= 5"
 
 
-def _top(scores):
-    return L.top_k(scores, 5, ["query"], F.round("score", 9), "doc").select("query", F.col("doc").alias("chunk_id"), F.col("rank").cast("bigint").alias("rank"), F.round("score", 6).alias("score"))
+def _top(spark, d, docs):
+    return L.bm25_top(docs, "chunk_id", "search_text", asked(spark, d), "query", "text", 5).select("query", F.col("doc").alias("chunk_id"), F.col("rank").cast("bigint").alias("rank"), F.round("score", 6).alias("score"))
 
 
 @query(f"with {CHUNKS}, {ASKED}, {bm25_sql('chunks', 'chunk_id', 'search_text', 'asked')} {_TOP}")
 def bm25_topk(spark, d):
-    return _top(_scores(spark, d))
+    return _top(spark, d, chunks(spark, d))
 
 
 @query(f"with {CHUNKS}, subset as (select * from chunks where source_id = '{SOURCE}'), {ASKED}, {bm25_sql('subset', 'chunk_id', 'search_text', 'asked')} {_TOP}")
 def bm25_filtered_topk(spark, d):
     """The filter comes before the statistics."""
-    return _top(_scores(spark, d, filter_chunks(chunks(spark, d), source=SOURCE)))
+    return _top(spark, d, filter_chunks(chunks(spark, d), source=SOURCE))
 
 
 @query(f"with {CHUNKS}, subset as (select * from chunks where source_id = '{SOURCE}' and subject_root = '{SUBJECT}'), {ASKED}, {bm25_sql('subset', 'chunk_id', 'search_text', 'asked')} {_TOP}")
 def bm25_source_subject_topk(spark, d):
-    return _top(_scores(spark, d, filter_chunks(chunks(spark, d), SOURCE, SUBJECT)))
+    return _top(spark, d, filter_chunks(chunks(spark, d), SOURCE, SUBJECT))
 
 
 @query(f"with {CHUNKS}, {ASKED}, {bm25_sql('chunks', 'chunk_id', 'search_text', 'asked')}, {BEST} select query, unit, doc as chunk_id, round(score, 6) as score from best where score > 0")
@@ -186,16 +186,16 @@ def filter_node_then_score(spark, d):
   round(list_dot_product(q.embedding::double[], v.embedding::double[]), 6) as score from embeddings q, embeddings v where q.vec_id % 20 = 0 qualify rank <= 5""")
 def dense_topk(spark, d):
     e = table(spark, d, "embeddings")
-    s = D.similarities(e, "vec_id", "embedding", e.where("vec_id % 20 = 0"), "vec_id", "embedding", k=16)
-    return L.top_k(s, 5, ["query"], F.round("score", 6), "doc").select("query", F.col("doc").alias("vec_id"), F.col("rank").cast("bigint").alias("rank"), F.round("score", 6).alias("score"))
+    s = D.top(e, "vec_id", "embedding", e.where("vec_id % 20 = 0"), "vec_id", "embedding", 5, digits=6)
+    return s.select("query", F.col("doc").alias("vec_id"), F.col("rank").cast("bigint").alias("rank"), F.round("score", 6).alias("score"))
 
 
 @query("""select q.vec_id as query, v.vec_id as vec_id, row_number() over (partition by q.vec_id order by round(list_dot_product(q.embedding::double[], v.embedding::double[]), 6) desc, v.vec_id) as rank
   from embeddings q, embeddings v where q.vec_id % 20 = 0 and v.label = 3 qualify rank <= 5""")
 def dense_filtered_topk(spark, d):
     e = table(spark, d, "embeddings")
-    s = D.similarities(e.where("label = 3"), "vec_id", "embedding", e.where("vec_id % 20 = 0"), "vec_id", "embedding", k=16)
-    return L.top_k(s, 5, ["query"], F.round("score", 6), "doc").select("query", F.col("doc").alias("vec_id"), F.col("rank").cast("bigint").alias("rank"))
+    s = D.top(e.where("label = 3"), "vec_id", "embedding", e.where("vec_id % 20 = 0"), "vec_id", "embedding", 5, digits=6)
+    return s.select("query", F.col("doc").alias("vec_id"), F.col("rank").cast("bigint").alias("rank"))
 
 
 _DENSE = """dense as (select query, unit, doc, score, row_number() over (partition by query order by round(score, 9) desc, unit) as rank from (
@@ -233,7 +233,7 @@ def collection_union(spark, d):
 def collection_bm25_topk(spark, d):
     """All bundles share one set of corpus statistics."""
     every = _bundles(spark, d)
-    top = _top(_scores(spark, d, every)).drop("score")
+    top = _top(spark, d, every).drop("score")
     return top.join(every.select("chunk_id", "bundle_id"), "chunk_id").select("query", "chunk_id", "bundle_id", "rank")
 
 

@@ -9,7 +9,7 @@ from loomgraph.operators import evaluate as E, graph as G, identity as I, integr
 from loomgraph.operators.current import latest
 from loomgraph.operators.search import Searcher, filter_chunks
 from loomgraph.plans.retrieval import BEST, CHUNKS, SOURCE, SUBJECT, UNITS, VECTORS, WAYS, _DENSE, _RANKED, bm25_sql, both_ways, chunk_vectors, chunks, units
-from loomgraph.workspace import table
+from loomgraph.workspace import Workspace, table
 
 QUERIES, ORACLES = {}, {}
 
@@ -261,7 +261,12 @@ def overlay_latest(spark, d):
     return last.select("edge_id", "source_node_id", "target_node_id", "recorded_at")
 
 
-@query(None)
+@query("""select knowledge_unit_id, to_json({applicability: applicability, content_available: content_available, current_project_authority: current_project_authority, embedding_eligibility_basis: case when embedding_eligibility_basis is not null then
+    {content_type: embedding_eligibility_basis.content_type, public_scope: embedding_eligibility_basis.public_scope, source_review_proof_sha256: embedding_eligibility_basis.source_review_proof_sha256} end,
+    embedding_eligible: embedding_eligible, embedding_exclusion_reason: embedding_exclusion_reason, evidence_refs: evidence_refs, forbidden_transfer: forbidden_transfer, knowledge_layer: knowledge_layer,
+    knowledge_unit_id: knowledge_unit_id, node_id: node_id, package_id: package_id, project_value_transfer_allowed: project_value_transfer_allowed, recorded_at: strftime(recorded_at, '%Y-%m-%dT%H:%M:%S.%f'),
+    retrieval_eligible: retrieval_eligible, source_chain_id: source_chain_id, source_id: source_id, source_locator: source_locator, source_sha256: source_sha256, source_volume_id: source_volume_id,
+    subject_root: subject_root, text: text, text_sha256: text_sha256, title: title, units_basis: units_basis, withdrawn_at: strftime(withdrawn_at, '%Y-%m-%dT%H:%M:%S.%f')})::varchar as line from knowledge_units""")
 def canonical_json(spark, d):
     """Rows of the unit table as canonical JSON lines."""
     u = table(spark, d, "knowledge_units")
@@ -599,26 +604,34 @@ def _runs(spark, d, methods=("lexical", "dense", "hybrid")):
 
 
 def _judged(spark, d):
-    """Queries with roles, and what they should and should not find, from the units of the asked entries."""
+    """Queries with roles, and what they should and should not find.
+
+    A query of the first two roles is to find the asked entry's unit, and one of the second all units related to it too; a negative one must
+    not find those related units; they are context for the others.
+    """
     c = chunks(spark, d).select("chunk_id", "knowledge_unit_id", "source_id")
     q = both_ways(spark, d).select("query").join(table(spark, d, "vector_manifest").select(F.col("row").cast("bigint").alias("query"), "chunk_id").distinct(), "query").join(c, "chunk_id")
     queries = q.select("query", F.element_at(F.array(*[F.lit(r) for r in E.ROLES]), (F.pmod(F.col("query") / 20, F.lit(4)) + 1).cast("int")).alias("role"))
     related = table(spark, d, "kg_edges").where(G.normalized_relation() == "related_to").select(F.col("source_node_id").alias("knowledge_unit_id"), F.col("target_node_id").alias("id"))
-    qrels = q.select("query", F.col("knowledge_unit_id").alias("id"), F.lit("primary").alias("kind"))
-    qrels = qrels.unionByName(q.join(related, "knowledge_unit_id").select("query", "id", F.lit("context").alias("kind")))
-    return queries, qrels.unionByName(q.select("query", F.col("knowledge_unit_id").alias("id"), F.lit("must_not").alias("kind"))).where("id is not null")
+    roles = q.join(queries, "query")
+    own = roles.where("role in ('any_hit', 'all_relevant')").select("query", F.col("knowledge_unit_id").alias("id"), F.lit("primary").alias("kind"))
+    near = roles.join(related, "knowledge_unit_id").where("id <> knowledge_unit_id")
+    as_kind = F.when(F.col("role") == "all_relevant", "primary").when(F.col("role") == "negative", "must_not").otherwise("context")
+    return queries.distinct(), own.unionByName(near.select("query", "id", as_kind.alias("kind"))).where("id is not null").distinct()
 
 
 def _lexical_run(spark, d):
-    return _runs(spark, d, ("lexical",)).drop("method")
+    """The lexical rankings, written once: they are checked, then scored."""
+    return Workspace(spark, "run").write(_runs(spark, d, ("lexical",)).drop("method"), "lexical")
 
 
 _EVAL = f"""with {CHUNKS}, {VECTORS}, {WAYS}, {bm25_sql('chunks', 'chunk_id', 'search_text', 'ways')}, {BEST},
   run as (select query, unit as id, row_number() over (partition by query order by round(score, 9) desc, unit) as rank from best where score > 0 qualify rank <= 20),
   q as (select distinct w.query, m.chunk_id, c.knowledge_unit_id from ways w join vector_manifest m on m."row" = w.query join chunks c using (chunk_id)),
-  roles as (select query, ['any_hit', 'all_relevant', 'negative', 'relation_only'][(query // 20 % 4 + 1)::int] as role from q),
-  rel as (select query, knowledge_unit_id as id, 'primary' as kind from q union select query, knowledge_unit_id, 'must_not' from q
-    union select query, target_node_id, 'context' from q join kg_edges e on e.source_node_id = q.knowledge_unit_id and lower(trim(relation)) = 'related_to' where target_node_id is not null),
+  roles as (select distinct query, ['any_hit', 'all_relevant', 'negative', 'relation_only'][(query // 20 % 4 + 1)::int] as role from q),
+  rel as (select query, knowledge_unit_id as id, 'primary' as kind from q join roles using (query) where role in ('any_hit', 'all_relevant') and knowledge_unit_id is not null
+    union select query, target_node_id, case role when 'all_relevant' then 'primary' when 'negative' then 'must_not' else 'context' end
+    from q join roles using (query) join kg_edges e on e.source_node_id = q.knowledge_unit_id and lower(trim(relation)) = 'related_to' where target_node_id <> knowledge_unit_id),
   hits as (select * from run join rel using (query, id)),
   per as (select query, min(rank) filter (kind = 'primary') as first, count(*) filter (kind = 'primary') as hits, coalesce(sum(1 / log2(rank + 1)) filter (kind = 'primary' and rank <= 10), 0) as dcg,
     list(id order by rank) filter (kind = 'must_not') as bad, list(rank::int order by rank) filter (kind = 'context') as ctx from hits group by 1),
@@ -631,7 +644,7 @@ _POS = "role in ('any_hit', 'all_relevant')"
 
 def _diagnosed(spark, d):
     queries, qrels = _judged(spark, d)
-    return E.diagnose(queries, qrels, _lexical_run(spark, d))
+    return E.evaluate(queries, qrels, _lexical_run(spark, d))
 
 
 @query(f"{_EVAL} select query, hit, first::bigint as first_rank, mrr::double as mrr, rank1 from diag where {_POS}")
@@ -688,7 +701,7 @@ _METHODS = f"""{_EVAL}, {_RANKED}, {_DENSE},
   fused as (select query, unit, round(sum(1.0 / (60 + rank)), 12) as rrf from (select query, unit, rank from ranked union all select query, unit, rank from dense) group by 1, 2),
   m as (select 'lexical' as method, query, unit, rank from ranked union all select 'dense', query, unit, rank from dense
     union all select 'hybrid', query, unit, row_number() over (partition by query order by rrf desc, unit) from fused),
-  f as (select method, m.query, min(rank) as first from m join q on q.query = m.query and q.knowledge_unit_id = m.unit where rank <= 5 group by 1, 2),
+  f as (select method, m.query, min(rank) as first from m join rel on rel.query = m.query and rel.id = m.unit and kind = 'primary' where rank <= 5 group by 1, 2),
   scored as (select method, role, first from roles cross join (values ('lexical'), ('dense'), ('hybrid')) x(method) left join f using (method, query))
   select %s, count(*) as n_cases, round(avg((first is not null)::int), 9) as hit_rate, round(avg(coalesce(1.0 / first, 0)), 9) as mrr, round(avg((coalesce(first, 0) = 1)::int), 9) as rank1_rate from scored group by %s"""
 
@@ -711,11 +724,16 @@ def eval_collection_summary(spark, d):
     return s.select("n_cases", *[F.round(c, 9).alias(c) for c in s.columns[1:]])
 
 
-@query(f"""{_EVAL} select distinct query, problem from (select query, 'primary and must_not' as problem from rel where kind in ('primary', 'must_not') group by query, id having count(*) > 1
-  union all select query, 'no ranking' from roles where query not in (select query from run))""")
+@query(f"""{_EVAL} select distinct query, problem from (select query, 'primary and must_not' as problem from rel where kind = 'primary' and query % 40 = 0
+  union all select query, 'no ranking' from roles where query not in (select query from run where query % 100 <> 0) union all select query, 'unknown role' from roles where query % 60 = 0
+  union all select -query, 'unknown query' from run where rank = 1 and query % 100 <> 0 and query > 0)""")
 def eval_input_violations(spark, d):
+    """A judged set with faults put in: roles nobody knows, targets that are forbidden too, rankings that are missing or of unknown queries."""
     q, qrels = _judged(spark, d)
-    return E.input_violations(q, qrels, _lexical_run(spark, d))
+    run = _lexical_run(spark, d).where("query % 100 <> 0")
+    q = q.withColumn("role", F.when(F.col("query") % 60 == 0, "best").otherwise(F.col("role")))
+    qrels = qrels.unionByName(qrels.where("kind = 'primary' and query % 40 = 0").withColumn("kind", F.lit("must_not")))
+    return E.input_violations(q, qrels, run.unionByName(run.where("rank = 1 and query > 0").withColumn("query", -F.col("query"))))
 
 
 @query(f"""{_EVAL}, dense as (select query, unit, score from (select w.query, c.knowledge_unit_id as unit, list_dot_product(w.e, v.e) as score, v.chunk_id from ways w, vecs v join chunks c using (chunk_id)

@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
@@ -19,16 +19,26 @@ def read_jsonl(spark: SparkSession, path: str, schema: StructType | str) -> Data
 
 
 def read_jsonl_reporting(spark: SparkSession, path: str, schema: StructType | str) -> tuple[DataFrame, DataFrame]:
-    """Good rows, and ``file, line`` of those that don't parse to an object of the schema.
+    """Good rows, and ``file, line_number, line`` of those that don't parse to an object of the schema.
 
-    A byte order mark at the start of a line is dropped.
+    Line numbers count from 1 in each file, blank lines included.  Lines are numbered by their place: a file is read in splits in order, and
+    the lines of the splits before (one count per split) are added to the place inside the split.  A byte order mark at the start of
+    a line is dropped.
     """
     ddl = schema if isinstance(schema, str) else ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.regexp_replace("value", "^\\x{FEFF}", "").alias("line")).where(F.trim("line") != "")
+    meta = "_metadata.file_block_start"
+    raw = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col(meta).alias("block"), F.monotonically_increasing_id().alias("place"), F.regexp_replace("value", "^\\x{FEFF}", "").alias("line"))
+    lines = raw.where(F.trim("line") != "")
     parsed = lines.withColumn("row", F.from_json("line", f"{ddl}, _bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}))
     bad = F.col("row").isNull() | F.col("row._bad").isNotNull() | ~F.ltrim("line").startswith("{")
     names = [f.strip(" `") for f in StructType.fromDDL(ddl).names]
-    return parsed.where(~bad).select(*[F.col(f"row.{n}").alias(n) for n in names]), parsed.where(bad).select("file", "line")
+    # one row per split of a file
+    blocks = raw.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("first"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    shift = blocks.select("file", "block", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift"))
+    number = (F.col("place") - F.col("first") + F.col("shift") + 1).alias("line_number")
+    wrong = parsed.where(bad).select("file", "block", "place", "line").join(shift, ["file", "block"]).select("file", number, "line")
+    return parsed.where(~bad).select(*[F.col(f"row.{n}").alias(n) for n in names]), wrong
 
 
 def read_json_object(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
+import os
+import shutil
 from pathlib import Path
 
 import numpy as np
@@ -31,27 +34,56 @@ def envelope(found: DataFrame, method: str, **request: object) -> dict:
 
 
 def export_f32_matrix(df: DataFrame, path: str, order: str, embedding: str = "embedding") -> int:
-    """Write vectors in order as one raw little-endian float32 file; rows stream through the driver partition by partition."""
-    n = 0
+    """Write vectors in order as raw little-endian float32, and return their number.
+
+    Tasks write ranges of rows as part files ``part-00000.f32`` and so on into a folder beside ``path`` that they share; the files in order
+    are the matrix.  Only their sizes reach the driver, which puts them together by copying bytes and removes the parts.  Vectors are
+    neither null nor hold nulls.
+    """
+    parts = f"{path}.parts"
+    os.makedirs(parts)
+
+    def run(batches):
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        number, n = TaskContext.get().partitionId(), 0
+        at = f"{parts}/part-{number:05d}.f32"
+        with open(f"{at}.{TaskContext.get().taskAttemptId()}", "wb") as f:
+            for batch in batches:
+                if batch.column(0).null_count or batch.column(0).flatten().null_count:
+                    raise ValueError("a vector to be exported is null or holds nulls")
+                f.write(np.asarray(batch.column(0).flatten(), "<f4").tobytes())
+                n += batch.num_rows
+        os.replace(f.name, at)  # a second attempt writes the same bytes
+        yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([n])], ["part", "n"])
+
+    done = df.select(order, embedding).orderBy(order).select(embedding).mapInArrow(run, "part bigint, n bigint").collect()
     with open(path, "wb") as f:
-        for row in df.select(order, embedding).orderBy(order).select(embedding).toLocalIterator(prefetchPartitions=True):
-            f.write(np.asarray(row[0], "<f4").tobytes())
-            n += 1
-    return n
+        for r in sorted(done, key=lambda r: r["part"]):
+            with open(f"{parts}/part-{r['part']:05d}.f32", "rb") as part:
+                shutil.copyfileobj(part, f, 1 << 22)
+    shutil.rmtree(parts)
+    return sum(r["n"] for r in done)
 
 
-def write_bundle(tables: dict[str, DataFrame], rules: list[Rule], root: str, key: tuple[str, str], bundle_id: str) -> dict:
+def write_bundle(tables: dict[str, DataFrame], rules: list[Rule], root: str, keys: dict[str, str], bundle_id: str) -> dict:
     """All checks, then all tables, then the manifest.
 
-    ``key``: the table and column that give the content's identity.  A folder that already holds another
-    identity is refused; the same identity is left as it is; tables without a manifest are a partial output and
-    refused too.
+    The content's identity is a root over the canonical rows of every table; ``keys`` gives for each table the column
+    that its rows are ordered by.  A folder that already holds another identity is refused; the same identity is left as it
+    is; tables without a manifest are a partial output and refused too.
     """
+    if set(keys) != set(tables):
+        raise ValueError("every table of a bundle needs a key")
     spark = next(iter(tables.values())).sparkSession
     demand(tables, rules)
-    name, column = key
-    own = corpus_identity(tables[name], column, canonical_json(tables[name])).first()
-    manifest = {"bundle_id": bundle_id, "content_root": own["root"], "rows": int(own["n"]), "tables": sorted(tables)}
+    roots = {t: corpus_identity(df, keys[t], canonical_json(df)).first() for t, df in sorted(tables.items())}
+    every = "".join(f"{t}\t{r['n']}\t{r['root']}\n" for t, r in roots.items())
+    manifest = {
+        "bundle_id": bundle_id, "content_root": hashlib.sha256(every.encode()).hexdigest(), "rows": {t: int(r["n"]) for t, r in roots.items()},
+        "roots": {t: r["root"] for t, r in roots.items()}, "tables": sorted(tables),
+    }
     fs_path = spark._jvm.org.apache.hadoop.fs.Path(root)
     fs = fs_path.getFileSystem(spark._jsc.hadoopConfiguration())
     if fs.exists(fs_path):

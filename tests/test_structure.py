@@ -134,13 +134,13 @@ def test_files(spark, tmp_path):
 
 def test_bundle_writes_once(spark, tmp_path):
     t = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
-    args = (f"file://{tmp_path}/bundle", ("t", "k"), "B1")
+    args = (f"file://{tmp_path}/bundle", {"t": "k"}, "B1")
     first = writers.write_bundle({"t": t}, [], *args)
     assert writers.write_bundle({"t": t}, [], *args) == first
     with pytest.raises(IntegrityError):
         writers.write_bundle({"t": t.limit(1)}, [], *args)
     with pytest.raises(IntegrityError):
-        writers.write_bundle({"t": t}, [R.Rule("none", lambda x: R.predicate(x["t"], "k", F.lit(False)))], f"file://{tmp_path}/other", ("t", "k"), "B1")
+        writers.write_bundle({"t": t}, [R.Rule("none", lambda x: R.predicate(x["t"], "k", F.lit(False)))], f"file://{tmp_path}/other", {"t": "k"}, "B1")
 
 
 def test_stream_of_units(spark, tmp_path):
