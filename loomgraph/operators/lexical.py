@@ -136,7 +136,8 @@ def bm25_top(docs: DataFrame, doc: str, text: str, queries: DataFrame, query: st
     :func:`bm25`; only positive ones count.  A null unit is a unit of its own.
     """
     spark = docs.sparkSession
-    q = query_terms(queries.select(query, query_text).where(F.col(query).isNotNull()), query, query_text)
+    queries = queries.select(query, query_text).where(F.col(query).isNotNull())
+    q = query_terms(queries, query, query_text)
     # so many (query, term) rows reach the driver at most; more queries than that take the other way
     asked = q.limit(BROADCAST_TERMS + 1).toArrow().combine_chunks()
     if asked.num_rows > BROADCAST_TERMS:
