@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from loomgraph.operators.lexical import best_again, top_k
+from loomgraph.operators.lexical import best_again, ranked
 from loomgraph.operators.ranking import TILE, Best
 
 #: Elements of a query block, at most; more queries are answered block after block.
@@ -88,8 +88,8 @@ def similarities(vectors: DataFrame, id_col: str, embedding: str, queries: DataF
     return out
 
 
-def top(vectors: DataFrame, id_col: str, embedding: str, queries: DataFrame, query: str, query_embedding: str, k: int, unit: str | None = None, digits: int = 9, cosine: bool = False, block: int = BLOCK_ELEMENTS) -> DataFrame:
-    """``query, doc, unit, score, rank`` of the best ``k`` vectors, or of the best vectors of the best ``k`` units, of each query.
+def top(vectors: DataFrame, id_col: str, embedding: str, queries: DataFrame, query: str, query_embedding: str, k: int | None, unit: str | None = None, digits: int = 9, cosine: bool = False, block: int = BLOCK_ELEMENTS) -> DataFrame:
+    """``query, doc, unit, score, rank`` of the best ``k`` vectors, or of the best vectors of the best ``k`` units, of each query; None ranks all.
 
     Order: highest score to ``digits`` digits, then smallest unit; of a unit the best vector, then the smallest id.  What takes part is as in
     :func:`similarities`.  Each task keeps the best k per query while tiles of bounded size pass by; that is all that is shuffled.
@@ -108,12 +108,15 @@ def top(vectors: DataFrame, id_col: str, embedding: str, queries: DataFrame, que
             for batch, x, at in _tiles(batches, 2, dim, len(q), cosine):
                 kinds = [batch.schema.field(i).type for i in (0, 1)]
                 best.add(x @ q.T, batch.column(0).take(at), batch.column(1).take(at))
-            if kinds:
+                if k is None:
+                    yield best.batch(names, *kinds)
+                    best = Best(k, digits, False)
+            if kinds and k is not None:
                 yield best.batch(names, *kinds)
 
         held = vectors.select(F.col(id_col).alias("doc"), F.col(unit or id_col).alias("unit"), F.col(embedding).alias("embedding"))
         out = out.unionByName(held.mapInArrow(run, schema))
-    return top_k(best_again(out, digits), k, ["query"], F.round("score", digits), "unit")
+    return ranked(best_again(out, digits), k, digits)
 
 
 def pooled(output: np.ndarray, rows: int) -> np.ndarray:

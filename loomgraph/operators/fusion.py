@@ -2,11 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from loomgraph.workspace import Workspace
 
 RRF_K = 60
 
 
+def numbered(df: DataFrame, *order: Column) -> DataFrame:
+    """``df`` with ``position``, from 1, in a global order.
+
+    Rows are ranged over many tasks and numbered in each; the sizes of the tasks before, one row per task, are added.
+    """
+    ws = Workspace(df.sparkSession, "numbered")
+    ranged = ws.write(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranged")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    base = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    own = ranged.withColumn("position", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
+    return own.join(F.broadcast(base), "_part").withColumn("position", F.col("position") + F.col("_base")).drop("_part", "_base")
+
+
 def rank_units(best: DataFrame, digits: int = 9) -> DataFrame:
     """Rank of every unit per query: highest score, then smallest id; ``best`` has ``query, unit, doc, score``."""
     w = Window.partitionBy("query").orderBy(F.round("score", digits).desc(), "unit")

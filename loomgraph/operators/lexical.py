@@ -129,8 +129,8 @@ def _places(docs: DataFrame, doc: str, text: str, unit: str, terms: list[str], w
     return ws.write(toks.mapInArrow(run, f"doc {kinds[0]}, unit {kinds[1]}, len int, terms array<int>, tfs array<int>"), "places")
 
 
-def bm25_top(docs: DataFrame, doc: str, text: str, queries: DataFrame, query: str, query_text: str, k: int, unit: str | None = None, digits: int = 9) -> DataFrame:
-    """``query, doc, unit, score, rank`` of the best ``k`` documents, or of the best documents of the best ``k`` units, of each query.
+def bm25_top(docs: DataFrame, doc: str, text: str, queries: DataFrame, query: str, query_text: str, k: int | None, unit: str | None = None, digits: int = 9) -> DataFrame:
+    """``query, doc, unit, score, rank`` of the best ``k`` documents, or of the best documents of the best ``k`` units, of each query; None ranks all.
 
     Order: highest score to ``digits`` digits, then smallest unit; of a unit the best document, then the smallest.  Scores are those of
     :func:`bm25`; only positive ones count.  A null unit is a unit of its own.
@@ -142,7 +142,7 @@ def bm25_top(docs: DataFrame, doc: str, text: str, queries: DataFrame, query: st
     asked = q.limit(BROADCAST_TERMS + 1).toArrow().combine_chunks()
     if asked.num_rows > BROADCAST_TERMS:
         units = docs.select(F.col(doc).alias("doc"), F.col(unit or doc).alias("unit"))
-        return top_k(best_per_unit(bm25(docs, doc, text, queries, query, query_text), units, digits), k, ["query"], F.round("score", digits), "unit")
+        return ranked(best_per_unit(bm25(docs, doc, text, queries, query, query_text), units, digits), k, digits)
     ws = Workspace(spark, "bm25")
     q_kind, d_kind, u_kind = (df.schema[c].dataType.simpleString() for df, c in ((queries, query), (docs, doc), (docs, unit or doc)))
     schema = f"query {q_kind}, doc {d_kind}, unit {u_kind}, score double"
@@ -163,7 +163,14 @@ def bm25_top(docs: DataFrame, doc: str, text: str, queries: DataFrame, query: st
         start = np.searchsorted(what[mine][order], np.arange(len(terms) + 1))
         shared = spark.sparkContext.broadcast((names.slice(a, QUERIES), start, who[mine][order] - a, weight[mine][order]))
         out = out.unionByName(places.mapInArrow(_scored(shared, avgdl, k, digits), schema))
-    return top_k(best_again(out, digits), k, ["query"], F.round("score", digits), "unit")
+    return ranked(best_again(out, digits), k, digits)
+
+
+def ranked(best: DataFrame, k: int | None, digits: int) -> DataFrame:
+    """Ranks of units per query, all or the first ``k``."""
+    if k is None:
+        return best.withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy(F.round("score", digits).desc(), "unit")))
+    return top_k(best, k, ["query"], F.round("score", digits), "unit")
 
 
 def best_again(found: DataFrame, digits: int = 9) -> DataFrame:
@@ -172,7 +179,7 @@ def best_again(found: DataFrame, digits: int = 9) -> DataFrame:
     return found.withColumn("place", F.row_number().over(w)).where("place = 1").drop("place")
 
 
-def _scored(shared, avgdl: float, k: int, digits: int):
+def _scored(shared, avgdl: float, k: int | None, digits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, start, who, weight = shared.value
         best, kinds = Best(k, digits, True), None
@@ -199,7 +206,10 @@ def _scored(shared, avgdl: float, k: int, digits: int):
                     at = np.repeat(start[term[i:j]] - (np.cumsum(times) - times), times) + np.arange(times.sum())
                     score += np.bincount(np.repeat(owner[i:j] * len(names), times) + who[at], np.repeat(share[i:j], times) * weight[at], len(score))
                 best.add(score.reshape(n, len(names)), batch.column(0), batch.column(1))
-        if kinds:
+                if k is None:
+                    yield best.batch(names, *kinds)
+                    best = Best(k, digits, True)
+        if kinds and k is not None:
             yield best.batch(names, *kinds)
 
     return run

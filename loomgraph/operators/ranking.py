@@ -14,10 +14,11 @@ class Best:
     """The best ``k`` groups of each query: highest rounded score first, then smallest group; of a group the best member, then the smallest.
 
     Blocks of scores may come in any order and may hold parts of a group: a group among the best of all is among the best of the
-    blocks that hold its best member, so nothing else needs to be kept.
+    blocks that hold its best member, so nothing else needs to be kept.  With ``k`` None every group stays, for full rankings; such
+    a holder is to be emptied block after block.
     """
 
-    def __init__(self, k: int, digits: int, positive: bool):
+    def __init__(self, k: int | None, digits: int, positive: bool):
         self.k, self.digits, self.positive = k, digits, positive
         self.query, self.score = np.empty(0, np.int64), np.empty(0)
         self.doc, self.unit = np.empty(0, object), np.empty(0, object)
@@ -35,7 +36,7 @@ class Best:
         edge = np.flatnonzero(np.concatenate([[True], u[1:] != u[:-1]]))
         top = np.maximum.reduceat(s, edge, axis=0)
         n = len(edge)
-        bar = np.partition(top, n - self.k, axis=0)[n - self.k] if n > self.k else np.full(top.shape[1], -np.inf)
+        bar = np.partition(top, n - self.k, axis=0)[n - self.k] if self.k and n > self.k else np.full(top.shape[1], -np.inf)
         good = (top >= bar) & ((top > 0) if self.positive else np.isfinite(top))
         g, q = np.nonzero(good)
         # the first row of the group that has its best score
@@ -43,7 +44,8 @@ class Best:
         row = np.minimum.reduceat(np.where(s == top[of], np.arange(len(u))[:, None], len(u)), edge, axis=0)[g, q]
         self.query, self.score = np.concatenate([self.query, q]), np.concatenate([self.score, raw[row, q]])
         self.doc, self.unit = np.concatenate([self.doc, docs[row]]), np.concatenate([self.unit, units[row]])
-        self._cut()
+        if self.k:
+            self._cut()
 
     def _cut(self) -> None:
         d, u = (np.unique(c, return_inverse=True)[1] for c in (self.doc, self.unit))

@@ -95,18 +95,13 @@ class Searcher:
             raise IntegrityError(f"models differ in {', '.join(unlike)}")
         return cls(every, None if vectors is None else collection(vectors, "chunk_id"))
 
-    def _units(self) -> DataFrame:
-        return self.chunks.select(F.col("chunk_id").alias("doc"), F.col("knowledge_unit_id").alias("unit"))
-
     def lexical(self, queries: DataFrame) -> DataFrame:
         """Every unit with a positive score, ranked."""
-        scores = L.bm25(self.chunks, "chunk_id", "search_text", queries, "query", "text")
-        return fusion.rank_units(L.best_per_unit(scores, self._units()))
+        return L.bm25_top(self.chunks, "chunk_id", "search_text", queries, "query", "text", None, "knowledge_unit_id")
 
     def dense(self, queries: DataFrame) -> DataFrame:
         """Every unit with a vector, ranked."""
-        scores = D.similarities(self._held(), "chunk_id", "embedding", queries, "query", "embedding")
-        return fusion.rank_units(L.best_per_unit(scores, self._units()))
+        return D.top(self._held(), "chunk_id", "embedding", queries, "query", "embedding", None, "unit")
 
     def search(self, queries: DataFrame, method: str = "lexical", limit: int = 5) -> DataFrame:
         """``query, unit, doc, score, channel_score, rank`` of the best ``limit`` units of each query."""

@@ -130,8 +130,7 @@ def bm25_source_subject_topk(spark, d):
 
 @query(f"with {CHUNKS}, {ASKED}, {bm25_sql('chunks', 'chunk_id', 'search_text', 'asked')}, {BEST} select query, unit, doc as chunk_id, round(score, 6) as score from best where score > 0")
 def best_chunk_per_unit(spark, d):
-    c = chunks(spark, d)
-    best = L.best_per_unit(_scores(spark, d, c), c.select(F.col("chunk_id").alias("doc"), F.col("knowledge_unit_id").alias("unit")))
+    best = L.bm25_top(chunks(spark, d), "chunk_id", "search_text", asked(spark, d), "query", "text", None, "knowledge_unit_id")
     return best.select("query", "unit", F.col("doc").alias("chunk_id"), F.round("score", 6).alias("score"))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from loomgraph.functions import text as T, vectors as V
 from loomgraph.operators import evaluate as E, graph as G, identity as I, integrity as R, segment as S
 from loomgraph.operators.current import latest
+from loomgraph.operators.fusion import numbered
 from loomgraph.operators.search import Searcher, filter_chunks
 from loomgraph.plans.retrieval import BEST, CHUNKS, SOURCE, SUBJECT, UNITS, VECTORS, WAYS, _DENSE, _RANKED, bm25_sql, both_ways, chunk_vectors, chunks, units
 from loomgraph.workspace import Workspace, table
@@ -286,10 +287,7 @@ def custom_order(spark, d):
     """Chunks of three sources in a given order of the sources."""
     order = F.array(*[F.lit(x) for x in ("TS20", "KP26", "HD11")])
     some = chunks(spark, d).where(F.col("source_id").isin("TS20", "KP26", "HD11")).withColumn("at", F.array_position(order, F.col("source_id")))
-    # numbered per source, then shifted by the sizes of the sources before: no task sorts everything
-    sizes = some.groupBy("at").agg(F.count(F.lit(1)).alias("n")).withColumn("shift", F.coalesce(F.sum("n").over(Window.orderBy("at").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    own = some.withColumn("r", F.row_number().over(Window.partitionBy("at").orderBy("chunk_id")))
-    return own.join(F.broadcast(sizes), "at").select("chunk_id", (F.col("r") + F.col("shift")).alias("position"))
+    return numbered(some.select("chunk_id", "at"), F.col("at"), F.col("chunk_id")).select("chunk_id", "position")
 
 
 @query(f"with {CHUNKS} select chunk_id, row_number() over (order by list_position(['TS20', 'KP26', 'HD11'], source_id) nulls last, source_id nulls last, chunk_id) as position from chunks")
@@ -297,12 +295,8 @@ def whole_custom_order(spark, d):
     """All chunks in a given order of the sources; sources outside it come last, by their names."""
     order = F.array(*[F.lit(x) for x in ("TS20", "KP26", "HD11")])
     every = chunks(spark, d).withColumn("at", F.nullif(F.array_position(order, F.col("source_id")), F.lit(0).cast("bigint")))
-    sizes = every.groupBy("at", "source_id").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.orderBy(F.col("at").asc_nulls_last(), F.col("source_id").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    # one row per source, null as a source of its own
-    sizes = sizes.select(F.col("source_id").alias("source"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift"))
-    own = every.withColumn("r", F.row_number().over(Window.partitionBy("source_id").orderBy("chunk_id")))
-    return own.join(F.broadcast(sizes), F.col("source_id").eqNullSafe(F.col("source"))).select("chunk_id", (F.col("r") + F.col("shift")).alias("position"))
+    order = [F.col("at").asc_nulls_last(), F.col("source_id").asc_nulls_last(), F.col("chunk_id")]
+    return numbered(every.select("chunk_id", "source_id", "at"), *order).select("chunk_id", "position")
 
 
 @query("""select knowledge_unit_id, segment_index as location, chunk_id from (select *, lag(body_start) over (partition by knowledge_unit_id order by segment_index, chunk_id) as before from (select distinct * exclude (recorded_at) from rag_chunks))
