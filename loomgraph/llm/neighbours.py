@@ -1,8 +1,8 @@
 """The k most similar vectors of every vector: a forest of random-projection trees with exact reranking.
 
-*Index.*  Each tree splits by one projection direction per level and one threshold per node.  Directions
-are differences of random sample vectors, thresholds medians of a bounded sample, so what is sent to the
-executors is a few directions and one number per leaf; every row is indexed.
+*Index.*  Each node of a tree splits by a projection direction of its own and a threshold; below ``OWN`` levels, the nodes of a level
+share one direction, so that what is sent to the executors stays at some hundred directions and one number per node.  Directions
+are differences of two sample vectors of the node, thresholds medians of a bounded sample; every row is indexed.
 *Search.*  Each vector walks all trees at once with one priority queue: the home leaf of each tree has
 priority 0, the other side of a split the largest distance to a split crossed so far, and the nearest
 ``probes`` leaves of all trees together are visited.  The queue runs for a whole Arrow batch in NumPy.
@@ -37,6 +37,8 @@ CLOSE, SPARE = 2e-5, 3
 VISITORS = 10
 LEAF = 2_500
 TREES = 3
+#: Levels whose nodes have directions of their own.
+OWN = 8
 
 
 def pack(x: np.ndarray) -> np.ndarray:
@@ -108,24 +110,33 @@ class Forest:
         self.probes = min(probes or max(self.trees + 1, self.depth), self.trees << self.depth) if self.depth else 1
         rng = np.random.default_rng(seed)
         d, t = self.depth, self.trees
-        self.axes = np.zeros((sample.shape[1], t * d), np.float32)
-        for j in range(t * d):
-            a, b = rng.choice(len(sample), 2, replace=len(sample) < 2)
-            axis = sample[a] - sample[b]
-            if not axis.any():
-                axis = rng.normal(size=sample.shape[1])
-            self.axes[:, j] = axis / np.linalg.norm(axis)
+        own = min(d, OWN)
+        self.shared = (1 << own) - 1  # place of the first shared direction
+        n_axes = self.shared + d - own
+        self.axes = np.zeros((sample.shape[1], t, n_axes), np.float32)
         self.at = np.zeros((t, 2 << d), np.float32)
         self.parts = np.ones((t, 2 << d), np.int64)
-        seen = (sample @ self.axes).reshape(len(sample), t, d)
         for i in range(t):
             node = np.ones(len(sample), np.int64)
             for level in range(d):
-                order = np.lexsort((seen[:, i, level], node))
-                nodes, start, size = np.unique(node[order], return_index=True, return_counts=True)
-                x = seen[order, i, level]
-                self.at[i, nodes] = (x[start + (size - 1) // 2] + x[start + size // 2]) / 2
-                node = node * 2 + (seen[:, i, level] > self.at[i, node])
+                which = self._axis(node, level)
+                axes, first, size = np.unique(which[np.argsort(which, kind="stable")], return_index=True, return_counts=True)
+                members = np.argsort(which, kind="stable")
+                for axis, f, m in zip(axes, first, size):
+                    a, b = members[f + rng.choice(m, 2, replace=m < 2)]
+                    v = sample[a] - sample[b]
+                    if not v.any():
+                        v = rng.normal(size=sample.shape[1])
+                    self.axes[:, i, axis] = v / np.linalg.norm(v)
+                seen = np.empty(len(sample), np.float32)
+                for axis, f, m in zip(axes, first, size):
+                    rows = members[f : f + m]
+                    seen[rows] = sample[rows] @ self.axes[:, i, axis]
+                order = np.lexsort((seen, node))
+                nodes, start, count = np.unique(node[order], return_index=True, return_counts=True)
+                x = seen[order]
+                self.at[i, nodes] = (x[start + (count - 1) // 2] + x[start + count // 2]) / 2
+                node = node * 2 + (seen > self.at[i, node])
             nodes, size = np.unique(node, return_counts=True)
             self.parts[i, nodes] = np.maximum(1, np.ceil(size / len(sample) * n / (2 * leaf)))
         self.blocks = np.ones((t, 2 << d), np.int64)
@@ -134,13 +145,19 @@ class Forest:
             np.add.at(self.blocks, (tree, node), 1)
         self.blocks = np.maximum(1, np.ceil((self.blocks - 1) / len(sample) * n / (VISITORS * leaf))).astype(np.int64)
 
+    def _axis(self, node: np.ndarray, level: int) -> np.ndarray:
+        """Place of the direction by which nodes (numbered from 1, the children of v being 2v and 2v + 1) of a level split."""
+        if level < OWN:
+            return np.minimum(node - 1, self.shared - 1)
+        return np.full(len(node), self.shared + level - OWN)
+
     def visit(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Tree, leaf and priority of the leaves each row visits, nearest first; priority 0 is a home leaf."""
         n, d, t, b = len(x), self.depth, self.trees, self.probes
         if not d:
             zero = np.zeros((n, 1), np.int64)
             return zero, zero + 1, zero.astype(np.float32)
-        seen = (x @ self.axes).reshape(n, t, d)
+        seen = (x @ self.axes.reshape(len(self.axes), -1)).reshape(n, t, -1)
         room = t + b * d
         far = np.full((n, room), np.inf, np.float32)
         node, tree, level = (np.zeros((n, room), np.int64) for _ in range(3))
@@ -153,7 +170,7 @@ class Forest:
             far[rows, j] = np.inf
             for lev in range(d):
                 on = lev >= start
-                gap = seen[rows, i, lev] - self.at[i, v]
+                gap = seen[rows, i, self._axis(v, lev)] - self.at[i, v]
                 right = gap > 0
                 far[:, used] = np.where(on, np.maximum(p, np.abs(gap)), np.inf)
                 node[:, used], tree[:, used], level[:, used] = v * 2 + ~right, i, lev + 1
