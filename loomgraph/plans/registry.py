@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from loomgraph.plans import dealt, planted, retrieval, structure
+from loomgraph.plans import dealt, planted, retrieval, shape, structure
 
-MODULES = [dealt, retrieval, structure, planted]
+MODULES = [dealt, retrieval, structure, planted, shape]
 
 
 def queries() -> dict:
