@@ -132,15 +132,21 @@ def model_conflicts(manifests: dict[str, dict], fields: list[str]) -> list[str]:
     return [f for f in fields if len({repr(m.get(f)) for m in manifests.values()}) > 1]
 
 
-def encode(df: DataFrame, id_col: str, text: str, make: Callable[[], Encoder]) -> DataFrame:
-    """``id_col, embedding``: unit vectors of texts by an encoder that each worker makes once."""
+def encode(df: DataFrame, id_col: str, text: str, make: Callable[[], Encoder], counter: Callable[[], Callable[[str], int]] | None = None, most_tokens: int = 512) -> DataFrame:
+    """``id_col, embedding``: unit vectors of texts by an encoder that each worker makes once.
+
+    With a ``counter``, a text of more than ``most_tokens`` tokens is an error: nothing is cut off silently.
+    """
     kind = df.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = make()
+        encoder, count = make(), counter() if counter else None
         for batch in batches:
             if not batch.num_rows:
                 continue
+            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if count else ():
+                if count(t or "") > most_tokens:
+                    raise ValueError(f"text {i!r} has more than {most_tokens} tokens")
             x = pooled(np.asarray(encoder([t or "" for t in batch.column(1).to_pylist()]), np.float32), batch.num_rows)
             size = np.linalg.norm(x, axis=1, keepdims=True)
             if not (np.isfinite(x).all() and (size > 0).all()):

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from loomgraph.operators.skew import attach
+
 
 SCOPE = ("subject_root", "source_id", "source_volume_id")
 
@@ -69,7 +71,7 @@ def dangling(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     ends = edges.select("edge_id", F.explode(F.array(F.struct(F.lit("source").alias("side"), F.col("source_node_id").alias("node_id")), F.struct(F.lit("target").alias("side"), F.col("target_node_id").alias("node_id")))).alias("x")).select("edge_id", "x.*")
     ends = ends.where("node_id is not null").distinct()
     lost = ends.select("node_id").distinct().join(nodes.select("node_id").distinct(), "node_id", "left_anti")
-    return ends.join(lost, "node_id").select("edge_id", "side", "node_id")
+    return attach(ends, lost, "node_id").select("edge_id", "side", "node_id")
 
 
 #: Which relation may lead from which type to which (fixed values of the data model).
@@ -84,12 +86,9 @@ def layer_violations(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """``edge_id, source_type, target_type, relation`` of edges between known nodes that no rule allows."""
     kinds = nodes.where("node_id is not null").groupBy("node_id").agg(F.min("node_type").alias("kind"))
     rules = edges.sparkSession.createDataFrame(ALLOWED, "source_type string, target_type string, relation string")
-    # rows alike in both ends and relation are typed once per edge id; hot ends are left to the skew join of the planner
-    typed = (
-        edges.select("edge_id", "source_node_id", "target_node_id", normalized_relation().alias("relation")).distinct()
-        .join(kinds.select(F.col("node_id").alias("source_node_id"), F.col("kind").alias("source_type")), "source_node_id")
-        .join(kinds.select(F.col("node_id").alias("target_node_id"), F.col("kind").alias("target_type")), "target_node_id")
-    )
+    typed = edges.select("edge_id", "source_node_id", "target_node_id", normalized_relation().alias("relation")).distinct()
+    for end in ("source", "target"):
+        typed = attach(typed, kinds.select(F.col("node_id").alias(f"{end}_node_id"), F.col("kind").alias(f"{end}_type")), f"{end}_node_id")
     # eight rules
     return typed.join(F.broadcast(rules), ["source_type", "target_type", "relation"], "left_anti").select("edge_id", "source_type", "target_type", "relation").distinct()
 
@@ -110,4 +109,4 @@ def dependency_violations(df: DataFrame, key: str, *depends: str) -> DataFrame:
 def relation_split(edges: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Edges with ``internal``: whether the target is one of the ids."""
     known = ids.select(F.col(key).alias("target_node_id")).where("target_node_id is not null").distinct().withColumn("known", F.lit(True))
-    return edges.join(known, "target_node_id", "left").withColumn("internal", F.coalesce("known", F.lit(False))).drop("known")
+    return attach(edges, known, "target_node_id", how="left").withColumn("internal", F.coalesce("known", F.lit(False))).drop("known")

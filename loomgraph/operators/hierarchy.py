@@ -23,12 +23,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from loomgraph.operators.skew import HOT_ROWS, attach, hot_keys
 from loomgraph.workspace import Workspace
 
 #: Arcs that one task ranks, with the last arcs they lead to; some 50 bytes each and the names of their roots.
 REMAINDER = 250_000
-#: A key with so many rows is hot: what it is joined with is broadcast, and there are at most rows / HOT_ROWS of them.
-HOT_ROWS = 200_000
 SPACE = r"(?U)^[\s\x{FEFF}]+|[\s\x{FEFF}]+$"
 
 
@@ -58,32 +57,16 @@ def rejected_links(edges: DataFrame, relation: str = "contains") -> DataFrame:
     return every.distinct().withColumn("kept_parent", kept).where("parent <> kept_parent")
 
 
-def _hot_keys(df: DataFrame, key: str, hot_rows: int) -> tuple[int, list]:
-    """Number of rows, and the keys of at least ``hot_rows`` of them."""
-    per = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    r = per.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.collect_list(F.when(F.col("n") >= hot_rows, F.col(key))).alias("hot")).first()
-    return r["n"], r["hot"]
-
-
-def _attach(left: DataFrame, right: DataFrame, key: str, hot: list) -> DataFrame:
-    """Inner join with a table whose keys are unique; rows of hot keys stay where they are and get theirs by broadcast."""
-    if not hot:
-        return left.join(right, key)
-    keys = F.broadcast(left.sparkSession.createDataFrame([(k,) for k in hot], left.select(key).schema))
-    warm = left.join(keys, key, "left_semi").join(F.broadcast(right.join(keys, key, "left_semi")), key)
-    return warm.unionByName(left.join(keys, key, "left_anti").join(right.join(keys, key, "left_anti"), key))
-
-
 def peel(links: DataFrame, ws: Workspace, hot_rows: int = HOT_ROWS) -> DataFrame:
     """The nodes on cycles, as ``child, parent``."""
     cur = ws.write(links.select("child", F.col("parent").alias("q")), "peel0")
-    (n, hot), i = _hot_keys(cur, "q", hot_rows), 0
+    (n, hot), i = hot_keys(cur, "q", hot_rows), 0
     while n:
         image = cur.select(F.col("q").alias("child")).distinct()
         step = cur.select(F.col("child").alias("q"), F.col("q").alias("q2"))
         kept = cur.join(image, "child", "left_semi")
-        nxt = ws.write(_attach(kept, step, "q", hot).select("child", F.col("q2").alias("q")), f"peel{i + 1}")
-        left, hot = _hot_keys(nxt, "q", hot_rows)
+        nxt = ws.write(attach(kept, step, "q", hot).select("child", F.col("q2").alias("q")), f"peel{i + 1}")
+        left, hot = hot_keys(nxt, "q", hot_rows)
         ws.discard(f"peel{i}")
         cur, i = nxt, i + 1
         if left == n:

@@ -7,7 +7,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from loomgraph.functions.text import has_private_path, is_safe_relative_path, secrets
 from loomgraph.operators.current import IntegrityError
+from loomgraph.sources.readers import compare_manifest, denied_files
 from loomgraph.workspace import Workspace
 
 
@@ -108,6 +110,27 @@ def field_diff(left: DataFrame, right: DataFrame, key: str, fields: list[str], s
     return a.join(b, key, "full_outer").select(key, one.alias("differing")).where(F.size("differing") > 0)
 
 
+def release_gate(files: DataFrame, manifest: DataFrame, suffixes: list[str], texts: dict[str, tuple[DataFrame, str, list[str]]], most_bytes: int = 10 << 20) -> DataFrame:
+    """Everything that stands against publishing: ``code, location, detail``, empty if nothing does.
+
+    ``files`` and ``manifest`` are compared (name, bytes, sha256), files of denied suffixes or sizes named, and the given columns of
+    ``texts`` (name to table, key, columns) searched for private paths and secrets.
+    """
+    parts = [
+        _rows(compare_manifest(files, manifest), F.col("name"), F.col("problem")).withColumn("code", F.lit("manifest")),
+        _rows(denied_files(files, suffixes, most_bytes), F.col("name"), F.col("why")).withColumn("code", F.lit("denied_file")),
+        _rows(files.where(~is_safe_relative_path(F.col("name"))), F.col("name")).withColumn("code", F.lit("unsafe_path")),
+    ]
+    for name, (df, key, columns) in texts.items():
+        said = F.concat_ws("\n", *columns)
+        parts.append(_rows(df.select(key, F.explode(secrets(said)).alias("found")), F.concat(F.lit(f"{name}:"), F.col(key).cast("string")), F.col("found")).withColumn("code", F.lit("secret")))
+        parts.append(_rows(df.where(has_private_path(said)), F.concat(F.lit(f"{name}:"), F.col(key).cast("string"))).withColumn("code", F.lit("private_path")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select("code", "location", "detail")
+
+
 def against_profile(df: DataFrame, profile: dict[str, object], key: str) -> DataFrame:
     """Where a table departs from what a profile expects of it: ``location, detail``.
 

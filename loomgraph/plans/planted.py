@@ -382,3 +382,31 @@ def eval_regressions(spark, d):
     s = st._by_method(spark, d, "method", "role").cache()
     side = lambda m: s.where(F.col("method") == m).drop("method")
     return E.regressions(side("lexical"), side("dense"), ["role"], ["hit_rate", "mrr", "rank1_rate"])
+
+
+@query(f"""{st._EVAL}, a as (select query, list(id order by case when query % 40 = 0 and rank in (1, 2) then 3 - rank else rank end) as stored from run where rank <= 5 and (query % 100 <> 0 or rank <= 3) group by 1),
+  b as (select query, list(id order by rank) as recomputed from run where rank <= 5 group by 1)
+  select query, stored, recomputed from a full join b using (query) where stored is distinct from recomputed""")
+def replay_planted(spark, d):
+    """Stored rankings against recomputed ones; some of the stored were changed at their head or cut short."""
+    again = st._lexical_run(spark, d)
+    swapped = F.when((F.col("query") % 40 == 0) & F.col("rank").isin(1, 2), 3 - F.col("rank")).otherwise(F.col("rank"))
+    stored = again.where((F.col("query") % 100 != 0) | (F.col("rank") <= 3)).withColumn("rank", swapped)
+    return E.replay_diff(stored, again, ["query"])
+
+
+@query("""with f as (select distinct source_volume_id || case when source_id < 'K' then '.txt' else '.bin' end as name, length(source_volume_id) as bytes, sha256(source_volume_id) as h from kg_nodes where node_type = 'source_volume' and source_volume_id is not null),
+  m as (select name, bytes + case when ends_with(name, 's-1.txt') then 1 else 0 end as bytes, h from f where not name like '%k%' union all select 'gone.txt', 1, 'x')
+  select 'manifest' as code, coalesce(f.name, m.name) as location, case when f.name is null then 'missing' when m.name is null then 'extra' when f.bytes <> m.bytes then 'size' end as detail from f full join m on f.name = m.name where f.name is null or m.name is null or f.bytes <> m.bytes
+  union all select 'denied_file', name, 'suffix' from f where name like '%.bin'
+  union all select 'unsafe_path', name, null from f where regexp_matches(name, '^[/\\\\]|^[A-Za-z]:|(?:^|[/\\\\])\\.\\.(?:[/\\\\]|$)')
+  """ + "".join(f" union all select 'secret', 'documents:' || doc_id, '{name}' from {_TAINTED} where regexp_matches(text, {st._quoted(rx)})" for name, rx in T.SECRETS.items())
+  + f" union all select 'private_path', 'documents:' || doc_id, null from {_TAINTED} where regexp_matches(text, {st._quoted(T.PRIVATE_PATH)})")
+def release_gate_planted(spark, d):
+    """The gate before publishing, on files named after the volumes and on texts with secrets put in."""
+    v = table(spark, d, "kg_nodes").where("node_type = 'source_volume' and source_volume_id is not null")
+    name = F.concat("source_volume_id", F.when(F.col("source_id") < "K", ".txt").otherwise(".bin"))
+    f = v.select(name.alias("name"), F.length("source_volume_id").cast("bigint").alias("bytes"), F.sha2("source_volume_id", 256).alias("sha256")).distinct()
+    m = f.where("name not like '%k%'").withColumn("bytes", F.col("bytes") + F.when(F.col("name").endswith("s-1.txt"), 1).otherwise(0))
+    m = m.unionByName(spark.createDataFrame([("gone.txt", 1, "x")], "name string, bytes bigint, sha256 string"))
+    return R.release_gate(f, m, [".bin"], {"documents": (_tainted(spark, d), "doc_id", ["text"])})

@@ -241,3 +241,24 @@ def test_matrix_parts_are_put_together(spark, tmp_path):
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "k int, embedding array<float>").repartition(9)
     assert writers.export_f32_matrix(df, f"{tmp_path}/m.f32", "k") == 500
     assert (tmp_path / "m.f32").read_bytes() == x.tobytes() and not (tmp_path / "m.f32.parts").exists()
+
+
+def test_hot_keys_are_broadcast_to_the_same_result(spark):
+    from loomgraph.operators.skew import attach, hot_keys
+
+    left = spark.createDataFrame([(f"e{i}", "hub" if i % 3 == 0 else f"k{i % 50}" if i % 7 else None) for i in range(900)], "e string, k string")
+    right = spark.createDataFrame([("hub", 1), ("nobody", 2)] + [(f"k{i}", i) for i in range(0, 50, 2)], "k string, v int")
+    assert hot_keys(left, "k", 100)[1] == ["hub"]
+    for how in ("inner", "left"):
+        want = sorted(map(str, left.join(right, "k", how).select("e", "k", "v").collect()))
+        assert sorted(map(str, attach(left, right, "k", how=how, hot_rows=100).select("e", "k", "v").collect())) == want
+        assert sorted(map(str, attach(left, right, "k", how=how).select("e", "k", "v").collect())) == want
+
+
+def test_too_long_texts_are_not_encoded(spark):
+    df = spark.createDataFrame([("a", "x y"), ("b", "x y z")], "k string, t string")
+    make = lambda: lambda texts: np.ones((len(texts), 3))
+    words = lambda: lambda t: len(t.split())
+    assert D.encode(df, "k", "t", make, words, 3).count() == 2
+    with pytest.raises(Exception, match="more than 2 tokens"):
+        D.encode(df, "k", "t", make, words, 2).collect()
