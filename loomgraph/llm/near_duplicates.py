@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from loomgraph.operators.skew import attach
 from loomgraph.workspace import Workspace
 
 #: Min-hashes, made in so many passes: a pass gives each shingle to one of its bins, and each bin keeps its least.  With few bins a
@@ -318,7 +319,8 @@ def _swept(rows: DataFrame, n_rows: int, low: int, most: int, ws: Workspace, lev
     """Candidate pairs ``a, b`` of sorted orders, and their crowded rows ``home, cid``."""
     spark = rows.sparkSession
     parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), n_rows // (8 * most)), n_rows // 1_000_000)
-    ordered = rows.repartitionByRange(parts, "home", "label").sortWithinPartitions("home", "label")
+    # with the content as last key, rows of one label spread over as many tasks as they fill
+    ordered = rows.repartitionByRange(parts, "home", "label", "cid").sortWithinPartitions("home", "label", "cid")
     swept = ws.write(ordered.mapInArrow(lambda batches: _sweep(batches, low, most), _FOUND), f"swept{level}")
     # one row per partition
     size = {r["part"]: r["place"] for r in swept.where(F.col("kind") == _SIZE).select("part", "place").collect()}
@@ -354,7 +356,7 @@ def _blocks(crowded: DataFrame, signed: DataFrame, most: int) -> DataFrame:
     size = crowded.groupBy("home").count()
     blocks = F.ceil(F.col("count") / most).cast("int")
     own = F.pmod(F.xxhash64("cid"), blocks).cast("int")
-    grid = crowded.join(size, "home").join(signed.select("cid", "s0", "s1"), "cid").select("home", "cid", "s0", "s1", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    grid = attach(crowded, size, "home").join(signed.select("cid", "s0", "s1"), "cid").select("home", "cid", "s0", "s1", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
     a, b = F.least("own", "other"), F.greatest("own", "other")
     side = F.when(a == b, -1).otherwise(F.when(F.col("own") == a, 0).otherwise(1)).cast("int")
     return grid.select(F.xxhash64("home", a, b).alias("region"), side.alias("side"), "cid", "s0", "s1")

@@ -133,3 +133,15 @@ def test_signatures_agree_as_texts_do():
             x = rng.integers(0, 1 << 63, n + n // 4, dtype=np.uint64)
             shares.append((N.signature(x[: n]) == N.signature(x[n // 4 :])).mean())
         assert abs(np.mean(shares) - 0.6) < 0.03
+
+
+def test_one_label_of_a_third_of_all_rows_is_spread(spark):
+    """Rows that share a whole label fill several sorted partitions, and all of them are found crowded."""
+    n, most = 3000, 8
+    label = [7 if i % 3 == 0 else i * 65_536 * 65_536 for i in range(n)]
+    rows = spark.createDataFrame([(0, label[i], i, 0, 0) for i in range(n)], N._ORDER)
+    ws = Workspace(spark, "t")
+    pairs, left = N._swept(rows, 8 * most * 4, N.SHARED, most, ws, 0)
+    assert {r.cid for r in left.collect()} == set(range(0, n, 3)) and len({r.home for r in left.collect()}) == 1
+    sizes = [r.place for r in spark.read.parquet(f"{ws.root}/swept0").where("kind = 2").collect()]
+    assert len(sizes) == 4 and max(sizes) < 1.5 * n / 4
