@@ -15,8 +15,16 @@ from loomgraph.workspace import Workspace
 
 @dataclass(frozen=True)
 class Rule:
+    """``check`` gives the violations; ``row`` is set for rules on single rows: table, key and condition."""
+
     code: str
     check: Callable[[dict[str, DataFrame]], DataFrame]
+    row: tuple[str, str, Callable[[], Column]] | None = None
+
+
+def row_rule(code: str, table: str, key: str, holds: Callable[[], Column]) -> Rule:
+    """A condition on single rows; a report looks at each row once for all such rules of its table."""
+    return Rule(code, lambda t: predicate(t[table], key, holds()), (table, key, holds))
 
 
 def _rows(df: DataFrame, location: Column, detail: Column | None = None) -> DataFrame:
@@ -79,11 +87,19 @@ def ordered(df: DataFrame, position: str, value: str, parts: str | None = None)
 
 
 def report(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:
-    """All violations of all rules."""
-    out = None
+    """All violations of all rules; rules on single rows of a table share one pass over it."""
+    parts, shared = [], {}
     for r in rules:
-        one = r.check(tables).withColumn("code", F.lit(r.code)).select("code", "location", "detail")
-        out = one if out is None else out.unionByName(one)
+        if r.row:
+            shared.setdefault(r.row[:2], []).append(r)
+        else:
+            parts.append(r.check(tables).withColumn("code", F.lit(r.code)).select("code", "location", "detail"))
+    for (table, key), own in shared.items():
+        broken = F.array_compact(F.array(*[F.when(~F.coalesce(r.row[2](), F.lit(False)), F.lit(r.code)) for r in own]))
+        parts.append(tables[table].select(F.explode(broken).alias("code"), F.col(key).cast("string").alias("location"), F.lit(None).cast("string").alias("detail")))
+    out = parts[0]
+    for one in parts[1:]:
+        out = out.unionByName(one)
     return out
 
 

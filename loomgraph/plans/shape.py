@@ -47,22 +47,19 @@ _SQL = f"with {NODES} " + " union all ".join(
 )
 
 
+#: The same conditions as rules.
+RULES = [R.row_rule(code, name, key, lambda c=cond: F.expr(c)) for (name, key), rules in CONDITIONS.items() for code, cond in rules.items()]
+
+
 def shape_report(spark, d):
     """Violations of all conditions; each table is read once, whatever the number of its rules."""
-    out = None
-    for (name, key), rules in CONDITIONS.items():
-        df = nodes(spark, d) if name == "nodes" else table(spark, d, name)
-        broken = F.array_compact(F.array(*[F.when(~F.coalesce(F.expr(cond), F.lit(False)), F.lit(code)) for code, cond in rules.items()]))
-        one = df.select(F.explode(broken).alias("code"), F.col(key).cast("string").alias("location"))
-        out = one if out is None else out.unionByName(one)
-    return out
+    tables = {name: nodes(spark, d) if name == "nodes" else table(spark, d, name) for name, _ in CONDITIONS}
+    return R.report(tables, RULES).select("code", "location")
 
 
 def shape_summary(spark, d):
     return shape_report(spark, d).groupBy("code").agg(F.count(F.lit(1)).alias("n"))
 
 
-#: The same conditions as rules, for :func:`loomgraph.operators.integrity.demand`.
-RULES = [R.Rule(code, lambda t, n=name, k=key, c=cond: R.predicate(t[n], k, F.expr(c))) for (name, key), rules in CONDITIONS.items() for code, cond in rules.items()]
 QUERIES = {"shape_report": shape_report, "shape_summary": shape_summary}
 ORACLES = {"shape_report": _SQL, "shape_summary": f"select code, count(*) as n from ({_SQL}) group by 1"}

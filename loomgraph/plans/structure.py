@@ -445,46 +445,46 @@ NODE_TYPES = ("subject_root", "source_volume", "chapter", "section", "support_un
 RELATIONS = ("contains", "supported_by", "has_chapter_context", "related_to")
 
 RULES = [
-    R.Rule("unit_id_present", lambda t: R.predicate(t["units"], "node_id", F.col("knowledge_unit_id").isNotNull())),
-    R.Rule("unit_is_node", lambda t: R.predicate(t["units"], "knowledge_unit_id", F.col("knowledge_unit_id") == F.col("node_id"))),
-    R.Rule("unit_text_present", lambda t: R.predicate(t["units"], "knowledge_unit_id", ~T.is_blank(F.col("text")))),
-    R.Rule("unit_title_present", lambda t: R.predicate(t["units"], "knowledge_unit_id", F.length("title") > 0)),
-    R.Rule("unit_hash_shape", lambda t: R.predicate(t["units"], "knowledge_unit_id", T.is_sha256(F.col("text_sha256")))),
+    R.row_rule("unit_id_present", "units", "node_id", lambda: F.col("knowledge_unit_id").isNotNull()),
+    R.row_rule("unit_is_node", "units", "knowledge_unit_id", lambda: F.col("knowledge_unit_id") == F.col("node_id")),
+    R.row_rule("unit_text_present", "units", "knowledge_unit_id", lambda: ~T.is_blank(F.col("text"))),
+    R.row_rule("unit_title_present", "units", "knowledge_unit_id", lambda: F.length("title") > 0),
+    R.row_rule("unit_hash_shape", "units", "knowledge_unit_id", lambda: T.is_sha256(F.col("text_sha256"))),
     R.Rule("unit_hash", lambda t: R.hash_matches(t["units"], "knowledge_unit_id", "text", "text_sha256")),
     R.Rule("unit_repeated", lambda t: R.unique(t["units"], "knowledge_unit_id")),
-    R.Rule("unit_chain_id", lambda t: R.predicate(t["units"], "knowledge_unit_id", F.substring_index("source_chain_id", ":", -1) == F.col("source_id"))),
-    R.Rule("unit_applicability", lambda t: R.predicate(t["units"], "knowledge_unit_id", F.forall("applicability", lambda x: F.length(x) > 0))),
+    R.row_rule("unit_chain_id", "units", "knowledge_unit_id", lambda: F.substring_index("source_chain_id", ":", -1) == F.col("source_id")),
+    R.row_rule("unit_applicability", "units", "knowledge_unit_id", lambda: F.forall("applicability", lambda x: F.length(x) > 0)),
     R.Rule("chunk_repeated", lambda t: R.unique(t["chunks"], "chunk_id")),
     R.Rule("chunk_unit_known", lambda t: R.refers(t["chunks"], "chunk_id", "knowledge_unit_id", t["units"], "knowledge_unit_id")),
-    R.Rule("chunk_id_form", lambda t: R.predicate(t["chunks"], "chunk_id", F.col("chunk_id").rlike(r"\A.+:chunk:[0-9]{3}\z"))),
-    R.Rule("chunk_interval", lambda t: R.predicate(t["chunks"], "chunk_id", (F.col("body_start") >= 0) & (F.col("body_end") > F.col("body_start")))),
+    R.row_rule("chunk_id_form", "chunks", "chunk_id", lambda: F.col("chunk_id").rlike(r"\A.+:chunk:[0-9]{3}\z")),
+    R.row_rule("chunk_interval", "chunks", "chunk_id", lambda: (F.col("body_start") >= 0) & (F.col("body_end") > F.col("body_start"))),
     R.Rule("map_unit_known", lambda t: R.refers(t["map"], "chunk_id", "knowledge_unit_id", t["units"], "knowledge_unit_id")),
     R.Rule("edge_source_known", lambda t: R.refers(t["edges"], "edge_id", "source_node_id", t["nodes"], "node_id")),
     R.Rule("edge_target_known", lambda t: R.refers(t["edges"], "edge_id", "target_node_id", t["nodes"], "node_id")),
-    R.Rule("edge_id_form", lambda t: R.predicate(t["edges"], "edge_id", F.col("edge_id").startswith("edge:"))),
+    R.row_rule("edge_id_form", "edges", "edge_id", lambda: F.col("edge_id").startswith("edge:")),
     R.Rule("vector_chunk_known", lambda t: R.refers(t["manifest"], "row", "chunk_id", t["chunks"], "chunk_id")),
-    R.Rule("vector_valid", lambda t: R.predicate(t["matrix"], "row", V.is_valid(F.col("embedding"), 512))),
-    R.Rule("chunk_segment_index", lambda t: R.predicate(t["chunks"], "chunk_id", (F.col("segment_index") >= 0) & (F.coalesce("segment_count", F.col("segment_index") + 1) > F.col("segment_index")))),
-    R.Rule("chunk_token_count", lambda t: R.predicate(t["chunks"], "chunk_id", F.col("token_count") > 0)),
-    R.Rule("chunk_hash_shape", lambda t: R.predicate(t["chunks"], "chunk_id", T.is_sha256(F.lower("full_text_sha256")))),
-    R.Rule("chunk_within_text", lambda t: R.predicate(t["chunks"].join(t["texts"], "knowledge_unit_id"), "chunk_id", F.col("body_end") <= F.col("length"))),
-    R.Rule("chunk_title", lambda t: R.predicate(t["chunks"].join(t["texts"], "knowledge_unit_id"), "chunk_id", F.col("title").eqNullSafe(F.col("unit_title")))),
-    R.Rule("chunk_text_hash", lambda t: R.predicate(t["chunks"].join(t["texts"], "knowledge_unit_id"), "chunk_id", F.lower("full_text_sha256") == F.col("hash"))),
+    R.row_rule("vector_valid", "matrix", "row", lambda: V.is_valid(F.col("embedding"), 512)),
+    R.row_rule("chunk_segment_index", "chunks", "chunk_id", lambda: (F.col("segment_index") >= 0) & (F.coalesce("segment_count", F.col("segment_index") + 1) > F.col("segment_index"))),
+    R.row_rule("chunk_token_count", "chunks", "chunk_id", lambda: F.col("token_count") > 0),
+    R.row_rule("chunk_hash_shape", "chunks", "chunk_id", lambda: T.is_sha256(F.lower("full_text_sha256"))),
+    R.row_rule("chunk_within_text", "chunk_texts", "chunk_id", lambda: F.col("body_end") <= F.col("length")),
+    R.row_rule("chunk_title", "chunk_texts", "chunk_id", lambda: F.col("title").eqNullSafe(F.col("unit_title"))),
+    R.row_rule("chunk_text_hash", "chunk_texts", "chunk_id", lambda: F.lower("full_text_sha256") == F.col("hash")),
     R.Rule("chunk_segment_count", lambda t: R.predicate(t["chunks"].where("segment_count is not null").join(t["chunks"].groupBy("knowledge_unit_id").agg(F.count_distinct("chunk_id").alias("held")), "knowledge_unit_id"), "chunk_id", F.col("segment_count") == F.col("held"))),
     R.Rule("map_matches_chunks", lambda t: R.same_sets(t["chunks"].where("chunk_id is not null"), t["map"].where("chunk_id is not null"), ["chunk_id"])),
-    R.Rule("manifest_hash_shape", lambda t: R.predicate(t["manifest"], "row", T.is_sha256(F.col("input_sha256")) & T.is_sha256(F.col("vector_sha256")))),
+    R.row_rule("manifest_hash_shape", "manifest", "row", lambda: T.is_sha256(F.col("input_sha256")) & T.is_sha256(F.col("vector_sha256"))),
     R.Rule("manifest_row_repeated", lambda t: R.unique(t["manifest"], "row")),
     R.Rule("manifest_matches_matrix", lambda t: R.same_sets(t["manifest"].where("row is not null"), t["matrix"].where("row is not null"), ["row"])),
-    R.Rule("node_type_known", lambda t: R.predicate(t["nodes"], "node_id", F.col("node_type").isin(*NODE_TYPES))),
+    R.row_rule("node_type_known", "nodes", "node_id", lambda: F.col("node_type").isin(*NODE_TYPES)),
     R.Rule("node_label_present", lambda t: R.predicate(t["nodes"].where("node_type <> 'evidence'"), "node_id", ~T.is_blank(F.col("label")))),
     R.Rule("node_chapter_number", lambda t: R.predicate(t["nodes"].where("node_type = 'chapter'"), "node_id", F.col("chapter_number") >= 1)),
     R.Rule("node_of_unit", lambda t: R.predicate(t["nodes"].where("node_type in ('knowledge_unit', 'support_unit')"), "node_id", F.col("knowledge_unit_id") == F.col("node_id"))),
     R.Rule("node_repeated", lambda t: R.unique(t["nodes"].select("node_id", "node_type", "recorded_at").distinct(), "node_id")),
-    R.Rule("edge_relation_known", lambda t: R.predicate(t["edges"], "edge_id", G.normalized_relation().isin(*RELATIONS))),
+    R.row_rule("edge_relation_known", "edges", "edge_id", lambda: G.normalized_relation().isin(*RELATIONS)),
     R.Rule("edge_no_loop", lambda t: R.predicate(t["edges"].where("target_node_id is not null"), "edge_id", F.col("source_node_id") != F.col("target_node_id"))),
     R.Rule("edge_id_of_ends", lambda t: R.predicate(t["edges"].where("target_node_id is not null"), "edge_id", F.col("edge_id").startswith(F.concat(F.lit("edge:"), "source_node_id", F.lit(":"), G.normalized_relation(), F.lit(":"), "target_node_id")))),
     R.Rule("edge_link_repeated", lambda t: R.unique(t["edges"].withColumn("relation", G.normalized_relation()).select("edge_id", "source_node_id", "relation", "target_node_id").where("source_node_id is not null and target_node_id is not null").distinct(), "source_node_id", "relation", "target_node_id")),
-    R.Rule("external_complete", lambda t: R.predicate(t["external"], "reference_id", F.col("target_project").isNotNull() & F.col("target_node_id").isNotNull() & F.col("relation").isNotNull())),
+    R.row_rule("external_complete", "external", "reference_id", lambda: F.col("target_project").isNotNull() & F.col("target_node_id").isNotNull() & F.col("relation").isNotNull()),
     R.Rule("external_from_known", lambda t: R.refers(t["external"], "reference_id", "from_knowledge_unit_id", t["units"], "knowledge_unit_id")),
     R.Rule("external_stays_external", lambda t: R.predicate(t["external"].where("target_node_id is not null").join(t["nodes"].select(F.col("node_id").alias("target_node_id")).distinct(), "target_node_id", "left_semi"), "reference_id", F.lit(False))),
     R.Rule("evidence_known", lambda t: R.refers(t["units"].select("knowledge_unit_id", F.explode("evidence_refs").alias("ref")), "knowledge_unit_id", "ref", t["nodes"], "node_id")),
@@ -533,7 +533,8 @@ _REPORT = f"with {NODES}, {UNITS} " + "\nunion all ".join(
 def validation_report(spark, d):
     u = units(spark, d)
     texts = u.select("knowledge_unit_id", F.col("title").alias("unit_title"), F.length("text").alias("length"), F.sha2("text", 256).alias("hash"))
-    return R.report({k: table(spark, d, t) for k, t in _TABLES.items()} | {"nodes": nodes(spark, d), "texts": texts}, RULES)
+    held = {k: table(spark, d, t) for k, t in _TABLES.items()} | {"nodes": nodes(spark, d)}
+    return R.report(held | {"chunk_texts": held["chunks"].join(texts, "knowledge_unit_id")}, RULES)
 
 
 @query(_REPORT.replace("with nodes", "with r as (with nodes", 1) + ") select code, count(*) as n from r group by 1")
