@@ -127,9 +127,9 @@ def test_tables_are_released(spark):
     import glob
 
     root = workspace.shared_dir(spark).removeprefix("file://")
-    before = set(glob.glob(f"{root}/loomgraph/*/*"))
+    before = set(glob.glob(f"{root}/loomgraph/hierarchy-*/*"))
     with workspace.released():
         h = found(spark, [("a", "b"), ("b", "c")])
-        assert {p.rsplit("/", 1)[1] for p in set(glob.glob(f"{root}/loomgraph/*/*")) - before} == {"hierarchy"}
+        assert {p.rsplit("/", 1)[1] for p in set(glob.glob(f"{root}/loomgraph/hierarchy-*/*")) - before} == {"hierarchy"}
         assert h.count() == 2
-    assert set(glob.glob(f"{root}/loomgraph/*/*")) == before
+    assert set(glob.glob(f"{root}/loomgraph/hierarchy-*/*")) == before

@@ -44,8 +44,9 @@ def test_bm25_against_plain_python(spark):
 
 def test_similarities_skip_invalid_and_keep_ties(spark):
     v = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [1.0, 0.0]), (4, None), (5, [1.0]), (6, [float("nan"), 1.0]), (7, [0.0, 0.0])], "id int, e array<float>")
-    got = D.similarities(v, "id", "e", v.where("id in (1, 4)"), "id", "e", k=1).collect()
-    assert {(r.query, r.doc) for r in got} >= {(1, 1), (1, 3)} and all(r.query == 1 for r in got)
+    got = D.top(v, "id", "e", v.where("id in (1, 4)"), "id", "e", 2).collect()
+    assert {(r.query, r.doc, r.rank) for r in got} == {(1, 1, 1), (1, 3, 2)}
+    assert {r.doc for r in D.similarities(v, "id", "e", v.where("id in (1, 4)"), "id", "e").collect()} == {1, 2, 3, 7}
     assert D.similarities(v, "id", "e", v.where("id = 99"), "id", "e").count() == 0
     blocks = D.similarities(v, "id", "e", v.where("id in (1, 2, 3)"), "id", "e", block=2)
     assert blocks.count() == 3 * 4
