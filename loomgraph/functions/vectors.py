@@ -23,3 +23,10 @@ def normalized(a: Column) -> Column:
     """Unit vector; null for a zero vector."""
     n = norm(a)
     return F.when(n > 0, F.transform(a, lambda x: (x.cast("double") / n).cast("float")))
+
+
+def is_unit(a: Column, tolerance: float = 1e-5) -> Column:
+    """Whether the length is 1 within a tolerance above 0 and of at most 1e-5; null for a null vector."""
+    if not 0 < tolerance <= 1e-5:
+        raise ValueError("a tolerance lies above 0 and is 1e-5 at most")
+    return F.abs(norm(a) - 1) <= tolerance

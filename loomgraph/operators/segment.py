@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from loomgraph.functions.text import IDEOGRAPHS, LATIN, embedding_text
+from loomgraph.functions.text import IDEOGRAPHS, LATIN, embedding_text, tokens
 
 #: Characters after which a segment may end (fixed values).
 ENDS = frozenset("。！？!?；;.\n")
@@ -105,6 +105,20 @@ def chunk_rows(units: DataFrame, segments: DataFrame) -> DataFrame:
     )
 
 
+def whole_chunk_rows(units: DataFrame, segments: DataFrame) -> DataFrame:
+    """Chunk rows that carry a copy of all fields of their unit, and the number of tokens of what is embedded.
+
+    ``segments`` may bring a ``token_count`` of a model's tokenizer; else the engine's own tokens are counted.  The unit's text and the fields that a
+    chunk names itself stay with the unit in ``knowledge_unit``.
+    """
+    rows = chunk_rows(units, segments.drop("token_count"))
+    whole = units.select("knowledge_unit_id", F.struct(*units.columns).alias("knowledge_unit"))
+    rows = rows.join(whole, "knowledge_unit_id").withColumn("embedding_text", F.col("search_text"))
+    if "token_count" in segments.columns:
+        return rows.join(segments.select("knowledge_unit_id", "segment_index", "token_count"), ["knowledge_unit_id", "segment_index"])
+    return rows.withColumn("token_count", F.size(tokens(F.col("search_text"))))
+
+
 def coverage(segments: DataFrame, key: str, start: str = "body_start", end: str = "body_end") -> DataFrame:
     """Each segment with the furthest end before it: ``prev_end`` (0 at first), ``gap`` and ``overlap``."""
     w = Window.partitionBy(key).orderBy(start, end).rowsBetween(Window.unboundedPreceding, -1)

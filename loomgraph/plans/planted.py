@@ -8,11 +8,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from loomgraph.functions import arrays as A, text as T, vectors as V
-from loomgraph.operators import evaluate as E, graph as G, integrity as R, segment as S
+from loomgraph.operators import evaluate as E, graph as G, identity as I, integrity as R, segment as S
 from loomgraph.operators.hierarchy import rejected_links
 from loomgraph.operators.search import Searcher
 from loomgraph.plans import structure as st
-from loomgraph.plans.retrieval import BEST, CHUNKS, UNITS, VECTORS, WAYS, _DENSE, _RANKED, both_ways, bm25_sql, chunk_vectors, chunks, units
+from loomgraph.plans.retrieval import BEST, CHUNKS, TOKENS, UNITS, VECTORS, WAYS, _DENSE, _RANKED, both_ways, bm25_sql, chunk_vectors, chunks, units
 from loomgraph.workspace import table
 
 QUERIES, ORACLES = {}, {}
@@ -276,6 +276,51 @@ def profile_departures(spark, d):
     return R.against_profile(n, {"rows": 7, "ids": [*first, "nowhere"]}, "node_id")
 
 
+@query("""select distinct "row", abs(sqrt(list_dot_product(e, e)) - 1) <= 0.00001 as unit from (select "row", embedding::double[] as e from vector_matrix where len(embedding) = 512 and list_count(embedding) = 512 and len(list_filter(embedding, lambda y: not isfinite(y))) = 0)""")
+def unit_vectors(spark, d):
+    """Which vectors have length 1 within the strictest tolerance."""
+    e = F.col("embedding")
+    whole = F.coalesce((F.size(e) == 512) & F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))), F.lit(False))
+    return table(spark, d, "vector_matrix").where(whole).select("row", V.is_unit(e).alias("unit")).distinct()
+
+
+@query(f"""with {UNITS}, {st._PAGES}, s as (select source_id, knowledge_unit_id, lo, hi, max(hi) over (partition by source_id order by lo, hi, knowledge_unit_id rows between unbounded preceding and 1 preceding) as prev from spans where hi >= lo)
+  select source_id, knowledge_unit_id, case when lo <= coalesce(prev, 0) then 'overlap' else 'gap' end as kind, least(coalesce(prev, 0) + 1, lo)::int as first, (case when lo <= coalesce(prev, 0) then least(prev, hi) else lo - 1 end)::int as last from s where lo <> coalesce(prev, 0) + 1""")
+def page_cover(spark, d):
+    """Where the page spans of a source's units don't follow one another without a gap or an overlap: the book is to be covered once."""
+    w = Window.partitionBy("source_id").orderBy("lo", "hi", "knowledge_unit_id").rowsBetween(Window.unboundedPreceding, -1)
+    s = st._pages(spark, d).where("hi >= lo").withColumn("prev", F.coalesce(F.max("hi").over(w), F.lit(0))).where("lo <> prev + 1")
+    over = F.col("lo") <= F.col("prev")
+    return s.select("source_id", "knowledge_unit_id", F.when(over, "overlap").otherwise("gap").alias("kind"), F.least(F.col("prev") + 1, F.col("lo")).alias("first"), F.when(over, F.least("prev", "hi")).otherwise(F.col("lo") - 1).alias("last"))
+
+
+@query(f"""with recursive {UNITS}, src as (select knowledge_unit_id as id, text from units where text is not null and text <> ''), {st.SEGMENTS},
+  c as (select id, i, s, e, u.*, concat_ws(chr(10), coalesce(u.title, ''), substr(seg.text, s + 1, e - s), coalesce(array_to_string(u.applicability, chr(10)), '')) as search_text from seg join units u on u.knowledge_unit_id = id)
+  select format('{{}}:chunk:{{:03d}}', id, i + 1) as chunk_id, len({TOKENS % 'search_text'})::int as token_count, sha256(search_text) as embedding_sha256, node_id, source_chain_id, len(evidence_refs)::int as n_evidence, sha256(text) as unit_sha256,
+    i::int as segment_index, (count(*) over (partition by id))::int as segment_count from c""")
+def chunk_rows_whole(spark, d):
+    """Chunks with their units' fields and the number of tokens."""
+    u = units(spark, d)
+    rows = S.whole_chunk_rows(u, S.segment(u, "knowledge_unit_id", "text", 400))
+    k = F.col("knowledge_unit")
+    return rows.select(
+        "chunk_id", "token_count", F.sha2("embedding_text", 256).alias("embedding_sha256"), k["node_id"].alias("node_id"), k["source_chain_id"].alias("source_chain_id"),
+        F.when(k["evidence_refs"].isNotNull(), F.size(k["evidence_refs"])).alias("n_evidence"), F.sha2(k["text"], 256).alias("unit_sha256"), "segment_index", "segment_count",
+    )
+
+
+_CANONICAL = st.ORACLES["canonical_json"]
+
+
+@query(f"""with lines as ({_CANONICAL}), leaves as (select distinct ('0x' || substr(sha256(knowledge_unit_id), 1, 3))::int % 4096 as bucket, knowledge_unit_id || chr(9) || sha256(line) as leaf from lines where knowledge_unit_id is not null),
+  b as (select bucket, count(*) as n, sha256(array_to_string(list(leaf order by leaf), chr(10))) as h from leaves group by 1)
+  select sum(n)::bigint as n, sha256(array_to_string(list(h order by bucket), chr(10))) as root from b""")
+def canonical_root(spark, d):
+    """The root over the canonical JSON of all rows of a table, as a bundle's manifest holds it."""
+    u = table(spark, d, "knowledge_units").where("knowledge_unit_id is not null")
+    return I.corpus_identity(u, "knowledge_unit_id", I.canonical_json(u))
+
+
 @query(None)
 def segment_tokens(spark, d):
     """Units cut under a budget of tokens of what is embedded: title, segment and applicability."""
