@@ -12,8 +12,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from loomgraph.operators.lexical import best_again, ranked
-from loomgraph.operators.ranking import TILE, Best
+from loomgraph.operators.lexical import Blocks, best_of, ranks_of
+from loomgraph.operators.ranking import TILE
 
 #: Elements of a query block, at most; more queries are answered block after block.
 BLOCK_ELEMENTS = 16_000_000
@@ -88,35 +88,42 @@ def similarities(vectors: DataFrame, id_col: str, embedding: str, queries: DataF
     return out
 
 
+class Dense:
+    """Queries against vectors, prepared once: blocks of queries as matrices."""
+
+    def __init__(self, vectors: DataFrame, id_col: str, embedding: str, queries: DataFrame, query: str, query_embedding: str, unit: str | None = None, digits: int = 9, cosine: bool = False, block: int = BLOCK_ELEMENTS):
+        self.spark, self.digits = vectors.sparkSession, digits
+        self.kinds = tuple(df.schema[c].dataType.simpleString() for df, c in ((queries, query), (vectors, id_col), (vectors, unit or id_col)))
+        self.rows = vectors.select(F.col(id_col).alias("doc"), F.col(unit or id_col).alias("unit"), F.col(embedding).alias("embedding"))
+        self.scorers = []
+        for dim, names, q in _blocks(queries, query, query_embedding, cosine, block):
+            self.scorers.append((names, _scorer(self.spark.sparkContext.broadcast(q), dim, cosine)))
+
+    def top(self, k: int | None) -> DataFrame:
+        """See :func:`top`."""
+        return best_of(self.spark, self.rows, self.scorers, self.kinds, k, self.digits, False)
+
+    def ranks(self, wanted: DataFrame) -> DataFrame:
+        """See :func:`loomgraph.operators.lexical.ranks_of`."""
+        return ranks_of(self.spark, self.rows, self.scorers, self.kinds, wanted, self.digits, False)
+
+
+def _scorer(shared, dim: int, cosine: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Blocks:
+        q = shared.value
+        for batch, x, at in _tiles(batches, 2, dim, len(q), cosine):
+            yield x @ q.T, batch.column(0).take(at), batch.column(1).take(at)
+
+    return run
+
+
 def top(vectors: DataFrame, id_col: str, embedding: str, queries: DataFrame, query: str, query_embedding: str, k: int | None, unit: str | None = None, digits: int = 9, cosine: bool = False, block: int = BLOCK_ELEMENTS) -> DataFrame:
     """``query, doc, unit, score, rank`` of the best ``k`` vectors, or of the best vectors of the best ``k`` units, of each query; None ranks all.
 
     Order: highest score to ``digits`` digits, then smallest unit; of a unit the best vector, then the smallest id.  What takes part is as in
     :func:`similarities`.  Each task keeps the best k per query while tiles of bounded size pass by; that is all that is shuffled.
     """
-    spark = vectors.sparkSession
-    q_type = queries.schema[query].dataType.simpleString()
-    d_type, u_type = (vectors.schema[c].dataType.simpleString() for c in (id_col, unit or id_col))
-    schema = f"query {q_type}, doc {d_type}, unit {u_type}, score double"
-    out = spark.createDataFrame([], schema)
-    for dim, names, q in _blocks(queries, query, query_embedding, cosine, block):
-        shared = spark.sparkContext.broadcast((names, q))
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared, dim=dim) -> Iterator[pa.RecordBatch]:
-            names, q = shared.value
-            best, kinds = Best(k, digits, False), None
-            for batch, x, at in _tiles(batches, 2, dim, len(q), cosine):
-                kinds = [batch.schema.field(i).type for i in (0, 1)]
-                best.add(x @ q.T, batch.column(0).take(at), batch.column(1).take(at))
-                if k is None:
-                    yield best.batch(names, *kinds)
-                    best = Best(k, digits, False)
-            if kinds and k is not None:
-                yield best.batch(names, *kinds)
-
-        held = vectors.select(F.col(id_col).alias("doc"), F.col(unit or id_col).alias("unit"), F.col(embedding).alias("embedding"))
-        out = out.unionByName(held.mapInArrow(run, schema))
-    return ranked(best_again(out, digits), k, digits)
+    return Dense(vectors, id_col, embedding, queries, query, query_embedding, unit, digits, cosine, block).top(k)
 
 
 def pooled(output: np.ndarray, rows: int) -> np.ndarray:

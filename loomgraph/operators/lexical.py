@@ -13,20 +13,22 @@ Statistics are those of the documents given, so a filter comes first.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from loomgraph.functions.text import tokens
-from loomgraph.operators.ranking import TILE, Best
+from loomgraph.operators.ranking import TILE, Best, Better, Given, objects
 from loomgraph.workspace import Workspace
 
 K1, B = 1.2, 0.75
 #: Query terms (of all queries together) that are broadcast at most, some 50 bytes each.
 BROADCAST_TERMS = 1_000_000
+#: Scores of documents by queries, the documents' names, their units.
+Blocks = Iterator[tuple[np.ndarray, pa.Array, pa.Array]]
 #: Queries that are scored in one pass over the postings.
 QUERIES = 20_000
 
@@ -129,43 +131,131 @@ def _places(docs: DataFrame, doc: str, text: str, unit: str, terms: list[str], w
     return ws.write(toks.mapInArrow(run, f"doc {kinds[0]}, unit {kinds[1]}, len int, terms array<int>, tfs array<int>"), "places")
 
 
+class Bm25:
+    """Queries against documents, prepared once: the compact table of places, and the weights of the queries' terms."""
+
+    def __init__(self, docs: DataFrame, doc: str, text: str, queries: DataFrame, query: str, query_text: str, unit: str | None = None, digits: int = 9):
+        spark = self.spark = docs.sparkSession
+        self.digits = digits
+        queries = queries.select(query, query_text).where(F.col(query).isNotNull())
+        q = query_terms(queries, query, query_text)
+        self.q_kind, self.d_kind, self.u_kind = (df.schema[c].dataType.simpleString() for df, c in ((queries, query), (docs, doc), (docs, unit or doc)))
+        self.whole: DataFrame | None = None
+        # so many (query, term) rows reach the driver at most; more queries than that take the other way
+        asked = q.limit(BROADCAST_TERMS + 1).toArrow().combine_chunks()
+        if asked.num_rows > BROADCAST_TERMS:
+            units = docs.select(F.col(doc).alias("doc"), F.col(unit or doc).alias("unit"))
+            self.whole = best_per_unit(bm25(docs, doc, text, queries, query, query_text), units, digits)
+            return
+        terms = pc.unique(asked.column("term")).sort() if asked.num_rows else pa.array([], pa.string())
+        self.places = _places(docs, doc, text, unit or doc, terms.to_pylist(), Workspace(spark, "bm25"))
+        stats = self.places.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.avg("len"), F.lit(0.0)).alias("avgdl")).first()
+        # at most as many rows as terms are asked
+        freq = self.places.select(F.explode("terms").alias("term")).groupBy("term").count().toArrow()
+        df = np.zeros(len(terms))
+        df[freq.column("term").to_numpy()] = freq.column("count").to_numpy()
+        self.names = pc.unique(asked.column("query"))
+        self.who, self.what = (np.asarray(pc.index_in(asked.column(c), value_set=v)).astype(np.int64) for c, v in (("query", self.names), ("term", terms)))
+        self.weight = np.log(1 + (stats["n"] - df[self.what] + 0.5) / (df[self.what] + 0.5)) * asked.column("weight").to_numpy()
+        self.avgdl, self.n_terms = max(1.0, stats["avgdl"]), len(terms)
+
+    def blocks(self) -> Iterator[tuple[pa.Array, Callable[[Iterator[pa.RecordBatch]], Blocks]]]:
+        """Names of a block of queries, and what scores batches of places against them."""
+        for a in range(0, len(self.names), QUERIES):
+            mine = (self.who >= a) & (self.who < a + QUERIES)
+            order = np.argsort(self.what[mine], kind="stable")
+            start = np.searchsorted(self.what[mine][order], np.arange(self.n_terms + 1))
+            names = self.names.slice(a, QUERIES)
+            shared = self.spark.sparkContext.broadcast((len(names), start, self.who[mine][order] - a, self.weight[mine][order]))
+            yield names, _scored(shared, self.avgdl)
+
+    def top(self, k: int | None) -> DataFrame:
+        """See :func:`bm25_top`."""
+        if self.whole is not None:
+            return ranked(self.whole, k, self.digits)
+        return best_of(self.spark, self.places, list(self.blocks()), (self.q_kind, self.d_kind, self.u_kind), k, self.digits, True)
+
+    def ranks(self, wanted: DataFrame) -> DataFrame:
+        """See :func:`ranks_of`."""
+        if self.whole is not None:
+            every = ranked(self.whole, None, self.digits)
+            return every.join(wanted, (every["query"] == wanted["query"]) & every["unit"].eqNullSafe(wanted["unit"]), "left_semi")
+        return ranks_of(self.spark, self.places, list(self.blocks()), (self.q_kind, self.d_kind, self.u_kind), wanted, self.digits, True)
+
+
 def bm25_top(docs: DataFrame, doc: str, text: str, queries: DataFrame, query: str, query_text: str, k: int | None, unit: str | None = None, digits: int = 9) -> DataFrame:
     """``query, doc, unit, score, rank`` of the best ``k`` documents, or of the best documents of the best ``k`` units, of each query; None ranks all.
 
     Order: highest score to ``digits`` digits, then smallest unit; of a unit the best document, then the smallest.  Scores are those of
     :func:`bm25`; only positive ones count.  A null unit is a unit of its own.
     """
-    spark = docs.sparkSession
-    queries = queries.select(query, query_text).where(F.col(query).isNotNull())
-    q = query_terms(queries, query, query_text)
-    # so many (query, term) rows reach the driver at most; more queries than that take the other way
-    asked = q.limit(BROADCAST_TERMS + 1).toArrow().combine_chunks()
-    if asked.num_rows > BROADCAST_TERMS:
-        units = docs.select(F.col(doc).alias("doc"), F.col(unit or doc).alias("unit"))
-        return ranked(best_per_unit(bm25(docs, doc, text, queries, query, query_text), units, digits), k, digits)
-    ws = Workspace(spark, "bm25")
-    q_kind, d_kind, u_kind = (df.schema[c].dataType.simpleString() for df, c in ((queries, query), (docs, doc), (docs, unit or doc)))
-    schema = f"query {q_kind}, doc {d_kind}, unit {u_kind}, score double"
-    terms = pc.unique(asked.column("term")).sort() if asked.num_rows else pa.array([], pa.string())
-    places = _places(docs, doc, text, unit or doc, terms.to_pylist(), ws)
-    stats = places.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.avg("len"), F.lit(0.0)).alias("avgdl")).first()
-    # at most as many rows as terms are asked
-    freq = places.select(F.explode("terms").alias("term")).groupBy("term").count().toArrow()
-    df = np.zeros(len(terms))
-    df[freq.column("term").to_numpy()] = freq.column("count").to_numpy()
-    names = pc.unique(asked.column("query"))
-    who, what = (np.asarray(pc.index_in(asked.column(c), value_set=v)).astype(np.int64) for c, v in (("query", names), ("term", terms)))
-    weight = np.log(1 + (stats["n"] - df[what] + 0.5) / (df[what] + 0.5)) * asked.column("weight").to_numpy()
-    avgdl, out = max(1.0, stats["avgdl"]), spark.createDataFrame([], schema)
-    for a in range(0, len(names), QUERIES):
-        mine = (who >= a) & (who < a + QUERIES)
-        order = np.argsort(what[mine], kind="stable")
-        start = np.searchsorted(what[mine][order], np.arange(len(terms) + 1))
-        shared = spark.sparkContext.broadcast((names.slice(a, QUERIES), start, who[mine][order] - a, weight[mine][order]))
-        out = out.unionByName(places.mapInArrow(_scored(shared, avgdl, k, digits), schema))
+    return Bm25(docs, doc, text, queries, query, query_text, unit, digits).top(k)
+
+
+def best_of(spark: SparkSession, rows: DataFrame, scorers: list, kinds: tuple[str, str, str], k: int | None, digits: int, positive: bool) -> DataFrame:
+    """Ranks of the best ``k`` units, or of all, from blocks of scores; ``rows`` start with ``doc, unit``."""
+    schema = "query {}, doc {}, unit {}, score double".format(*kinds)
+    out = spark.createDataFrame([], schema)
+    for names, score in scorers:
+
+        def run(batches: Iterator[pa.RecordBatch], names=names, score=score) -> Iterator[pa.RecordBatch]:
+            best, held = Best(k, digits, positive), None
+            for s, doc, unit in score(batches):
+                held = doc.type, unit.type
+                best.add(s, doc, unit)
+                if k is None:
+                    yield best.batch(names, *held)
+                    best = Best(k, digits, positive)
+            if held and k is not None:
+                yield best.batch(names, *held)
+
+        out = out.unionByName(rows.mapInArrow(run, schema))
     return ranked(best_again(out, digits), k, digits)
 
 
+def ranks_of(spark: SparkSession, rows: DataFrame, scorers: list, kinds: tuple[str, str, str], wanted: DataFrame, digits: int, positive: bool) -> DataFrame:
+    """``query, doc, unit, score, rank``: the exact ranks of wanted ``query, unit`` pairs, a bounded number per query, among all units.
+
+    One pass finds the scores of the wanted units, one counts the units that are better, each unit in one partition.  What is shuffled
+    is the rows once and a count per pair and partition.  Pairs that score nothing have no rank.
+    """
+    schema = "query {}, doc {}, unit {}, score double".format(*kinds)
+    asked = wanted.select("query", "unit").distinct().toArrow().combine_chunks()
+    out = spark.createDataFrame([], schema + ", rank int")
+    for names, score in scorers:
+        place = pc.index_in(asked.column("query"), value_set=names)
+        mine = asked.filter(place.is_valid())
+        if not mine.num_rows:
+            continue
+        share = spark.sparkContext.broadcast((np.asarray(place.drop_null()).astype(np.int64), objects(mine.column("unit"))))
+
+        def find(batches: Iterator[pa.RecordBatch], names=names, score=score, share=share) -> Iterator[pa.RecordBatch]:
+            given, held = Given(*share.value, digits, positive), None
+            for s, doc, unit in score(batches):
+                held = doc.type, unit.type
+                given.add(s, doc, unit)
+            if held:
+                yield given.batch(names, *held)
+
+        found = best_again(rows.mapInArrow(find, schema), digits).toArrow().combine_chunks()
+        known = spark.sparkContext.broadcast((np.asarray(pc.index_in(found.column("query"), value_set=names)).astype(np.int64), objects(found.column("unit")), found.column("score").to_numpy()))
+
+        def count(batches: Iterator[pa.RecordBatch], names=names, score=score, known=known) -> Iterator[pa.RecordBatch]:
+            better, held = Better(*known.value, digits, positive), None
+            for s, doc, unit in score(batches):
+                held = unit.type
+                better.add(s, doc, unit)
+            if held:
+                yield better.batch(names, held)
+
+        together = rows.repartition("unit").sortWithinPartitions("unit")
+        n = together.mapInArrow(count, f"query {kinds[0]}, unit {kinds[2]}, n bigint").groupBy("query", "unit").agg(F.sum("n").alias("n"))
+        pairs = spark.createDataFrame(found, schema).select("query", "doc", "unit", "score")
+        joined = pairs.alias("p").join(n.alias("n"), (F.col("p.query") == F.col("n.query")) & F.col("p.unit").eqNullSafe(F.col("n.unit")), "left")
+        out = out.unionByName(joined.select("p.query", "p.doc", "p.unit", "p.score", (F.coalesce("n.n", F.lit(0)) + 1).cast("int").alias("rank")))
+    return out
+
+
 def ranked(best: DataFrame, k: int | None, digits: int) -> DataFrame:
     """Ranks of units per query, all or the first ``k``."""
     if k is None:
@@ -179,13 +269,11 @@ def best_again(found: DataFrame, digits: int = 9) -> DataFrame:
     return found.withColumn("place", F.row_number().over(w)).where("place = 1").drop("place")
 
 
-def _scored(shared, avgdl: float, k: int | None, digits: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, start, who, weight = shared.value
-        best, kinds = Best(k, digits, True), None
+def _scored(shared, avgdl: float) -> Callable[[Iterator[pa.RecordBatch]], Blocks]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Blocks:
+        width, start, who, weight = shared.value
+        rows = max(1, TILE // max(1, width))
         for whole in batches:
-            kinds = [whole.schema.field(i).type for i in (0, 1)]
-            rows = max(1, TILE // max(1, len(names)))
             for a in range(0, whole.num_rows, rows):
                 batch = whole.slice(a, rows)
                 n = batch.num_rows
@@ -194,7 +282,7 @@ def _scored(shared, avgdl: float, k: int | None, digits: int):
                 term, tf = (np.asarray(batch.column(i).flatten()) for i in (3, 4))
                 length = np.asarray(batch.column(2))[owner]
                 share = tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / avgdl))
-                score = np.zeros(n * len(names))
+                score = np.zeros(n * width)
                 # products of some postings at a time: a term may be asked by every query
                 each = start[term + 1] - start[term]
                 ends = np.cumsum(each)
@@ -204,12 +292,7 @@ def _scored(shared, avgdl: float, k: int | None, digits: int):
                         continue
                     times = each[i:j]
                     at = np.repeat(start[term[i:j]] - (np.cumsum(times) - times), times) + np.arange(times.sum())
-                    score += np.bincount(np.repeat(owner[i:j] * len(names), times) + who[at], np.repeat(share[i:j], times) * weight[at], len(score))
-                best.add(score.reshape(n, len(names)), batch.column(0), batch.column(1))
-                if k is None:
-                    yield best.batch(names, *kinds)
-                    best = Best(k, digits, True)
-        if kinds and k is not None:
-            yield best.batch(names, *kinds)
+                    score += np.bincount(np.repeat(owner[i:j] * width, times) + who[at], np.repeat(share[i:j], times) * weight[at], len(score))
+                yield score.reshape(n, width), batch.column(0), batch.column(1)
 
     return run

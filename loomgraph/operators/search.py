@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from loomgraph.functions.text import is_blank, tokens
 from loomgraph.operators import dense as D, fusion, lexical as L
 from loomgraph.operators.current import IntegrityError, assert_empty, collection, shared_keys
+from loomgraph.workspace import Workspace
 
 METHODS = ("lexical", "dense", "hybrid")
 
@@ -109,7 +110,9 @@ class Searcher:
         if self.strict:
             check_queries(queries, method != "dense")
         if method == "hybrid":
-            found = fusion.fuse(self.lexical(queries), self.dense(queries), limit).withColumnRenamed("rrf", "score")
+            own = L.Bm25(self.chunks, "chunk_id", "search_text", queries, "query", "text", "knowledge_unit_id")
+            other = D.Dense(self._held(), "chunk_id", "embedding", queries, "query", "embedding", "unit")
+            found = fusion.fuse_best(own, other, limit, Workspace(self.chunks.sparkSession, "hybrid")).withColumnRenamed("rrf", "score")
         else:
             best = self._best_lexical if method == "lexical" else self._best_dense
             found = best(queries, limit).withColumn("channel_score", F.col("score"))

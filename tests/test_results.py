@@ -262,3 +262,27 @@ def test_too_long_texts_are_not_encoded(spark):
     assert D.encode(df, "k", "t", make, words, 3).count() == 2
     with pytest.raises(Exception, match="more than 2 tokens"):
         D.encode(df, "k", "t", make, words, 2).collect()
+
+
+@pytest.mark.parametrize("limit", [1, 5])
+def test_hybrid_search_is_the_fusion_of_full_rankings(spark, limit, monkeypatch):
+    """Ranks beyond the first places of a channel are looked up, ties and units in several parts included."""
+    from loomgraph.operators import fusion, ranking
+
+    rng = np.random.default_rng(limit)
+    words = [f"w{i}" for i in range(25)]
+    n = 420
+    rows = [(f"c{i:03d}", None if i % 97 == 0 else f"u{int(rng.integers(0, 260)):03d}", " ".join(rng.choice(words, int(rng.integers(0, 9)))), rng.integers(-2, 3, 4).astype(float).tolist()) for i in range(n)]
+    chunks = spark.createDataFrame([(c, u, t) for c, u, t, _ in rows], "chunk_id string, knowledge_unit_id string, search_text string").repartition(5)
+    vectors = spark.createDataFrame([(c, e) for c, _, _, e in rows if c[-1] != "7"], "chunk_id string, embedding array<double>").repartition(3)
+    queries = spark.createDataFrame([(i, " ".join(rng.choice(words, 4)), rng.integers(-2, 3, 4).astype(float).tolist()) for i in range(12)] + [(90, "nowhere", [1.0, 0.0, 0.0, 1.0]), (91, "w1 w2", None)], "query bigint, text string, embedding array<double>")
+    s = Searcher(chunks, vectors)
+    row = lambda r: (r["query"], r["rank"], r["unit"] or "", r["doc"], round(r["score"], 9), round(r["channel_score"], 6))
+    want = sorted(map(row, fusion.fuse(s.lexical(queries), s.dense(queries), limit).withColumnRenamed("rrf", "score").collect()))
+    assert sorted(map(row, s.search(queries, "hybrid", limit).collect())) == want
+    monkeypatch.setattr(L, "QUERIES", 5)
+    monkeypatch.setattr(ranking, "TILE", 60)
+    monkeypatch.setattr(L, "TILE", 60)
+    assert sorted(map(row, s.search(queries, "hybrid", limit).collect())) == want
+    monkeypatch.setattr(L, "BROADCAST_TERMS", 3)
+    assert sorted(map(row, s.search(queries, "hybrid", limit).collect())) == want
