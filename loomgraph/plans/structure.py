@@ -588,7 +588,7 @@ def ordered_relation(spark, d):
 # evaluation: titles asked of their own chunks, the unit of the asked entry being the target
 
 
-def _runs(spark, d, methods=("lexical", "dense", "hybrid")):
+def _runs(spark, d, methods):
     c = chunks(spark, d)
     s, q = Searcher(c, chunk_vectors(spark, d)), both_ways(spark, d)
     out = None
@@ -683,7 +683,8 @@ def judged_role_counts(spark, d):
 
 def _by_method(spark, d, *by):
     q, qrels = _judged(spark, d)
-    first = _runs(spark, d).where(F.col("rank") <= 5).join(qrels.where("kind = 'primary'").select("query", "id").distinct(), ["query", "id"]).groupBy("method", "query").agg(F.min("rank").alias("first"))
+    run = Searcher(chunks(spark, d), chunk_vectors(spark, d)).compare(both_ways(spark, d), 5).withColumnRenamed("unit", "id")
+    first = run.join(qrels.where("kind = 'primary'").select("query", "id").distinct(), ["query", "id"]).groupBy("method", "query").agg(F.min("rank").alias("first"))
     methods = spark.createDataFrame([("lexical",), ("dense",), ("hybrid",)], "method string")
     # three methods
     every = q.crossJoin(F.broadcast(methods)).join(first, ["method", "query"], "left")
