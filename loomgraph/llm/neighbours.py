@@ -53,8 +53,14 @@ def unpack(column: pa.Array, dim: int) -> np.ndarray:
     return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
 
 
+def _own_kind(vectors: DataFrame, embedding: str) -> type:
+    """The kind of number that holds the vectors' elements exactly."""
+    return np.float32 if vectors.schema[embedding].dataType.elementType.simpleString() == "float" else np.float64
+
+
 def _valid_packed(vectors: DataFrame, row: str, embedding: str, dim: int, exact: bool = False) -> DataFrame:
-    """``row, digest`` of the direction, and ``q``: the vector in 16-bit numbers, or as it is in doubles."""
+    """``row, digest`` of the direction, and ``q``: the vector in 16-bit numbers, or as it is in numbers of its own kind."""
+    kind = _own_kind(vectors, embedding)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -69,7 +75,7 @@ def _valid_packed(vectors: DataFrame, row: str, embedding: str, dim: int, exact:
             q = [v.tobytes() for v in pack(x)] if len(x) else []
             one = x / np.abs(x).max(axis=1, keepdims=True) if len(x) else x
             digest = [hashlib.blake2b(v, digest_size=16).digest() for v in one.astype(np.float32) + np.float32(0)]
-            held = [v.tobytes() for v in x] if exact else q
+            held = [v.tobytes() for v in x.astype(kind)] if exact else q
             yield pa.RecordBatch.from_arrays(
                 [rows.filter(pa.array(good)).cast(pa.int64()), pa.array(digest, pa.binary()), pa.array(held, pa.binary())], ["row", "digest", "q"],
             )
@@ -87,9 +93,11 @@ def _settled(top: DataFrame, members: DataFrame, vectors: DataFrame, k: int, dim
     rows = _valid_packed(vectors.join(named.select(F.col("vid").alias("row")), "row", "left_semi"), "row", "embedding", dim, exact=True)
     held = named.join(rows.withColumnRenamed("row", "vid"), ["vid", "digest"]).select("vid", "q").dropDuplicates(["vid"])
 
+    kind = _own_kind(vectors, "embedding")
+
     def cosines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.float64).reshape(-1, dim) for i in (2, 3))
+            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), kind).reshape(-1, dim).astype(np.float64) for i in (2, 3))
             x, y = (v / np.abs(v).max(axis=1, keepdims=True) if len(v) else v for v in (x, y))
             dot = lambda a, b: np.einsum("ij,ij->i", a, b)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(dot(x, y) / np.sqrt(dot(x, x) * dot(y, y)))], ["vid", "other", "score"])
@@ -289,7 +297,10 @@ def nearest(manifest: DataFrame, vectors: DataFrame, k: int = 5, dim: int = 512,
     met = met.repartition("vid").groupBy("vid", "other").agg(F.max("score").alias("score"))
     order = Window.partitionBy("vid").orderBy(F.desc("score"), "other")
     top = ws.write(met.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k + SPARE).select("vid", "other", "place", "score"), "top")
-    return _expand(ws.write(_settled(top, members, vectors, k, dim, ws), "settled"), members, k)
+    ws.discard("packed")  # the exact cosines read the vectors themselves
+    settled = ws.write(_settled(top, members, vectors, k, dim, ws), "settled")
+    ws.keep("settled", "members")
+    return _expand(settled, members, k)
 
 
 def _expand(top: DataFrame, members: DataFrame, k: int) -> DataFrame:

@@ -108,3 +108,16 @@ def test_sample_is_the_same_in_every_run_and_popular_leaves_are_split(spark, mon
     assert run(v.repartition(5)) == want
     monkeypatch.setattr(V, "VISITORS", 1)
     assert run(v) == want
+
+
+def test_exact_cosines_hold_no_more_than_the_vectors(spark, monkeypatch):
+    """p3_found's disk: the packed vectors are gone by then, and floats travel as floats."""
+    x = np.random.default_rng(8).normal(size=(40, 8)).astype(np.float32)
+    m, v = tables(spark, x)
+    q = V._valid_packed(v, "row", "embedding", 8, exact=True).collect()
+    assert len(q) == 40 and all(r.q == x[r.row].tobytes() for r in q)
+    doubles = v.withColumn("embedding", v.embedding.cast("array<double>"))
+    assert all(len(r.q) == 64 for r in V._valid_packed(doubles, "row", "embedding", 8, exact=True).collect())
+    held, settled = [], V._settled
+    monkeypatch.setattr(V, "_settled", lambda *a: held.append("packed" in a[-1].names) or settled(*a))
+    assert nearest(m, v, k=3, dim=8).count() == 120 and held == [False]
